@@ -1,11 +1,10 @@
-from tiffin.operators.merge import changed_rows, keyed_update
+from tiffin.operators.merge import keyed_update
 from tiffin.operators.numbering import dense_numbers
 from tiffin.operators.paging import page_after, page_of
 from tiffin.operators.rollups import cart_values, complaints_per_order, item_sales, paid_payments
 
 __all__ = [
     "cart_values",
-    "changed_rows",
     "complaints_per_order",
     "dense_numbers",
     "item_sales",

@@ -21,11 +21,3 @@ def keyed_update(base: DataFrame, delta: DataFrame, key: str, assign: dict[str,
         for c in base.columns
     ]
     return joined.select(*columns)
-
-
-def changed_rows(old: DataFrame, new: DataFrame, key: list[str], ignore: tuple[str, ...] = ()) -> DataFrame:
-    """Rows of ``new`` with a flag ``changed``: differs from the row of ``old`` with the same key, NULL-safe."""
-    compared = [c for c in new.columns if c not in key and c not in ignore]
-    before = old.select(*key, F.struct(*compared).alias("_before"))
-    same = F.col("_before").eqNullSafe(F.struct(*compared))
-    return new.join(before, key, "left").withColumn("changed", ~same & F.col("_before").isNotNull()).drop("_before")

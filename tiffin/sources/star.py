@@ -167,10 +167,12 @@ class StarSource:
     def _complaints(self) -> DataFrame:
         return self._events("error", "signup").withColumn("OrderID", F.col("event_id") * 3 % 997)
 
-    def _refunds(self) -> DataFrame:
+    def refunds(self, events: DataFrame | None = None) -> DataFrame:
+        """Refunds of error events; also used on the event stream."""
+        events = self.raw("events") if events is None else events
         owner = self.raw("orders").select(F.col("o_orderkey").alias("OrderID"), F.col("o_custkey").alias("Wallet_ID"))
         return (
-            self._events("error")
+            events.where(F.col("event_type") == "error")
             .withColumn("OrderID", F.col("event_id") * 3 % 997)
             .join(owner, "OrderID")
             .select(
@@ -394,7 +396,7 @@ class StarSource:
         )
 
     def _gen1_complaint(self) -> DataFrame:
-        state = _pick(F.col("event_id"), ["Open", "Under Review", "Resolved", "Closed"])
+        state = _pick(F.call_function("div", F.col("event_id"), F.lit(8)), ["Open", "Under Review", "Resolved", "Closed"])
         return self._complaints().select(
             F.col("event_id").alias("Complaint_ID"),
             "OrderID",
@@ -408,7 +410,7 @@ class StarSource:
         )
 
     def _gen1_refund(self) -> DataFrame:
-        return self._refunds()
+        return self.refunds()
 
     def _cancellations(self) -> DataFrame:
         key = F.col("o_orderkey")
@@ -643,7 +645,7 @@ class StarSource:
         )
 
     def _gen2_complaint(self) -> DataFrame:
-        state = _pick(F.col("event_id"), ["Pending", "Resolved", "Resolved", "Rejected"])
+        state = _pick(F.call_function("div", F.col("event_id"), F.lit(8)), ["Pending", "Resolved", "Resolved", "Rejected"])
         return self._complaints().select(
             F.col("event_id").alias("Complaint_ID"),
             "OrderID",
@@ -656,4 +658,4 @@ class StarSource:
         )
 
     def _gen2_refund(self) -> DataFrame:
-        return self._refunds()
+        return self.refunds()
