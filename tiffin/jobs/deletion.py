@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tiffin.operators import attach
 from tiffin.sources import Marketplace
 
 
@@ -39,7 +40,7 @@ def _referring(m: Marketplace, reached: DataFrame, child: str, reference) -> Dat
     targets = reached.select(
         "_request", *[F.col(p).alias(c) for p, c in zip(reference.parent_columns, reference.columns, strict=True)]
     )
-    return m[child].join(targets, list(reference.columns))
+    return attach(m[child], targets, list(reference.columns))
 
 
 def _holders(m: Marketplace, reached: DataFrame, child: str, reference) -> DataFrame:

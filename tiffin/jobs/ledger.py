@@ -17,7 +17,7 @@ one small row per slice of a chain, of which there are fewer than twice as many
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -86,22 +86,29 @@ def _events(m: Marketplace, requests: DataFrame, credits: DataFrame) -> DataFram
     return debits.unionByName(topped)
 
 
-def walk(rows: pd.DataFrame) -> pd.DataFrame:
-    """Settle the events of one slice: plain arithmetic, in order, starting over at every wallet."""
-    rows = rows.sort_values(["Wallet_ID", *ORDER], ignore_index=True, na_position="first")
-    accepted, balances = [], []
-    wallet = balance = None
-    for who, kind, cents, opening in zip(
-        rows["Wallet_ID"].tolist(), rows["kind"].tolist(), rows["cents"].tolist(), rows["opening"].tolist(), strict=True
-    ):
-        if who != wallet:
-            wallet, balance = who, opening
-        covered = kind == CREDIT or balance >= cents
-        if covered:
-            balance += cents if kind == CREDIT else -cents
-        accepted.append(covered)
-        balances.append(balance)
-    return rows.drop(columns=["opening", "slice"], errors="ignore").assign(accepted=accepted, balance=balances)
+def walker() -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """The function that settles the events of one slice.
+
+    It is made here, not defined at module level, so that it travels to the executors with the task and they need
+    no copy of this package.
+    """
+
+    def walk(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["Wallet_ID", *ORDER], ignore_index=True, na_position="first")
+        accepted, balances = [], []
+        wallet = balance = None
+        events = zip(*[rows[c].tolist() for c in ("Wallet_ID", "kind", "cents", "opening")], strict=True)
+        for who, kind, cents, opening in events:
+            if who != wallet:
+                wallet, balance = who, opening
+            covered = kind == CREDIT or balance >= cents
+            if covered:
+                balance += cents if kind == CREDIT else -cents
+            accepted.append(covered)
+            balances.append(balance)
+        return rows.drop(columns=["opening", "slice"], errors="ignore").assign(accepted=accepted, balance=balances)
+
+    return walk
 
 
 def _slices(spark: SparkSession, events: DataFrame, folder: str, slice_rows: int) -> DataFrame:
@@ -178,6 +185,7 @@ def _with_openings(spark: SparkSession, sliced: DataFrame, opened: dict, how: st
 
 def _openings(spark: SparkSession, sliced: DataFrame) -> dict:
     """Opening balance of every slice of every chain."""
+    walk = walker()
     chains: dict[int, list] = {}
     for row in _chains(sliced):
         chains.setdefault(row["Wallet_ID"], []).append(row)
@@ -208,7 +216,7 @@ def settle_events(
     folder = folder or f"{shared_folder(spark)}/ledger-{uuid.uuid4().hex}"
     sliced = _slices(spark, events, folder, slice_rows)
     opened = _openings(spark, sliced)
-    settled = _with_openings(spark, sliced, opened, "left").groupBy("slice").applyInPandas(walk, SETTLED)
+    settled = _with_openings(spark, sliced, opened, "left").groupBy("slice").applyInPandas(walker(), SETTLED)
     settled.write.parquet(f"{folder}/settled")
     return spark.read.schema(SETTLED).parquet(f"{folder}/settled")
 

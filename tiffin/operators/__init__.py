@@ -1,9 +1,11 @@
+from tiffin.operators.lookup import attach
 from tiffin.operators.merge import keyed_update
 from tiffin.operators.numbering import dense_numbers
 from tiffin.operators.paging import page_after, page_of
 from tiffin.operators.rollups import cart_values, complaints_per_order, item_sales, paid_payments
 
 __all__ = [
+    "attach",
     "cart_values",
     "complaints_per_order",
     "dense_numbers",

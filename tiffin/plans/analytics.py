@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tiffin.functions import half_up_ratio, joined_sorted, sum_where, whole_minutes
-from tiffin.operators import cart_values, complaints_per_order, item_sales, paid_payments
+from tiffin.operators import attach, cart_values, complaints_per_order, item_sales, paid_payments
 from tiffin.sources import Marketplace
 
 CANCELLED = "cancelled"
@@ -99,12 +99,10 @@ def payment_mode_split(m: Marketplace) -> DataFrame:
 def new_vs_returning(m: Marketplace) -> DataFrame:
     """Every order, marked new if it has the smallest order number of its user (not the earliest time)."""
     first = m["orders"].groupBy("UserID").agg(F.min("OrderID").alias("first_order"))
-    # No window over a user's orders: a hot user would be one task. The per-user row is joined instead and the
-    # orders stay on the side an adaptive skew join can split.
+    # No window over a user's orders: a hot user would be one task. The per-user row is looked up instead.
     people = m["users"].select("UserID", "User_Name").join(first, "UserID")
     return (
-        m["orders"]
-        .join(people, "UserID")
+        attach(m["orders"], people, "UserID")
         .select(
             "OrderID",
             "User_Name",

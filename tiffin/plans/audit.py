@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tiffin.functions import half_up_ratio, whole_hours, whole_minutes
-from tiffin.operators import cart_values, item_sales
+from tiffin.operators import attach, cart_values, item_sales
 from tiffin.sources import Marketplace
 
 
@@ -29,7 +29,8 @@ def same_city_customers(m: Marketplace, city: str) -> DataFrame:
         .join(m["restaurant"].select("Restaurant_ID", F.col("Name").alias("restaurant_name")), "Restaurant_ID")
     )
     # Who ordered where, once each: repeat orders fold map-side before anything else moves.
-    pairs = m["orders"].join(kitchens, "Restaurant_ID").select("UserID", "restaurant_name", "restaurant_city").distinct()
+    visits = attach(m["orders"].select("UserID", "Restaurant_ID"), kitchens, "Restaurant_ID")
+    pairs = visits.select("UserID", "restaurant_name", "restaurant_city").distinct()
     return (
         pairs.join(locals_, "UserID", "left_semi")
         .join(m["users"].select("UserID", "User_Name", "Email"), "UserID")

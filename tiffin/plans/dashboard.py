@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tiffin.functions import half_up_ratio, label_month, whole_minutes
+from tiffin.operators import attach
 from tiffin.sources import Marketplace
 
 
@@ -55,10 +56,9 @@ def low_wallet_orders(m: Marketplace, below: int = 500) -> DataFrame:
         .select("UserID", F.col("Balance").alias("Wallet_Balance"))
         .join(m["user"].select("UserID", "User_Name"), "UserID")
     )
+    orders = m["orders"].select("OrderID", "UserID", F.col("Date_Time").alias("Order_Time"), "Total_Amount")
     return (
-        m["orders"]
-        .select("OrderID", "UserID", F.col("Date_Time").alias("Order_Time"), "Total_Amount")
-        .join(poor, "UserID")
+        attach(orders, poor, "UserID")
         .select("OrderID", "User_Name", "Wallet_Balance", "Order_Time", "Total_Amount")
         .orderBy("Wallet_Balance", "OrderID")
     )
@@ -259,7 +259,7 @@ def order_timeline(m: Marketplace, order_id: int) -> DataFrame:
     return (
         m["order_status_log"]
         .where(one)
-        .join(who, "OrderID")
+        .join(F.broadcast(who), "OrderID")  # at most one row: order and user numbers are keys
         .orderBy("Changed_At", "Log_ID")
         .select("OrderID", "User_Name", "Status", "Changed_At", "Note")
     )
@@ -275,14 +275,20 @@ def available_partners(m: Marketplace, city: str) -> DataFrame:
 
 
 def cancellations_with_refunds(m: Marketplace) -> DataFrame:
-    """One row per cancellation and refund of its order, with the user who ordered."""
+    """One row per cancellation and refund of its order, with the user who ordered.
+
+    The optional refunds are an inner join and an anti join put together: the skew join cannot split the optional
+    side of an outer join, and a single order may have any number of refunds.
+    """
     refunds = m["refund"].select("Refund_ID", "OrderID", "Refund_Amount", "Refund_Status")
+    cancelled = m["cancellation"].select(
+        "Cancellation_ID", F.col("Order_ID").alias("OrderID"), F.col("Reason").alias("Cancel_Reason"), "Cancel_At"
+    )
+    without = cancelled.join(refunds.select("OrderID").distinct(), "OrderID", "left_anti")
+    rows = refunds.join(cancelled, "OrderID").unionByName(without, allowMissingColumns=True)
     return (
-        m["cancellation"]
-        .select("Cancellation_ID", F.col("Order_ID").alias("OrderID"), F.col("Reason").alias("Cancel_Reason"), "Cancel_At")
-        .join(m["orders"].select("OrderID", "UserID"), "OrderID")
+        rows.join(m["orders"].select("OrderID", "UserID"), "OrderID")
         .join(m["user"].select("UserID", "User_Name"), "UserID")
-        .join(refunds, "OrderID", "left")
         .orderBy(F.desc("Cancel_At"), "Cancellation_ID", "Refund_ID")
         .select("OrderID", "User_Name", "Cancel_Reason", "Cancel_At", "Refund_Amount", "Refund_Status")
     )

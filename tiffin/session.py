@@ -39,7 +39,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int | None = Non
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for name, value in {**SQL_SETTINGS, **conf}.items():
         builder = builder.config(name, value)
-    return tune(builder.getOrCreate())
+    return builder.getOrCreate()
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -78,7 +78,9 @@ def event_stream(source: StarSource) -> DataFrame:
     """The events as an unbounded input: new files become new rows."""
     schema = source.raw("events").schema
     # A pattern, because a stream source takes a plain path for a folder while the table may be a single file.
-    return source.spark.readStream.schema(schema).parquet(f"{source.root}/events.parque[t]")
+    # The limit bounds a micro-batch, and with it what one busy wallet can bring to a task.
+    reader = source.spark.readStream.schema(schema).option("maxFilesPerTrigger", 8)
+    return reader.parquet(f"{source.root}/events.parque[t]")
 
 
 def review_stream(source: StarSource) -> DataFrame:

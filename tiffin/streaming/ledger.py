@@ -15,22 +15,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tiffin.jobs.ledger import SETTLED, walk
-
-
-def _carry(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    rows = pd.concat(list(chunks))
-    if state.exists:
-        rows["opening"] = state.get[0]
-    settled = walk(rows)
-    state.update((int(settled["balance"].iloc[-1]),))
-    yield settled
+from tiffin.jobs.ledger import SETTLED, walker
 
 
 def settled(events: DataFrame) -> DataFrame:
     """Stream of events (``tiffin.jobs.ledger.EVENTS``) with acceptance and the balance after each."""
+    walk = walker()
+
+    def carry(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(chunks))
+        if state.exists:
+            rows["opening"] = state.get[0]
+        done = walk(rows)
+        state.update((int(done["balance"].iloc[-1]),))
+        yield done
+
     return events.groupBy("Wallet_ID").applyInPandasWithState(
-        _carry, SETTLED, "balance bigint", "append", GroupStateTimeout.NoTimeout
+        carry, SETTLED, "balance bigint", "append", GroupStateTimeout.NoTimeout
     )
 
 

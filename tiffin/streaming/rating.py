@@ -39,5 +39,6 @@ def start(changes: DataFrame, folder: str, **trigger) -> StreamingQuery:
 def state(spark: SparkSession, folder: str) -> DataFrame:
     """Newest state of every restaurant the stream has seen, in the shape of ``tiffin.jobs.rating``."""
     written = spark.read.schema(f"{STATE}, epoch bigint").parquet(f"{folder}/state")
-    newest = F.max_by(F.struct("stars", "reviews"), "epoch").alias("now")
-    return written.groupBy("Restaurant_ID").agg(newest).select("Restaurant_ID", "now.*")
+    return written.groupBy("Restaurant_ID").agg(
+        F.max_by("stars", "epoch").alias("stars"), F.max_by("reviews", "epoch").alias("reviews")
+    )

@@ -19,20 +19,19 @@ FEED = "Refund_ID bigint, Wallet_ID bigint, Amount decimal(8,2), Refund_Status s
 CREDITS = "Refund_ID bigint, Wallet_ID bigint, Amount decimal(8,2), at timestamp_ntz"
 
 
-def _transitions(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    rows = pd.concat(list(chunks)).sort_values("at", kind="stable")
-    before = rows["Refund_Status"].shift(1)
-    before.iloc[0] = state.get[0] if state.exists else None
-    state.update((rows["Refund_Status"].iloc[-1],))
-    yield rows[(rows["Refund_Status"] == DONE) & before.notna() & (before != DONE)][
-        ["Refund_ID", "Wallet_ID", "Amount", "at"]
-    ]
+def credits(feed: DataFrame) -> DataFrame:
+    """Credits as they fall due. The messages of one refund in a micro-batch are few, however busy its wallet is."""
 
+    def transitions(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(chunks)).sort_values("at", kind="stable")
+        before = rows["Refund_Status"].shift(1)
+        before.iloc[0] = state.get[0] if state.exists else None
+        state.update((rows["Refund_Status"].iloc[-1],))
+        due = (rows["Refund_Status"] == DONE) & before.notna() & (before != DONE)
+        yield rows[due][["Refund_ID", "Wallet_ID", "Amount", "at"]]
 
-def credits(feed: DataFrame) -> DataFrame:
-    """Credits as they fall due; a refund's own messages in a micro-batch are few, whatever the wallet."""
     return feed.groupBy("Refund_ID").applyInPandasWithState(
-        _transitions, CREDITS, "last string", "append", GroupStateTimeout.NoTimeout
+        transitions, CREDITS, "last string", "append", GroupStateTimeout.NoTimeout
     )
 
 
