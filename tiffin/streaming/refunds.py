@@ -1,7 +1,8 @@
 """Wallet credits from a stream of refund states.
 
-The last state of every refund is kept, so a credit is emitted once, on the change into ``Completed``; a repeated
-or replayed message changes nothing. A refund first seen as completed earns no credit.
+The last state of every refund and its time are kept, so a credit is emitted once, on the change into
+``Completed``. Messages that are not newer than what is known (repeats, stragglers) change nothing, and a refund
+first seen as completed earns no credit.
 """
 
 from __future__ import annotations
@@ -23,15 +24,20 @@ def credits(feed: DataFrame) -> DataFrame:
     """Credits as they fall due. The messages of one refund in a micro-batch are few, however busy its wallet is."""
 
     def transitions(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(chunks)).sort_values("at", kind="stable")
-        before = rows["Refund_Status"].shift(1)
-        before.iloc[0] = state.get[0] if state.exists else None
-        state.update((rows["Refund_Status"].iloc[-1],))
-        due = (rows["Refund_Status"] == DONE) & before.notna() & (before != DONE)
-        yield rows[due][["Refund_ID", "Wallet_ID", "Amount", "at"]]
+        last, known = state.get if state.exists else (None, None)
+        rows = pd.concat(list(chunks)).drop_duplicates("at").sort_values("at")
+        moment = rows["at"].dt.as_unit("us").astype("int64")
+        if known is not None:
+            rows, moment = rows[moment > known], moment[moment > known]
+        if not rows.empty:
+            before = rows["Refund_Status"].shift(1)
+            before.iloc[0] = last
+            state.update((rows["Refund_Status"].iloc[-1], int(moment.iloc[-1])))
+            due = (rows["Refund_Status"] == DONE) & before.notna() & (before != DONE)
+            yield rows[due][["Refund_ID", "Wallet_ID", "Amount", "at"]]
 
     return feed.groupBy("Refund_ID").applyInPandasWithState(
-        transitions, CREDITS, "last string", "append", GroupStateTimeout.NoTimeout
+        transitions, CREDITS, "last string, known bigint", "append", GroupStateTimeout.NoTimeout
     )
 
 
