@@ -223,8 +223,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "w04_checkout_carts": _job(lambda s: _checkout(s).carts),
         "w04_checkout_rejected": _job(lambda s: _checkout(s).rejected),
         "dq1_missing_values": _plan(g1, quality.missing_values),
+        "dq1_missing_values_gen2": _plan(g2, quality.missing_values),
         "dq2_duplicate_keys": _plan(g1, quality.duplicate_keys),
+        "dq2_duplicate_keys_gen2": _plan(g2, quality.duplicate_keys),
         "dq3_orphan_references": _plan(g1, quality.orphan_references),
+        "dq3_orphan_references_gen2": _plan(g2, quality.orphan_references),
         "dq4_broken_rules": _plan(g1, quality.broken_rules),
         "dq5_out_of_domain": _plan(g1, quality.out_of_domain),
         "dq6_order_purge_deleted": _job(lambda s: _deleted(_old_orders(s))),

@@ -3,48 +3,51 @@
 from __future__ import annotations
 
 from oracle.queries import AS_OF, _out
-from tiffin.sources.schema import GEN1
+from tiffin.sources.schema import GEN1, GEN2
+
+MODELS = {"g1": GEN1, "g2": GEN2}
 
 
 def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
-def _counts(label: str, tests) -> str:
+def _counts(label: str, tests, g: str = "g1") -> str:
     """One line per table and test: rows of which the test is true."""
     lines = [
-        f"SELECT '{name}' AS table_name, {_text(title)} AS {label}, count(*) FILTER ({test}) AS violations FROM g1_{name}"
-        for name, table in GEN1.items()
+        f"SELECT '{name}' AS table_name, {_text(title)} AS {label}, count(*) FILTER ({test}) AS violations FROM {g}_{name}"
+        for name, table in MODELS[g].items()
         for title, test in tests(table)
     ]
     return _out(f"table_name:s {label}:s violations:l", " UNION ALL ".join(lines))
 
 
-def _duplicates() -> str:
+def _duplicates(g: str) -> str:
     lines = []
-    for name, table in GEN1.items():
+    for name, table in MODELS[g].items():
         for columns in (table.key, *((u,) for u in table.unique)):
             row = f"({', '.join(columns)},)" if len(columns) == 1 else f"({', '.join(columns)})"
             row = columns[0] if len(columns) == 1 else row
             lines.append(
                 f"SELECT '{name}' AS table_name, '{','.join(columns)}' AS key_columns, "
-                f"(SELECT count(*) FROM (SELECT 1 FROM g1_{name} GROUP BY {', '.join(columns)} HAVING count(*) > 1)) "
-                f"AS repeated_values, count(*) - count(DISTINCT {row}) AS extra_rows FROM g1_{name}"
+                f"(SELECT count(*) FROM (SELECT 1 FROM {g}_{name} GROUP BY {', '.join(columns)} HAVING count(*) > 1)) "
+                f"AS repeated_values, count(*) - count(DISTINCT {row}) AS extra_rows FROM {g}_{name}"
             )
     return _out("table_name:s key_columns:s repeated_values:l extra_rows:l", " UNION ALL ".join(lines))
 
 
-def _orphans() -> str:
+def _orphans(g: str) -> str:
     lines = []
-    for name, table in GEN1.items():
+    for name, table in MODELS[g].items():
         for r in table.refs:
             mine = ", ".join(f"c.{c}" for c in r.columns)
             match = " AND ".join(f"p.{p} = c.{c}" for p, c in zip(r.parent_columns, r.columns, strict=True))
             row = f"({mine})" if len(r.columns) > 1 else mine
+            filled = " AND ".join(f"c.{c} IS NOT NULL" for c in r.columns)
             lines.append(
                 f"SELECT '{name}' AS table_name, '{','.join(r.columns)}' AS reference_columns, "
                 f"'{r.parent}' AS parent, count(DISTINCT {row}) AS orphan_values, count(*) AS orphan_rows "
-                f"FROM g1_{name} c WHERE NOT EXISTS (SELECT 1 FROM g1_{r.parent} p WHERE {match})"
+                f"FROM {g}_{name} c WHERE {filled} AND NOT EXISTS (SELECT 1 FROM {g}_{r.parent} p WHERE {match})"
             )
     return _out("table_name:s reference_columns:s parent:s orphan_values:l orphan_rows:l", " UNION ALL ".join(lines))
 
@@ -69,8 +72,13 @@ def quality_sql() -> dict[str, str]:
         "dq1_missing_values": _counts(
             "column_name", lambda t: [(c.name, f"{c.name} IS NULL") for c in t.columns if c.required]
         ),
-        "dq2_duplicate_keys": _duplicates(),
-        "dq3_orphan_references": _orphans(),
+        "dq1_missing_values_gen2": _counts(
+            "column_name", lambda t: [(c.name, f"{c.name} IS NULL") for c in t.columns if c.required], "g2"
+        ),
+        "dq2_duplicate_keys": _duplicates("g1"),
+        "dq2_duplicate_keys_gen2": _duplicates("g2"),
+        "dq3_orphan_references": _orphans("g1"),
+        "dq3_orphan_references_gen2": _orphans("g2"),
         "dq4_broken_rules": _counts("rule", lambda t: [(rule, f"NOT ({rule})") for rule in t.checks]),
         "dq5_out_of_domain": _counts(
             "column_name",

@@ -170,6 +170,10 @@ TABLES = {
                CAST((30 + s_suppkey % 20) * 0.1 AS DECIMAL(3, 1)) AS Rating, s_suppkey AS Total_Reviews,
                100 + s_suppkey % 5 * 50 AS Min_Order_Amount, 20 + s_suppkey % 30 AS Avg_Delivery_Time
         FROM supplier""",
+    "g2_user_address": "SELECT c_custkey AS UserID, c_custkey AS Add_ID FROM customer",
+    "g2_cuisine": """
+        SELECT DISTINCT p_type AS Cuisine, l_suppkey AS Restaurant_ID
+        FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_quantity >= 49 AND l_linenumber = 1""",
     "g2_menu_category": f"""
         SELECT DISTINCT p_type AS Category_Name, 'Food' AS Cat_Type, p_partkey % {N} AS Restaurant_ID FROM part""",
     "g2_menu_item": f"""
@@ -181,10 +185,19 @@ TABLES = {
         SELECT p_partkey AS Coupon_ID, 'C' || p_partkey AS Coupon_Code, p_name AS Description,
                CAST(p_partkey % 50 AS BIGINT) AS Max_Uses, CAST(p_size AS BIGINT) AS Used_Count
         FROM part""",
+    "g2_discount": "SELECT p_partkey AS Discount_ID, p_partkey AS Coupon_ID FROM part",
+    "g2_cart": f"""
+        SELECT o_orderkey AS Cart_ID, o_orderdate AS Created_At,
+               {_nth("o_orderkey", ["Abandoned", "Active", "Ordered"])} AS Status, o_custkey AS UserID
+        FROM orders""",
+    "g2_cart_item": """
+        SELECT l_orderkey AS Cart_ID, l_partkey AS Item_ID, CAST(floor(sum(l_quantity)) AS BIGINT) AS Quantity
+        FROM lineitem GROUP BY ALL""",
     "g2_orders": f"""
         SELECT o_orderkey AS OrderID, o_orderdate AS Date_Time,
                {_order_state("Cancelled", "Delivered", "Preparing", "OutForDelivery")} AS Order_Status,
-               CAST(floor(o_totalprice) AS BIGINT) AS Total_Amount, o_custkey AS UserID, o_custkey AS Add_ID
+               CAST(floor(o_totalprice) AS BIGINT) AS Total_Amount, o_custkey AS UserID, o_custkey AS Add_ID,
+               CASE WHEN {WEEKEND} THEN o_orderkey % 100 END AS Discount_ID
         FROM orders""",
     "g2_order_status_log": """
         SELECT event_id AS Log_ID, event_id % 100 AS OrderID, event_type AS Status, ts AS Changed_At, props AS Note
@@ -209,6 +222,11 @@ TABLES = {
                CASE {PAY_STATE} WHEN 'Paid' THEN 'Success' WHEN 'Failed' THEN 'Failed' ELSE 'Pending' END AS Status,
                o_orderkey AS Order_ID
         FROM orders WHERE o_orderstatus <> 'P'""",
+    "g2_review": f"""
+        SELECT event_id AS Review_ID, props AS Review, CAST(1 + user_id % 5 AS DECIMAL(3, 1)) AS Rating,
+               ts AS Review_Date, CASE WHEN event_type = 'view' THEN event_id % {N} END AS Restaurant_ID,
+               user_id AS UserID, CASE WHEN event_type = 'click' THEN event_id % {N} END AS Partner_ID
+        FROM events WHERE event_type IN ('view', 'click')""",
     "g2_cancellation": """
         SELECT o_orderkey AS Cancellation_ID, o_custkey AS Canceled_BY, o_orderpriority AS Reason,
                o_orderdate + INTERVAL 1 HOUR AS Cancel_At, o_orderkey AS Order_ID
@@ -217,6 +235,16 @@ TABLES = {
         SELECT c_custkey AS Wallet_ID, CAST(floor(CAST(c_acctbal AS DECIMAL(8, 2)) * 100) AS BIGINT) AS Balance,
                c_custkey AS UserID
         FROM customer""",
+    "g2_wallet_transaction": """
+        SELECT event_id AS Transaction_ID, user_id AS Wallet_ID,
+               CASE event_type WHEN 'purchase' THEN 'DEBIT' ELSE 'CREDIT' END AS Type,
+               CAST(floor(CAST(value AS DECIMAL(10, 2))) AS BIGINT) AS Amount, ts AS Date_Time
+        FROM events WHERE event_type IN ('purchase', 'click')""",
+    "g2_wallet_topup": f"""
+        SELECT event_id AS Transaction_ID, {_nth("event_id", ["Success", "Failed", "Pending"])} AS Status,
+               {_nth("event_id", ["UPI", "Card", "NetBanking"])} AS Payment_Mode,
+               900000000 + event_id AS Transaction_Ref, ts AS Date_Time
+        FROM events WHERE event_type = 'click' AND value >= 10""",
     "g2_notification": """
         SELECT event_id AS Notification_ID, user_id AS UserID, event_id % 3 <> 0 AS Is_Read FROM events""",
     "g2_complaint": f"""
@@ -225,8 +253,8 @@ TABLES = {
                {V2_COMPLAINT} AS Status
         FROM events WHERE event_type IN ('error', 'signup')""",
     "g2_refund": f"""
-        SELECT event_id AS Refund_ID, o_orderkey AS OrderID, event_id % 500 AS Refund_Amount,
-               {REFUND_STATE} AS Refund_Status
+        SELECT event_id AS Refund_ID, o_orderkey AS OrderID, event_id AS Complaint_ID,
+               event_id % 500 AS Refund_Amount, {REFUND_STATE} AS Refund_Status, o_custkey AS Wallet_ID
         FROM events JOIN orders ON o_orderkey = event_id * 3 % 997 WHERE event_type = 'error'""",
 }
 

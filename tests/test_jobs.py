@@ -175,11 +175,11 @@ def test_numbers_are_dense_in_key_order(spark):
 
 def test_defaults_fill_what_is_omitted(spark):
     m = market(spark, "gen1")
-    given = spark.createDataFrame([(1, None), (2, "cancelled")], "OrderID bigint, Status string")
+    given = spark.createDataFrame([(1, None), (2, "Cancelled "), (3, "eaten")], "OrderID bigint, Status string")
     filled = intake.fill_defaults(given, m.model["orders"], at(1)).orderBy("OrderID")
     assert filled.columns == [c.name for c in m.model["orders"].columns]
     assert [(r.OrderID, r.Status, r.Date_Time, r.UserID) for r in filled.collect()] == [
-        (1, "pending", at(1), None), (2, "cancelled", at(1), None)
+        (1, "pending", at(1), None), (2, "cancelled", at(1), None), (3, "eaten", at(1), None)
     ]
 
 

@@ -10,6 +10,7 @@ import __spark_entry__ as registered
 from tiffin.jobs import checkout
 from tiffin.plans import analytics, audit, dashboard, views
 from tiffin.sources import GENERATIONS, Marketplace, StarSource
+from tiffin.sources.sinks import write_bucketed
 
 ROWS = 60_000
 HOT = {
@@ -160,3 +161,14 @@ def test_filters_reach_the_scan(spark, tmp_path):
     assert "GreaterThanOrEqual(Date_Time" in period and "LessThan(Date_Time" in period and "Paid" in period
     assert "GreaterThan(Close_Time,23:00:00)" in pushed(audit.late_night_restaurants(a))
     assert "EqualTo(Status,Abandoned)" in pushed(analytics.abandoned_carts(a))
+
+
+def test_bucketed_facts_join_without_a_shuffle(spark, shop, tmp_path):
+    stored = shop[0]
+    for name, key in [("orders", "OrderID"), ("payment", "Order_ID")]:
+        write_bucketed(stored[name], f"bucketed_{name}", f"{tmp_path}/{name}", key, 8)
+    m = Marketplace.from_catalog(spark, "bucketed_").replace(restaurant=stored["restaurant"])
+    plan = analytics.revenue_leaderboard(m)._jdf.queryExecution().executedPlan().toString()
+    shuffled = re.findall(r"hashpartitioning\((\w+?)#", plan)
+    assert shuffled and set(shuffled) == {"Restaurant_ID"}
+    assert analytics.revenue_leaderboard(m).collect() == analytics.revenue_leaderboard(stored).collect()

@@ -2,6 +2,7 @@
 
 import random
 from datetime import datetime, timedelta
+from decimal import Decimal
 
 import pytest
 
@@ -48,24 +49,21 @@ def test_ratings(spark, folders):
 def test_refund_credits_fall_due_once(spark, folders):
     feed, out = folders
 
-    def message(refund, status, hour):
-        return (refund, 1, 5, status, START + timedelta(hours=hour))
+    def change(refund, before, after, hour):
+        images = [None if s is None else (refund, 1, Decimal("5.00"), s) for s in (before, after)]
+        return (*images, START + timedelta(hours=hour))
 
-    schema = refund_stream.FEED.replace("decimal(8,2)", "int")
-    read = refund_stream.FEED
+    done = change(1, "Pending", "Completed", 2)
     files = [
-        [message(1, "Pending", 0), message(2, "Completed", 0), message(3, "Pending", 0), message(3, "Completed", 1)],
-        [message(1, "Completed", 2), message(2, "Completed", 2), message(4, "Pending", 2)],
-        [message(1, "Pending", 0), message(1, "Completed", 2), message(3, "Completed", 1)],  # sent again
-        [message(4, "Rejected", 3)],
-        [message(4, "Completed", 4), message(4, "Pending", 5), message(4, "Completed", 6)],
+        [change(1, None, "Pending", 0), change(2, None, "Completed", 0), change(3, "Pending", "Completed", 1)],
+        [done, change(2, "Completed", "Completed", 2), change(4, None, "Pending", 2)],
+        [done, change(3, "Pending", "Completed", 1)],  # sent again
+        [change(4, "Pending", "Rejected", 3), change(4, "Rejected", "Completed", 4)],
+        [change(4, "Completed", "Pending", 5), change(4, "Pending", "Completed", 6)],
     ]
     for rows in files:
-        frame = spark.createDataFrame(rows, schema).selectExpr(
-            "Refund_ID", "Wallet_ID", "CAST(Amount AS decimal(8,2)) Amount", "Refund_Status", "at"
-        )
-        frame.coalesce(1).write.mode("append").parquet(feed)
-        refund_stream.start(follow(spark, feed, read), out).awaitTermination()
+        drop(spark, feed, rows, refund_stream.FEED)
+        refund_stream.start(follow(spark, feed, refund_stream.FEED), out).awaitTermination()
     credits = spark.read.schema(refund_stream.CREDITS).parquet(f"{out}/credits").collect()
     due = sorted((r.Refund_ID, (r.at - START) // timedelta(hours=1)) for r in credits)
     assert due == [(1, 2), (3, 1), (4, 4), (4, 6)]

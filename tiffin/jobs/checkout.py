@@ -14,12 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tiffin.operators import attach, dense_numbers, keyed_update
+from tiffin.session import stage
 from tiffin.sources import Marketplace
 from tiffin.sources.sinks import publish, read_published
 
-DECIDED = (
-    "Request_ID bigint, UserID bigint, Cart_ID bigint, reason string, Total_Amount decimal(38,2), Restaurant_ID bigint"
-)
 NO_CART, UNAVAILABLE, EMPTY = "no_active_cart", "unavailable_item", "empty_cart"
 
 
@@ -61,21 +59,16 @@ def decide(m: Marketplace, requests: DataFrame) -> DataFrame:
         .when(F.col("Request_ID") != F.col("winner"), NO_CART)
     )
     return attach(asked, carts, "Cart_ID", "left").select(
-        "Request_ID", "UserID", "Cart_ID", reason.alias("reason"), F.col("Total_Amount").cast("decimal(38,2)"), "Restaurant_ID"
+        "Request_ID", "UserID", "Cart_ID", reason.alias("reason"), "Total_Amount", "Restaurant_ID"
     )
 
 
 def place_orders(
     m: Marketplace, requests: DataFrame, root: str, version: int, as_of: datetime | None = None
 ) -> Checkout:
-    """Run a checkout batch and publish its four outputs together as one version of ``root``.
-
-    The decisions are written first and the outputs derived from what was written, so the joins behind them run
-    once and a batch that dies half-way publishes nothing.
-    """
-    decided = f"{root}/v{version}/requests"
-    decide(m, requests).write.mode("overwrite").parquet(decided)
-    done = _outcome(m, m.spark.read.schema(DECIDED).parquet(decided), as_of)
+    """Run a checkout batch and publish its four outputs together as one version of ``root``: a batch that dies
+    half-way publishes nothing."""
+    done = checkout(m, requests, as_of)
     tables = {"orders": done.orders, "order_item": done.order_items, "cart": done.carts, "rejected": done.rejected}
     publish(m.spark, root, version, tables)
     return Checkout(*[read_published(m.spark, root, name, version) for name in tables])
@@ -83,12 +76,12 @@ def place_orders(
 
 def checkout(m: Marketplace, requests: DataFrame, as_of: datetime | None = None) -> Checkout:
     """New orders and their lines, the carts after checkout, and the rejected requests with reasons."""
-    return _outcome(m, decide(m, requests), as_of)
+    return _outcome(m, stage(decide(m, requests), "checkout"), as_of)
 
 
 def _outcome(m: Marketplace, decided: DataFrame, as_of: datetime | None) -> Checkout:
-    """Orders are numbered on from the largest stored number in request order. The numbers depend on the data
-    alone, so orders and lines agree although each output is computed on its own."""
+    """The four outputs of decided requests. Orders are numbered on from the largest stored number in request
+    order; the numbers depend on the data alone, so orders and lines agree although each is computed on its own."""
     now = F.localtimestamp() if as_of is None else F.lit(as_of).cast("timestamp_ntz")
     last = m["orders"].agg(F.coalesce(F.max("OrderID"), F.lit(0))).scalar()
     good = decided.where(F.col("reason").isNull())

@@ -1,4 +1,5 @@
-"""Incoming rows: defaults for omitted columns, and the change stamp on rows that differ from what is stored."""
+"""Incoming rows: defaults for omitted columns, one spelling for listed values, and the change stamp on rows that
+differ from what is stored."""
 
 from __future__ import annotations
 
@@ -14,12 +15,22 @@ def _now(as_of: datetime | None) -> Column:
     return F.localtimestamp() if as_of is None else F.lit(as_of).cast("timestamp_ntz")
 
 
+def _spelled(value: Column, domain: tuple[str, ...]) -> Column:
+    """The listed spelling of a value that matches it but for case and trailing blanks; other values as they are."""
+    folded = F.lower(F.rtrim(value))
+    listed = F.coalesce(*[F.when(folded == text.lower(), F.lit(text)) for text in domain])
+    return F.coalesce(listed, value)
+
+
 def fill_defaults(df: DataFrame, table: Table, as_of: datetime | None = None) -> DataFrame:
-    """All columns of ``table``: an omitted or NULL value takes the declared default, if there is one."""
+    """All columns of ``table``: an omitted or NULL value takes the declared default, if there is one, and values
+    of closed lists get the listed spelling, so that later comparisons can be exact."""
 
     def value(column) -> Column:
         given = F.col(column.name) if column.name in df.columns else F.lit(None)
         given = given.cast(column.dtype)
+        if column.domain:
+            given = _spelled(given, column.domain)
         if column.default is None:
             return given.alias(column.name)
         default = _now(as_of) if column.default == NOW else F.lit(column.default).cast(column.dtype)

@@ -209,11 +209,9 @@ def _openings(spark: SparkSession, sliced: DataFrame) -> dict:
     return opened
 
 
-def settle_events(
-    spark: SparkSession, events: DataFrame, slice_rows: int = SLICE_ROWS, folder: str | None = None
-) -> DataFrame:
+def settle_events(spark: SparkSession, events: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """All events with ``accepted`` and the wallet's ``balance`` after them (both in the EVENTS order)."""
-    folder = folder or f"{shared_folder(spark)}/ledger-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/ledger-{uuid.uuid4().hex}"
     sliced = _slices(spark, events, folder, slice_rows)
     opened = _openings(spark, sliced)
     settled = _with_openings(spark, sliced, opened, "left").groupBy("slice").applyInPandas(walker(), SETTLED)

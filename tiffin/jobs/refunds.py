@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tiffin.operators import dense_numbers, keyed_update
+from tiffin.session import stage
 
 DONE = "Completed"
 
@@ -31,6 +32,6 @@ def credit_ledger(ledger: DataFrame, credits: DataFrame, as_of: datetime | None
     """Ledger rows to append, numbered on from the ledger's last transaction in refund order."""
     now = F.localtimestamp() if as_of is None else F.lit(as_of).cast("timestamp_ntz")
     last = ledger.agg(F.coalesce(F.max("Transaction_ID"), F.lit(0))).scalar()
-    return dense_numbers(credits, "Refund_ID", "Transaction_ID", start=last + 1).select(
+    return dense_numbers(stage(credits, "credits"), "Refund_ID", "Transaction_ID", start=last + 1).select(
         "Wallet_ID", "Transaction_ID", F.lit("Credit").alias("Type"), "Amount", now.alias("Date_Time")
     )

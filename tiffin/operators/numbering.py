@@ -24,7 +24,8 @@ def dense_numbers(df: DataFrame, key: str, name: str, start: Column | int = 1, w
     """Number rows ``start, start + 1, ...`` in key order, as an auto-increment column would.
 
     ``key`` must be unique: then a key range holds at most ``width`` rows, so no window partition can grow with
-    the data. The numbers depend on the keys only; a re-run task cannot hand out different ones.
+    the data. The numbers depend on the keys only; a re-run task cannot hand out different ones. ``df`` is read
+    twice, so a costly one should be staged first.
     """
     start = F.lit(start) if isinstance(start, int) else start
     within = Window.partitionBy("_bucket").orderBy(key)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings. None of them changes a result, only how it is computed.
 SQL_SETTINGS = {
@@ -57,3 +58,11 @@ def shared_folder(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back: what is used several times is computed once, and a
+    lost executor costs a re-read instead of the joins behind it."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

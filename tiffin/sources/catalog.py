@@ -53,6 +53,13 @@ class Marketplace:
 
         return cls(spark, generation, {n: reader(t) for n, t in model.items()})
 
+    @classmethod
+    def from_catalog(cls, spark: SparkSession, prefix: str = "", generation: str = "gen1") -> Marketplace:
+        """Catalog tables named ``<prefix><table>``, which may be bucketed."""
+        return cls(
+            spark, generation, {n: (lambda n=n: spark.table(f"{prefix}{n}")) for n in GENERATIONS[generation]}
+        )
+
     @classmethod
     def from_rows(
         cls, spark: SparkSession, rows: Mapping[str, Iterable[tuple]], generation: str = "gen1"

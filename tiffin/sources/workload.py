@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tiffin.jobs.ledger import EVENTS
 from tiffin.sources.star import StarSource
 
+REFUND = "struct<Refund_ID:bigint,Wallet_ID:bigint,Refund_Amount:decimal(8,2),Refund_Status:string>"
+
 
 def _review(restaurant, rating):
     return F.struct(restaurant.cast("bigint").alias("Restaurant_ID"), rating.cast("float").alias("Rating"))
@@ -91,17 +93,18 @@ def review_stream(source: StarSource) -> DataFrame:
 
 
 def refund_stream(source: StarSource) -> DataFrame:
-    """Refund states as messages: raised as pending, then decided."""
-    refunds = source.refunds(event_stream(source))
-    decided = F.coalesce(F.col("Completed_At"), F.col("Initiated_At"))
-    raised = F.struct(F.lit("Pending").alias("Refund_Status"), F.col("Initiated_At").alias("at"))
-    final = F.struct(F.col("Refund_Status").alias("Refund_Status"), decided.alias("at"))
-    return refunds.select(
-        "Refund_ID",
-        "Wallet_ID",
-        F.col("Refund_Amount").cast("decimal(8,2)").alias("Amount"),
-        F.inline(F.array(raised, final)),
-    ).select("Refund_ID", "Wallet_ID", "Amount", "Refund_Status", "at")
+    """Refund changes: raised as pending, then decided."""
+
+    def refund(status):
+        return F.struct("Refund_ID", "Wallet_ID", "Refund_Amount", status.alias("Refund_Status")).cast(REFUND)
+
+    pending, decided = refund(F.lit("Pending")), refund(F.col("Refund_Status"))
+    raised = F.struct(
+        F.lit(None).cast(REFUND).alias("before"), pending.alias("after"), F.col("Initiated_At").alias("at")
+    )
+    settled = F.coalesce(F.col("Completed_At"), F.col("Initiated_At"))
+    closed = F.struct(pending.alias("before"), decided.alias("after"), settled.alias("at"))
+    return source.refunds(event_stream(source)).select(F.inline(F.array(raised, closed)))
 
 
 def wallet_stream(source: StarSource) -> DataFrame:

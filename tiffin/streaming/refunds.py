@@ -1,43 +1,29 @@
-"""Wallet credits from a stream of refund states.
+"""Wallet credits from a stream of refund changes.
 
-The last state of every refund and its time are kept, so a credit is emitted once, on the change into
-``Completed``. Messages that are not newer than what is known (repeats, stragglers) change nothing, and a refund
-first seen as completed earns no credit.
+A change carries the refund before (NULL for a new one) and after, as an update trigger sees it, so the step into
+``Completed`` shows in the change itself and is filtered before anything is shuffled. State is kept only for the
+credits that fell due, to drop changes that are delivered again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tiffin.jobs.refunds import DONE
 
-FEED = "Refund_ID bigint, Wallet_ID bigint, Amount decimal(8,2), Refund_Status string, at timestamp_ntz"
+_REFUND = "struct<Refund_ID:bigint,Wallet_ID:bigint,Refund_Amount:decimal(8,2),Refund_Status:string>"
+FEED = f"before {_REFUND}, after {_REFUND}, at timestamp_ntz"
 CREDITS = "Refund_ID bigint, Wallet_ID bigint, Amount decimal(8,2), at timestamp_ntz"
 
 
 def credits(feed: DataFrame) -> DataFrame:
-    """Credits as they fall due. The messages of one refund in a micro-batch are few, however busy its wallet is."""
-
-    def transitions(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, known = state.get if state.exists else (None, None)
-        rows = pd.concat(list(chunks)).drop_duplicates("at").sort_values("at")
-        moment = rows["at"].dt.as_unit("us").astype("int64")
-        if known is not None:
-            rows, moment = rows[moment > known], moment[moment > known]
-        if not rows.empty:
-            before = rows["Refund_Status"].shift(1)
-            before.iloc[0] = last
-            state.update((rows["Refund_Status"].iloc[-1], int(moment.iloc[-1])))
-            due = (rows["Refund_Status"] == DONE) & before.notna() & (before != DONE)
-            yield rows[due][["Refund_ID", "Wallet_ID", "Amount", "at"]]
-
-    return feed.groupBy("Refund_ID").applyInPandasWithState(
-        transitions, CREDITS, "last string, known bigint", "append", GroupStateTimeout.NoTimeout
+    """One credit per refund and time of completion. A refund first seen as completed earns none."""
+    return (
+        feed.where((F.col("before.Refund_Status") != DONE) & (F.col("after.Refund_Status") == DONE))
+        .select("after.Refund_ID", "after.Wallet_ID", F.col("after.Refund_Amount").alias("Amount"), "at")
+        .dropDuplicates(["Refund_ID", "at"])
     )
 
 
