@@ -116,7 +116,7 @@ def _cart_defaults(source: StarSource) -> DataFrame:
 
 def _menu_change(source: StarSource) -> DataFrame:
     m = source.marketplace("gen1")
-    dearer = F.when(F.col("Is_Available"), F.col("Price")).otherwise(F.col("Price") + 10).cast("decimal(8,2)")
+    dearer = F.when(F.col("Is_Available"), F.col("Price")).otherwise(F.col("Price") + 10).cast("decimal(18,2)")
     changed = intake.stamp_changes(
         m["menu_item"], m["menu_item"].withColumn("Price", dearer), m.model["menu_item"], AS_OF
     )

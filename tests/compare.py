@@ -12,6 +12,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     for path in glob.glob(f"{sf_dir}/*.parquet"):
         name = os.path.basename(path).removesuffix(".parquet")
+        path = f"{path}/*.parquet" if os.path.isdir(path) else path
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
     return connection
 

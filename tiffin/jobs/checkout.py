@@ -92,7 +92,7 @@ def _outcome(m: Marketplace, decided: DataFrame, as_of: datetime | None) -> Chec
         "UserID",
         "Restaurant_ID",
         F.lit("pending").alias("Status"),
-        F.col("Total_Amount").cast("decimal(10,2)").alias("Total_Amount"),
+        F.col("Total_Amount").cast("decimal(18,2)").alias("Total_Amount"),
         now.alias("Updated_At"),
     )
     lines = (

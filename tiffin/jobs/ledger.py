@@ -21,6 +21,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from datetime import datetime
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -86,18 +87,23 @@ def _events(m: Marketplace, requests: DataFrame, credits: DataFrame) -> DataFram
     return debits.unionByName(topped)
 
 
-def walker() -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """The function that settles the events of one slice.
+def walker() -> Callable[[Iterator[pd.DataFrame]], pd.DataFrame]:
+    """The function that settles the events of one slice, given in any number of chunks.
 
     It is made here, not defined at module level, so that it travels to the executors with the task and they need
     no copy of this package.
     """
 
-    def walk(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["Wallet_ID", *ORDER], ignore_index=True, na_position="first")
+    def walk(chunks: Iterator[pd.DataFrame]) -> pd.DataFrame:
+        chunks = list(chunks)
+        names = ["Wallet_ID", *ORDER, "cents", "opening"]
+        columns = {c: np.concatenate([chunk[c].to_numpy() for chunk in chunks]) for c in names}
+        keys = [columns["Wallet_ID"], columns["at"].view("int64"), columns["kind"], columns["id"]]
+        order = np.lexsort(keys[::-1])  # as Spark sorts: a missing time comes first
+        columns = {c: values[order] for c, values in columns.items()}
         accepted, balances = [], []
         wallet = balance = None
-        events = zip(*[rows[c].tolist() for c in ("Wallet_ID", "kind", "cents", "opening")], strict=True)
+        events = zip(*[columns[c].tolist() for c in ("Wallet_ID", "kind", "cents", "opening")], strict=True)
         for who, kind, cents, opening in events:
             if who != wallet:
                 wallet, balance = who, opening
@@ -106,7 +112,8 @@ def walker() -> Callable[[pd.DataFrame], pd.DataFrame]:
                 balance += cents if kind == CREDIT else -cents
             accepted.append(covered)
             balances.append(balance)
-        return rows.drop(columns=["opening", "slice"], errors="ignore").assign(accepted=accepted, balance=balances)
+        del columns["opening"]
+        return pd.DataFrame({**columns, "accepted": accepted, "balance": balances})
 
     return walk
 
@@ -201,7 +208,7 @@ def _openings(spark: SparkSession, sliced: DataFrame) -> dict:
         closing = (
             _with_openings(spark, part, todo, "inner")
             .groupBy("Wallet_ID", "slice")
-            .applyInPandas(lambda rows: walk(rows).tail(1), SETTLED)
+            .applyInPandas(lambda rows: walk([rows]).tail(1), SETTLED)
             .select("Wallet_ID", "balance")
             .collect()
         )
@@ -214,7 +221,9 @@ def settle_events(spark: SparkSession, events: DataFrame, slice_rows: int = SLIC
     folder = f"{shared_folder(spark)}/ledger-{uuid.uuid4().hex}"
     sliced = _slices(spark, events, folder, slice_rows)
     opened = _openings(spark, sliced)
-    settled = _with_openings(spark, sliced, opened, "left").groupBy("slice").applyInPandas(walker(), SETTLED)
+    walk = walker()
+    known = _with_openings(spark, sliced, opened, "left")
+    settled = known.groupBy("slice").applyInPandas(lambda rows: walk([rows]), SETTLED)
     settled.write.parquet(f"{folder}/settled")
     return spark.read.schema(SETTLED).parquet(f"{folder}/settled")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET_WIDTH = 1_000_000
+BUCKET_WIDTH = 100_000
 
 
 def _bucket(key: str, width: int) -> Column:
@@ -14,7 +14,7 @@ def _bucket(key: str, width: int) -> Column:
 
 def _buckets(df: DataFrame, key: str, width: int) -> DataFrame:
     """Rows before each key range. Identifiers are handed out densely, so there is about one range per ``width``
-    rows and the running total is over a table a million times smaller than the data."""
+    rows and the running total is over a table that many times smaller than the data."""
     sizes = df.groupBy(_bucket(key, width)).agg(F.count(F.lit(1)).alias("_size"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     return sizes.select("_bucket", "_size", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))

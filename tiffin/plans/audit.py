@@ -48,7 +48,7 @@ def payment_mismatches(m: Marketplace, tolerance: Decimal = Decimal("0.01")) ->
         F.col("Mode").alias("payment_mode"),
         F.col("Status").alias("payment_status"),
     )
-    discount = F.coalesce(F.col("Discount_Amount"), F.lit(0).cast("decimal(8,2)"))
+    discount = F.coalesce(F.col("Discount_Amount"), F.lit(0).cast("decimal(18,2)"))
     expected = F.col("order_total") - F.col("discount_applied")
     return (
         orders.join(payments, "OrderID")

@@ -61,7 +61,7 @@ def order_summary(m: Marketplace) -> DataFrame:
             "partner_name",
             "partner_phone",
             F.coalesce("Discount_PR", F.lit(0)).cast("float").alias("discount_pct"),
-            F.coalesce("Discount_Amount", F.lit(0)).cast("decimal(8,2)").alias("discount_amount"),
+            F.coalesce("Discount_Amount", F.lit(0)).cast("decimal(18,2)").alias("discount_amount"),
         )
     )
 

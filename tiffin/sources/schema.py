@@ -2,8 +2,9 @@
 
 Generation 1 ("gen1") has separate customer and restaurant addresses, decimal money and strict constraints;
 generation 2 ("gen2") shares one address table, keeps money in whole rupees and adds coupons, status logs and
-notifications. Integer keys are widened to 64 bits, wall-clock times have no zone, TIME is ``HH:mm:ss`` text
-(zero-padded, so text order is time order).
+notifications. Integer keys are widened to 64 bits and money to 18 digits, so that a large marketplace cannot
+overflow a column; wall-clock times have no zone; TIME is ``HH:mm:ss`` text (zero-padded, so text order is time
+order).
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import types as T
 
 LONG, INT, TEXT, FLAG, FLOAT = T.LongType(), T.IntegerType(), T.StringType(), T.BooleanType(), T.FloatType()
 WHEN, DAY, RATING = T.TimestampNTZType(), T.DateType(), T.DecimalType(3, 1)
-MONEY8, MONEY10 = T.DecimalType(8, 2), T.DecimalType(10, 2)
+MONEY = T.DecimalType(18, 2)
 
 NOW = "now"  # default marker: the job's own as-of time
 
@@ -169,7 +170,7 @@ GEN1 = _index(
             need("Item_ID", LONG),
             need("Item_Name", TEXT),
             may("Description", TEXT),
-            need("Price", MONEY8),
+            need("Price", MONEY),
             need("Preparation_Time", INT),
             need("Is_Available", FLAG, True),
             need("Category_Name", TEXT),
@@ -230,7 +231,7 @@ GEN1 = _index(
                 "pending",
                 ("pending", "confirmed", "preparing", "out_for_delivery", "delivered", "cancelled"),
             ),
-            need("Total_Amount", MONEY10),
+            need("Total_Amount", MONEY),
             need("Updated_At", WHEN, NOW),
         ),
         key=("OrderID",),
@@ -240,7 +241,7 @@ GEN1 = _index(
     ),
     Table(
         "order_item",
-        (need("Item_ID", LONG), need("OrderID", LONG), need("Quantity", LONG, 1), need("Unit_Price", MONEY8)),
+        (need("Item_ID", LONG), need("OrderID", LONG), need("Quantity", LONG, 1), need("Unit_Price", MONEY)),
         key=("Item_ID", "OrderID"),
         refs=(ref("Item_ID", "menu_item"), ref("OrderID", "orders", on_delete="cascade")),
         checks=("Quantity > 0", "Unit_Price >= 0"),
@@ -251,7 +252,7 @@ GEN1 = _index(
             need("Transaction_ID", LONG),
             need("Mode", TEXT, None, ("UPI", "Card", "Cash", "Wallet", "NetBanking")),
             need("Status", TEXT, "Pending", ("Pending", "Paid", "Failed", "Refunded")),
-            need("Amount", MONEY10),
+            need("Amount", MONEY),
             may("Gateway_Ref", TEXT),
             may("Paid_At", WHEN),
             need("Order_ID", LONG),
@@ -292,7 +293,7 @@ GEN1 = _index(
     ),
     Table(
         "wallet",
-        (need("Wallet_ID", LONG), need("Balance", MONEY10, 0), need("Created_At", WHEN, NOW), need("UserID", LONG)),
+        (need("Wallet_ID", LONG), need("Balance", MONEY, 0), need("Created_At", WHEN, NOW), need("UserID", LONG)),
         key=("Wallet_ID",),
         unique=("UserID",),
         refs=(ref("UserID", "users", on_delete="cascade"),),
@@ -304,7 +305,7 @@ GEN1 = _index(
             need("Wallet_ID", LONG),
             need("Transaction_ID", LONG),
             need("Type", TEXT, None, ("Credit", "Debit")),
-            need("Amount", MONEY10),
+            need("Amount", MONEY),
             need("Date_Time", WHEN, NOW),
         ),
         key=("Transaction_ID",),
@@ -330,7 +331,7 @@ GEN1 = _index(
     ),
     Table(
         "discount",
-        (need("Discount_ID", LONG), need("Discount_PR", FLOAT), need("Discount_Amount", MONEY8), need("OrderID", LONG)),
+        (need("Discount_ID", LONG), need("Discount_PR", FLOAT), need("Discount_Amount", MONEY), need("OrderID", LONG)),
         key=("Discount_ID",),
         unique=("OrderID",),
         refs=(ref("OrderID", "orders", on_delete="cascade"),),
@@ -370,7 +371,7 @@ GEN1 = _index(
             need("Refund_ID", LONG),
             need("OrderID", LONG),
             need("Complaint_ID", LONG),
-            need("Refund_Amount", MONEY8),
+            need("Refund_Amount", MONEY),
             need("Refund_Status", TEXT, "Pending", ("Pending", "Completed", "Rejected")),
             may("Completed_At", WHEN),
             need("Wallet_ID", LONG),
@@ -387,7 +388,7 @@ GEN1 = _index(
             need("Cancellation_Reason", TEXT),
             need("Cancelled_At", WHEN, NOW),
             need("Refund_Eligible", FLAG, True),
-            need("Penalty_Amount", MONEY8, 0),
+            need("Penalty_Amount", MONEY, 0),
             need("OrderID", LONG),
         ),
         key=("Cancellation_ID",),

@@ -51,8 +51,8 @@ def _rupees(value: Column) -> Column:
     return F.floor(value).cast("bigint")
 
 
-def _money(value: Column, digits: int) -> Column:
-    return value.cast(f"decimal({digits},2)")
+def _money(value: Column) -> Column:
+    return value.cast("decimal(18,2)")
 
 
 def _at(text: str) -> Column:
@@ -124,7 +124,7 @@ class StarSource:
             .groupBy(F.col("l_orderkey").alias("OrderID"), _item(F.col("l_partkey")).alias("Item_ID"))
             .agg(
                 F.floor(F.sum("l_quantity")).alias("Quantity"),
-                _money(F.max("l_extendedprice"), 8).alias("Unit_Price"),
+                _money(F.max("l_extendedprice")).alias("Unit_Price"),
             )
         )
 
@@ -257,7 +257,7 @@ class StarSource:
             F.col("p_partkey").alias("Item_ID"),
             F.col("p_name").alias("Item_Name"),
             F.col("p_brand").alias("Description"),
-            _money(F.col("p_retailprice"), 8).alias("Price"),
+            _money(F.col("p_retailprice")).alias("Price"),
             F.col("p_size").alias("Preparation_Time"),
             (F.col("p_size") > 5).alias("Is_Available"),
             F.col("p_type").alias("Category_Name"),
@@ -316,7 +316,7 @@ class StarSource:
     def _gen1_payment(self) -> DataFrame:
         key = F.col("o_orderkey")
         billed = (
-            F.col("o_totalprice").cast("decimal(10,2)")
+            F.col("o_totalprice").cast("decimal(18,2)")
             - F.when(_weekend(F.col("o_orderdate")), 50).otherwise(0)
             + F.when(key % 13 == 0, 5).otherwise(0)
         )
@@ -355,7 +355,7 @@ class StarSource:
     def _gen1_wallet(self) -> DataFrame:
         return self.raw("customer").select(
             F.col("c_custkey").alias("Wallet_ID"),
-            (_money(F.col("c_acctbal"), 8) * 100).alias("Balance"),
+            (_money(F.col("c_acctbal")) * 100).alias("Balance"),
             _at(EPOCH).alias("Created_At"),
             F.col("c_custkey").alias("UserID"),
         )

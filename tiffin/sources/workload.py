@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tiffin.jobs.ledger import EVENTS
 from tiffin.sources.star import StarSource
 
-REFUND = "struct<Refund_ID:bigint,Wallet_ID:bigint,Refund_Amount:decimal(8,2),Refund_Status:string>"
+REFUND = "struct<Refund_ID:bigint,Wallet_ID:bigint,Refund_Amount:decimal(18,2),Refund_Status:string>"
 
 
 def _review(restaurant, rating):
@@ -115,7 +115,7 @@ def wallet_stream(source: StarSource) -> DataFrame:
         F.col("ts").alias("at"),
         F.when(F.col("event_type") == "purchase", 1).otherwise(0).alias("kind"),
         F.col("event_id").alias("id"),
-        (F.col("value").cast("decimal(10,2)") * 100).cast("bigint").alias("cents"),
+        (F.col("value").cast("decimal(18,2)") * 100).cast("bigint").alias("cents"),
         F.lit(0).cast("bigint").alias("opening"),
     )
     return rows.select(*[part.split()[0] for part in EVENTS.split(", ")])

@@ -23,10 +23,9 @@ def settled(events: DataFrame) -> DataFrame:
     walk = walker()
 
     def carry(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(chunks))
         if state.exists:
-            rows["opening"] = state.get[0]
-        done = walk(rows)
+            chunks = [chunk.assign(opening=state.get[0]) for chunk in chunks]
+        done = walk(chunks)
         state.update((int(done["balance"].iloc[-1]),))
         yield done
 

@@ -13,9 +13,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tiffin.jobs.refunds import DONE
 
-_REFUND = "struct<Refund_ID:bigint,Wallet_ID:bigint,Refund_Amount:decimal(8,2),Refund_Status:string>"
+_REFUND = "struct<Refund_ID:bigint,Wallet_ID:bigint,Refund_Amount:decimal(18,2),Refund_Status:string>"
 FEED = f"before {_REFUND}, after {_REFUND}, at timestamp_ntz"
-CREDITS = "Refund_ID bigint, Wallet_ID bigint, Amount decimal(8,2), at timestamp_ntz"
+CREDITS = "Refund_ID bigint, Wallet_ID bigint, Amount decimal(18,2), at timestamp_ntz"
 
 
 def credits(feed: DataFrame) -> DataFrame:
