@@ -34,6 +34,7 @@ def _order_state(cancelled, delivered, preparing, moving):
     )
 
 
+CANCELLED = _order_state("cancelled", "", "", "") + " = 'cancelled'"
 PAY_STATE = _nth("o_orderkey", ["Failed", "Pending", "Refunded", "Paid", "Paid", "Paid", "Paid"])
 BILLED = (
     f"CAST(o_totalprice AS DECIMAL(10, 2)) - CASE WHEN {WEEKEND} THEN 50 ELSE 0 END "
@@ -153,7 +154,7 @@ TABLES = {
         SELECT o_orderkey AS Cancellation_ID, {CANCELLED_BY} AS Cancelled_By, o_orderpriority AS Cancellation_Reason,
                o_orderdate + INTERVAL 1 HOUR AS Cancelled_At, o_orderkey % 4 <> 0 AS Refund_Eligible,
                CAST(o_orderkey % 3 * 10 AS DECIMAL(8, 2)) AS Penalty_Amount, o_orderkey AS OrderID
-        FROM orders WHERE o_orderkey % 6 = 0""",
+        FROM orders WHERE {CANCELLED}""",
     "g2_address": """
         SELECT c_custkey AS Add_ID, c_name AS Add_line_1, CAST(NULL AS VARCHAR) AS Add_line_2,
                c_mktsegment AS Area, n_name AS City, CAST(100000 + c_custkey % 900000 AS INTEGER) AS Pincode
@@ -227,10 +228,10 @@ TABLES = {
                ts AS Review_Date, CASE WHEN event_type = 'view' THEN event_id % {N} END AS Restaurant_ID,
                user_id AS UserID, CASE WHEN event_type = 'click' THEN event_id % {N} END AS Partner_ID
         FROM events WHERE event_type IN ('view', 'click')""",
-    "g2_cancellation": """
+    "g2_cancellation": f"""
         SELECT o_orderkey AS Cancellation_ID, o_custkey AS Canceled_BY, o_orderpriority AS Reason,
                o_orderdate + INTERVAL 1 HOUR AS Cancel_At, o_orderkey AS Order_ID
-        FROM orders WHERE o_orderkey % 6 = 0""",
+        FROM orders WHERE {CANCELLED}""",
     "g2_wallet": """
         SELECT c_custkey AS Wallet_ID, CAST(floor(CAST(c_acctbal AS DECIMAL(8, 2)) * 100) AS BIGINT) AS Balance,
                c_custkey AS UserID

@@ -10,14 +10,15 @@ that spans slices, however many events it has, is a chain of slices. Two numbers
 parallel, tell whether it passes as a whole: an opening balance of at least ``need`` has every debit accepted, one
 below ``least`` has every debit rejected, and either way the closing balance is a sum away. Only slices between the
 two are walked, one after the other within a chain, each by a task that reads that slice alone. Once every opening
-balance is known all slices are settled in parallel. No task ever holds more than a slice, and the driver holds
-one small row per slice of a chain, of which there are fewer than twice as many as slices.
+balance is known all slices are settled in parallel. No task ever holds more than a slice. The driver holds seven
+numbers per slice of a chain, of which there are fewer than twice as many as slices: some 100 bytes for millions of
+events.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -30,7 +31,8 @@ from tiffin.operators import dense_numbers, keyed_update
 from tiffin.session import shared_folder
 from tiffin.sources import Marketplace
 
-SLICE_ROWS = 250_000
+SLICE_ROWS = 2_000_000
+PRUNED = 1_000  # up to so many slices are named to the scan one by one
 CREDIT, DEBIT = 0, 1
 ORDER = ["at", "kind", "id"]
 EVENTS = "Wallet_ID bigint, at timestamp_ntz, kind int, id bigint, cents bigint, opening bigint"
@@ -87,33 +89,46 @@ def _events(m: Marketplace, requests: DataFrame, credits: DataFrame) -> DataFram
     return debits.unionByName(topped)
 
 
-def walker() -> Callable[[Iterator[pd.DataFrame]], pd.DataFrame]:
+def walker() -> Callable[[Iterable[pd.DataFrame]], pd.DataFrame]:
     """The function that settles the events of one slice, given in any number of chunks.
 
     It is made here, not defined at module level, so that it travels to the executors with the task and they need
     no copy of this package.
     """
 
-    def walk(chunks: Iterator[pd.DataFrame]) -> pd.DataFrame:
+    def walk(chunks: Iterable[pd.DataFrame]) -> pd.DataFrame:
         chunks = list(chunks)
         names = ["Wallet_ID", *ORDER, "cents", "opening"]
         columns = {c: np.concatenate([chunk[c].to_numpy() for chunk in chunks]) for c in names}
         keys = [columns["Wallet_ID"], columns["at"].view("int64"), columns["kind"], columns["id"]]
         order = np.lexsort(keys[::-1])  # as Spark sorts: a missing time comes first
         columns = {c: values[order] for c, values in columns.items()}
-        accepted, balances = [], []
-        wallet = balance = None
-        events = zip(*[columns[c].tolist() for c in ("Wallet_ID", "kind", "cents", "opening")], strict=True)
-        for who, kind, cents, opening in events:
-            if who != wallet:
-                wallet, balance = who, opening
-            covered = kind == CREDIT or balance >= cents
-            if covered:
-                balance += cents if kind == CREDIT else -cents
-            accepted.append(covered)
-            balances.append(balance)
-        del columns["opening"]
-        return pd.DataFrame({**columns, "accepted": accepted, "balance": balances})
+        wallet, debit, cents = columns["Wallet_ID"], columns["kind"] == DEBIT, columns["cents"]
+
+        # Running balances as if every debit were accepted.
+        first = np.flatnonzero(np.r_[True, wallet[1:] != wallet[:-1]])
+        member = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(wallet)]))
+        signed = np.where(debit, -cents, cents)
+        balance = np.cumsum(signed)
+        balance += (columns.pop("opening")[first] - balance[first] + signed[first])[member]
+        accepted = np.ones(len(wallet), dtype=bool)
+
+        # From its first uncovered debit on, a wallet is settled event by event.
+        uncovered = np.flatnonzero(debit & (balance < 0))
+        broken, at = np.unique(member[uncovered], return_index=True)
+        for start, end in zip(uncovered[at].tolist(), np.r_[first, len(wallet)][broken + 1].tolist(), strict=True):
+            now = int(balance[start] - signed[start])
+            for n, is_debit, amount in zip(
+                range(start, end), debit[start:end].tolist(), cents[start:end].tolist(), strict=True
+            ):
+                if not is_debit:
+                    now += amount
+                elif now >= amount:
+                    now -= amount
+                else:
+                    accepted[n] = False
+                balance[n] = now
+        return pd.DataFrame({**columns, "accepted": accepted, "balance": balance})
 
     return walk
 
@@ -136,7 +151,7 @@ def _slices(spark: SparkSession, events: DataFrame, folder: str, slice_rows: int
     return spark.read.schema(f"{EVENTS}, slice int").parquet(f"{folder}/slices")
 
 
-def _chains(sliced: DataFrame) -> list:
+def _chains(sliced: DataFrame) -> DataFrame:
     """One row per slice of every wallet that spans slices, in order, with what decides it as a whole."""
     spans = (
         sliced.groupBy("Wallet_ID")
@@ -147,42 +162,27 @@ def _chains(sliced: DataFrame) -> list:
     # A slice boundary can cut one wallet only: there are fewer such wallets than slices.
     events = sliced.join(F.broadcast(spans), "Wallet_ID", "left_semi")
     before = Window.partitionBy("slice", "Wallet_ID").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
-    credit = F.when(F.col("kind") == CREDIT, F.col("cents")).otherwise(0)
-    signed = F.when(F.col("kind") == CREDIT, F.col("cents")).otherwise(-F.col("cents"))
     is_debit = F.col("kind") == DEBIT
+    credit = F.when(is_debit, 0).otherwise(F.col("cents"))
+    signed = F.when(is_debit, -F.col("cents")).otherwise(F.col("cents"))
+    always = F.lit(-(2**63))  # a slice without debits passes with any balance
     return (
         events.withColumn("net", F.sum(signed).over(before))
         .withColumn("credits", F.sum(credit).over(before))
         .groupBy("Wallet_ID", "slice")
         .agg(
-            F.max(F.when(is_debit, -F.col("net"))).alias("need"),
-            F.min(F.when(is_debit, F.col("cents") - F.col("credits"))).alias("least"),
+            F.coalesce(F.max(F.when(is_debit, -F.col("net"))), always).alias("need"),
+            F.coalesce(F.min(F.when(is_debit, F.col("cents") - F.col("credits"))), always).alias("least"),
             F.sum(signed).alias("net"),
             F.sum(credit).alias("credits"),
             F.min("opening").alias("opening"),
         )
         .orderBy("Wallet_ID", "slice")
-        .collect()
     )
 
 
-def _advance(chain: Iterator, balance: int, opened: dict) -> tuple | None:
-    """Pass whole slices while the balance decides them; return the slice that has to be walked, if any."""
-    for row in chain:
-        opened[row["Wallet_ID"], row["slice"]] = balance
-        if row["need"] is None or balance >= row["need"]:
-            balance += row["net"]
-        elif balance < row["least"]:
-            balance += row["credits"]
-        else:
-            return row["Wallet_ID"], row["slice"]
-    return None
-
-
-def _with_openings(spark: SparkSession, sliced: DataFrame, opened: dict, how: str) -> DataFrame:
-    known = spark.createDataFrame(
-        [(w, s, b) for (w, s), b in opened.items()], "Wallet_ID bigint, slice int, carried bigint"
-    )
+def _with_openings(sliced: DataFrame, known: pd.DataFrame, how: str) -> DataFrame:
+    known = sliced.sparkSession.createDataFrame(known, "Wallet_ID bigint, slice int, carried bigint")
     return (
         sliced.join(F.broadcast(known), ["Wallet_ID", "slice"], how)  # fewer than two rows per slice
         .withColumn("opening", F.coalesce("carried", "opening"))
@@ -190,39 +190,50 @@ def _with_openings(spark: SparkSession, sliced: DataFrame, opened: dict, how: st
     )
 
 
-def _openings(spark: SparkSession, sliced: DataFrame) -> dict:
-    """Opening balance of every slice of every chain."""
+def _closing(sliced: DataFrame, known: pd.DataFrame) -> dict[int, int]:
+    """Walk one slice each of some wallets and return their balances after it."""
     walk = walker()
-    chains: dict[int, list] = {}
-    for row in _chains(sliced):
-        chains.setdefault(row["Wallet_ID"], []).append(row)
-    opened: dict[tuple[int, int], int] = {}
-    at = {w: iter(rows) for w, rows in chains.items()}
-    balances = {w: rows[0]["opening"] for w, rows in chains.items()}
-    while balances:
-        walks = {w: _advance(at[w], b, opened) for w, b in balances.items()}
-        todo = {key: opened[key] for key in walks.values() if key is not None}
-        if not todo:
-            break
-        part = sliced.where(F.col("slice").isin([s for _, s in todo]))
-        closing = (
-            _with_openings(spark, part, todo, "inner")
-            .groupBy("Wallet_ID", "slice")
-            .applyInPandas(lambda rows: walk([rows]).tail(1), SETTLED)
-            .select("Wallet_ID", "balance")
-            .collect()
-        )
-        balances = {row["Wallet_ID"]: row["balance"] for row in closing}
-    return opened
+    if len(known) <= PRUNED:
+        sliced = sliced.where(F.col("slice").isin(known["slice"].tolist()))
+    last = _with_openings(sliced, known, "inner").groupBy("Wallet_ID", "slice")
+    rows = last.applyInPandas(lambda rows: walk([rows]).tail(1), SETTLED).select("Wallet_ID", "balance").collect()
+    return {row["Wallet_ID"]: row["balance"] for row in rows}
+
+
+def _openings(sliced: DataFrame) -> pd.DataFrame:
+    """Opening balance of every slice of every chain."""
+    chain = _chains(sliced).toPandas()
+    wallet, need, least, net, credits = (chain[c].to_numpy() for c in ("Wallet_ID", "need", "least", "net", "credits"))
+    opened = chain[["Wallet_ID", "slice"]].assign(carried=chain["opening"])
+    carried = opened["carried"].to_numpy().copy()
+
+    def advance(start: int, end: int, balance: int) -> int | None:
+        """Pass whole slices while the balance decides them; the place of the first that has to be walked."""
+        for n in range(start, end):
+            carried[n] = balance
+            if balance >= need[n]:
+                balance += net[n]
+            elif balance < least[n]:
+                balance += credits[n]
+            else:
+                return n
+        return None
+
+    starts = np.flatnonzero(np.r_[len(chain) > 0, wallet[1:] != wallet[:-1]]).tolist()
+    cursors = [(n, end, carried[n]) for n, end in zip(starts, [*starts[1:], len(chain)], strict=False)]
+    while walks := [(n, end) for start, end, balance in cursors if (n := advance(start, end, balance)) is not None]:
+        places = [n for n, _ in walks]
+        closing = _closing(sliced, opened.iloc[places].assign(carried=carried[places]))
+        cursors = [(n + 1, end, closing[wallet[n]]) for n, end in walks]
+    return opened.assign(carried=carried)
 
 
 def settle_events(spark: SparkSession, events: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """All events with ``accepted`` and the wallet's ``balance`` after them (both in the EVENTS order)."""
     folder = f"{shared_folder(spark)}/ledger-{uuid.uuid4().hex}"
     sliced = _slices(spark, events, folder, slice_rows)
-    opened = _openings(spark, sliced)
     walk = walker()
-    known = _with_openings(spark, sliced, opened, "left")
+    known = _with_openings(sliced, _openings(sliced), "left")
     settled = known.groupBy("slice").applyInPandas(lambda rows: walk([rows]), SETTLED)
     settled.write.parquet(f"{folder}/settled")
     return spark.read.schema(SETTLED).parquet(f"{folder}/settled")
