@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tiffin.jobs import checkout, deletion, intake, ledger, quality, rating, refunds
 from tiffin.operators import dense_numbers
 from tiffin.operators.numbering import number_range
-from tiffin.sources import sinks
+from tiffin.plans import audit
+from tiffin.sources import Marketplace, sinks
 
 CHANGES = "before struct<Restaurant_ID:bigint,Rating:float>, after struct<Restaurant_ID:bigint,Rating:float>"
 
@@ -263,3 +264,13 @@ def test_facts_by_month_are_pruned(spark, tmp_path):
     one = spark.read.parquet(path).where(F.col("month") == "2026-02")
     assert "PartitionFilters: [isnotnull(month" in one._jdf.queryExecution().executedPlan().toString()
     assert [r.OrderID for r in one.collect()] == [2]
+
+
+def test_period_report_reads_its_months_only(spark, tmp_path):
+    root = str(tmp_path)
+    m = market(spark, "gen1", orders=[order(i, Date_Time=at(1, month=i)) for i in (1, 2, 3)], payment=[paid(i, i) for i in (1, 2, 3)])
+    sinks.write_by_month(m["orders"], f"{root}/orders", "Date_Time")
+    sinks.append(m["payment"], f"{root}/payment")
+    report = audit.mode_share_in_period(Marketplace.from_parquet(spark, root), at(1, month=2), at(1, month=3), ("UPI",))
+    assert "PartitionFilters: [isnotnull(month" in report._jdf.queryExecution().executedPlan().toString()
+    assert collected(report) == [("UPI", 1, money("100.00"), money("100.00"))]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tiffin.functions import half_up_ratio, whole_hours, whole_minutes
-from tiffin.operators import attach, cart_values, item_sales
+from tiffin.operators import attach, cart_values, in_period, item_sales
 from tiffin.sources import Marketplace
 
 
@@ -134,13 +134,12 @@ def valuable_abandoned_carts(m: Marketplace, min_value: Decimal | int = 500) ->
 
 def mode_share_in_period(m: Marketplace, start: datetime, end: datetime, modes: tuple[str, ...]) -> DataFrame:
     """Paid payments of orders placed in ``[start, end)`` for some modes; shares are of all modes' payments."""
-    placed = F.col("Date_Time")
-    in_period = (placed >= F.lit(start).cast("timestamp_ntz")) & (placed < F.lit(end).cast("timestamp_ntz"))
+    orders = in_period(m["orders"], "Date_Time", start, end).select("OrderID")
     by_mode = (
         m["payment"]
         .where(F.col("Status") == "Paid")
         .select(F.col("Order_ID").alias("OrderID"), "Mode", "Amount")
-        .join(m["orders"].where(in_period).select("OrderID"), "OrderID", "left_semi")
+        .join(orders, "OrderID", "left_semi")
         .groupBy("Mode")
         .agg(F.count(F.lit(1)).alias("transaction_count"), F.sum("Amount").alias("total_collected"))
     )

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tiffin.jobs.rating import STATE, signed_changes
+from tiffin.sources.sinks import publish, published_version, read_published
 
 
 def start(changes: DataFrame, folder: str, **trigger) -> StreamingQuery:
@@ -36,9 +37,28 @@ def start(changes: DataFrame, folder: str, **trigger) -> StreamingQuery:
     )
 
 
-def state(spark: SparkSession, folder: str) -> DataFrame:
-    """Newest state of every restaurant the stream has seen, in the shape of ``tiffin.jobs.rating``."""
-    written = spark.read.schema(f"{STATE}, epoch bigint").parquet(f"{folder}/state")
+def _epochs(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema(f"{STATE}, epoch bigint").parquet(f"{folder}/state")
+
+
+def _newest(written: DataFrame) -> DataFrame:
     return written.groupBy("Restaurant_ID").agg(
         F.max_by("stars", "epoch").alias("stars"), F.max_by("reviews", "epoch").alias("reviews")
     )
+
+
+def state(spark: SparkSession, folder: str) -> DataFrame:
+    """Newest state of every restaurant the stream has seen, in the shape of ``tiffin.jobs.rating``."""
+    folded = published_version(spark, f"{folder}/folded")
+    if not folded:
+        return _newest(_epochs(spark, folder))
+    base = read_published(spark, f"{folder}/folded", "state", folded).withColumn("epoch", F.lit(-1).cast("bigint"))
+    return _newest(base.unionByName(_epochs(spark, folder).where(F.col("epoch") >= folded)))
+
+
+def fold(spark: SparkSession, folder: str) -> int:
+    """Fold the micro-batches written so far into one table and return how many there were. Reading then costs one
+    row per restaurant plus what came since; folded micro-batches can be removed."""
+    upto = _epochs(spark, folder).agg(F.max("epoch")).first()[0] + 1
+    publish(spark, f"{folder}/folded", upto, {"state": state(spark, folder)})
+    return upto
