@@ -218,6 +218,8 @@ def test_quality_reports_each_kind_of_fault(spark):
     assert found(quality.orphan_references(m)) == {
         ("orders", "UserID", "users", 1): 1, ("menu_item", "Category_Name,Restaurant_ID", "menu_category", 1): 1
     }
+    to_users, _ = m.model["orders"].refs
+    assert collected(quality.orphan_values(m, "orders", to_users)) == [(7, 1)]
     failing = {r.OrderID: set(r.failed) for r in quality.failing_rows(m, "orders").collect()}
     assert failing[2] >= {"Total_Amount >= 0", "Status is not in its list"} and "UserID is missing" in failing[3]
 

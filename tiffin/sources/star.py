@@ -17,6 +17,24 @@ from pyspark.sql import functions as F
 from tiffin.sources.catalog import Marketplace
 from tiffin.sources.schema import GENERATIONS
 
+# Declared, so that no file is opened to learn a schema. Money and quantities are doubles here.
+STAR = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 MODES = {"1-URGENT": "UPI", "2-HIGH": "Card", "3-MEDIUM": "Cash", "4-NOT SPECIFIED": "Wallet", "5-LOW": "NetBanking"}
 ISSUES = ["Late Delivery", "Wrong Item", "Cold Food", "Missing Item", "Quality Issue", "Packaging", "Spill", "Other"]
 EPOCH = "1992-01-01 00:00:00"
@@ -81,7 +99,7 @@ class StarSource:
         self.root = root
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        return self.spark.read.schema(STAR[name]).parquet(f"{self.root}/{name}.parquet")
 
     @cached_property
     def restaurants(self) -> int:

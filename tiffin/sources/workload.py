@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tiffin.jobs.ledger import EVENTS
-from tiffin.sources.star import StarSource
+from tiffin.sources.star import STAR, StarSource
 
 REFUND = "struct<Refund_ID:bigint,Wallet_ID:bigint,Refund_Amount:decimal(18,2),Refund_Status:string>"
 
@@ -78,10 +78,9 @@ def checkout_requests(source: StarSource) -> DataFrame:
 
 def event_stream(source: StarSource) -> DataFrame:
     """The events as an unbounded input: new files become new rows."""
-    schema = source.raw("events").schema
     # A pattern, because a stream source takes a plain path for a folder while the table may be a single file.
     # The limit bounds a micro-batch, and with it what one busy wallet can bring to a task.
-    reader = source.spark.readStream.schema(schema).option("maxFilesPerTrigger", 8)
+    reader = source.spark.readStream.schema(STAR["events"]).option("maxFilesPerTrigger", 8)
     return reader.parquet(f"{source.root}/events.parque[t]")
 
 
