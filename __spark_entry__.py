@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 import uuid
@@ -146,6 +147,21 @@ def _debits_streamed(source: StarSource) -> DataFrame:
     return settled.select("Wallet_ID", "id", "accepted", F.col("balance").cast("double").alias("balance"))
 
 
+def _corpus() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries and SQL of the llm subpackage and the pipeline, as far as they are there."""
+    found, sql = {}, {}
+    if importlib.util.find_spec("tiffin.llm"):
+        from tiffin.llm import queries as corpus
+
+        found |= corpus.QUERIES
+        sql |= corpus.ORACLE_SQL
+    if found and importlib.util.find_spec("corpus_pipeline"):
+        import corpus_pipeline
+
+        found["pipeline"] = corpus_pipeline.run
+    return found, sql
+
+
 def entry(spark: SparkSession) -> DataFrame:
     return queries()["a01_revenue_leaderboard"](spark, "/root/testdata/sf0.001")
 
@@ -235,10 +251,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq6_wallet_purge_deleted": _job(lambda s: _deleted(_overdrawn_wallets(s))),
         "dq7_cart_defaults": _job(_cart_defaults),
         "dq7_menu_change_stamp": _job(_menu_change),
-    }
+    } | _corpus()[0]
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle import oracle_sql as sql
 
-    return sql()
+    return sql() | _corpus()[1]

@@ -7,7 +7,10 @@ import __spark_entry__ as registered
 from oracle.tables import TABLES, with_tables
 from tiffin.sources import StarSource
 
-QUERIES, SQL = registered.queries(), registered.oracle_sql()
+# The subpackage llm has tests of its own.
+CORPUS, CORPUS_SQL = registered._corpus()
+QUERIES = {k: v for k, v in registered.queries().items() if k not in CORPUS}
+SQL = {k: v for k, v in registered.oracle_sql().items() if k not in CORPUS_SQL}
 
 
 @pytest.fixture(scope="module")
