@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiffin.llm import decontamination, language_id, line_dedup, mixing, simhash, token_files
+from tiffin.llm import (
+    decontamination,
+    language_id,
+    line_dedup,
+    mixing,
+    simhash,
+    substring_dedup,
+    suffix_dedup,
+    token_files,
+)
 from tiffin.session import tune
 
 TOKENIZER = "word_bpe_49k.json"
@@ -28,6 +37,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.deduplicate_lines(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeated_words(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
@@ -46,6 +59,10 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, folder, manifest, token_files.id_type(path, END_ID))
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeated_bytes(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     choice, targets = mixing.mix(table(spark, sf_dir, "documents"))
     joined = choice.join(targets, choice["source"].eqNullSafe(targets["source"]))
@@ -56,10 +73,12 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_language_id": op4_language_id,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_token_files": op7_token_files,
+    "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_source_mixing": op10_source_mixing,
 }
 
@@ -88,4 +107,61 @@ ORACLE_SQL: dict[str, str] = {
             sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT dropped), '')) AS kept_sha256
         FROM judged GROUP BY r
     """,
+    "op3_substring_dedup": r"""
+        WITH texts AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+            FROM documents
+        ),
+        words AS (SELECT r, doc_id, unnest(w) AS word, unnest(range(len(w))) AS i, len(w) AS n FROM texts),
+        windows AS (
+            SELECT r, doc_id, i, n, string_agg(word, ' ') OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS win
+            FROM words
+        ),
+        judged AS (
+            SELECT r, doc_id, i, n, (doc_id, i) > min((doc_id, i)) OVER (PARTITION BY win) AS again
+            FROM windows WHERE i + 20 <= n
+        ),
+        hits AS (SELECT r, i FROM judged WHERE again),
+        marked AS (
+            SELECT w.r, w.i, w.word,
+                max(CASE WHEN h.r IS NOT NULL THEN 1 ELSE 0 END)
+                    OVER (PARTITION BY w.r ORDER BY w.i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) = 1 AS gone
+            FROM words w LEFT JOIN hits h ON w.r = h.r AND w.i = h.i
+        ),
+        folded AS (
+            SELECT r, count(*) AS n, count(*) FILTER (gone) AS removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept
+            FROM marked GROUP BY r
+        )
+        SELECT t.doc_id, coalesce(f.n, 0) AS n_words, coalesce(f.removed, 0) AS n_removed, sha256(coalesce(f.kept, '')) AS kept_sha256
+        FROM texts t LEFT JOIN folded f ON t.r = f.r
+    """,
+    "op9_suffix_array_dedup": r"""
+        WITH texts AS (
+            SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h,
+                octet_length(encode(coalesce(text, ''))) AS n FROM documents
+        ),
+        bytes AS (SELECT r, doc_id, n, unnest(range(n)) AS i, unnest(regexp_extract_all(h, '..')) AS b FROM texts),
+        windows AS (
+            SELECT r, doc_id, i, n, string_agg(b, '') OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING) AS win
+            FROM bytes
+        ),
+        judged AS (SELECT r, i, doc_id > min(doc_id) OVER (PARTITION BY win) AS again FROM windows WHERE i + 50 <= n),
+        hits AS (SELECT r, i FROM judged WHERE again),
+        marked AS (
+            SELECT w.r, w.i, w.b,
+                max(CASE WHEN h.r IS NOT NULL THEN 1 ELSE 0 END)
+                    OVER (PARTITION BY w.r ORDER BY w.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) = 1 AS gone
+            FROM bytes w LEFT JOIN hits h ON w.r = h.r AND w.i = h.i
+        ),
+        edges AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY r ORDER BY i), false) AS begins FROM marked),
+        folded AS (
+            SELECT r, count(*) FILTER (gone) AS removed, count(*) FILTER (begins) AS spans,
+                string_agg(b, '' ORDER BY i) FILTER (NOT gone) AS kept
+            FROM edges GROUP BY r
+        )
+        SELECT t.doc_id, t.n AS n_bytes, coalesce(f.removed, 0) AS n_removed, coalesce(f.spans, 0) AS n_spans,
+            sha256(unhex(coalesce(f.kept, ''))) AS kept_sha256
+        FROM texts t LEFT JOIN folded f ON t.r = f.r
+    """,
 }
