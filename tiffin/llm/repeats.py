@@ -78,7 +78,7 @@ class Words:
 class Bytes:
     """A block of bytes."""
 
-    def __init__(self, window: int, gram: int = 16, same_document: bool = False):
+    def __init__(self, window: int, gram: int = 24, same_document: bool = False):
         self.window, self.gram, self.same_document = window, gram, same_document
         self.segment_bytes = 70
 
