@@ -29,38 +29,49 @@ LEAST_SCORE = 0.3
 SHINGLE, MAX_BITS = 3, 2
 
 
-def _columns(docs: DataFrame) -> list:
-    return [F.col(f"`{c}`") for c in docs.columns]
+class _Plain:
+    """Documents under column names of our own, so that whatever they are named clashes with nothing."""
+
+    def __init__(self, docs: DataFrame):
+        self.names = docs.columns
+        self.docs = docs.toDF(*[f"c{i}" for i in range(len(self.names))])
+        self.id, self.text, self.lang, self.source = (f"c{self.names.index(x)}" for x in ("doc_id", "text", "lang", "source"))
+
+    def back(self, df: DataFrame) -> DataFrame:
+        return df.select(*self.docs.columns).toDF(*self.names)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents whose language is told. The network learns from the labelled documents of the input."""
-    told = language_id.predict(docs, language_id.learn(docs))
-    kept = (F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
-    return told.where(kept).select(*_columns(docs))
+    p = _Plain(docs)
+    network = language_id.learn(p.docs, p.id, p.text, p.lang)
+    told = language_id.predict(p.docs, network, p.text)
+    return p.back(told.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_SCORE)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the row with the smallest identifier of each component."""
-    classes = simhash.near_duplicates(docs, shingle=SHINGLE, max_bits=MAX_BITS)
-    best = classes.groupBy("component_id").agg(F.count("*").alias("n"))  # one row per component
-    chosen = best.select(F.col("component_id").alias("_keep"))
-    kept = docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["_keep"]), "left_semi")
+    p = _Plain(docs)
+    classes = simhash.near_duplicates(p.docs, p.id, p.text, shingle=SHINGLE, max_bits=MAX_BITS)
+    chosen = classes.groupBy(F.col("component_id").alias("_keep")).agg(F.count("*").alias("_size"))
+    kept = p.docs.join(chosen, p.docs[p.id].eqNullSafe(chosen["_keep"]), "left_semi")
     # Rows may share an identifier: one of them is enough.
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64(*_columns(docs)))
-    return kept.withColumn("_n", F.row_number().over(first)).where("_n = 1").select(*_columns(docs))
+    first = Window.partitionBy(p.id).orderBy(F.xxhash64(*p.docs.columns))
+    return p.back(kept.withColumn("_n", F.row_number().over(first)).where("_n = 1"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents without benchmark passages."""
-    found = decontamination.find_items(docs, table(spark, sf_dir, "benchmark"))
-    return found.where(F.size("_found") == 0).select(*_columns(docs))
+    p = _Plain(docs)
+    found = decontamination.find_items(p.docs, table(spark, sf_dir, "benchmark"), p.id, p.text)
+    return p.back(found.where(F.size("_found") == 0))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each row as often as the mix takes it."""
-    choice, _ = mixing.mix(docs)
-    return mixing.mixed_rows(docs, choice)
+    p = _Plain(docs)
+    choice, _ = mixing.mix(p.docs, p.id, p.text, p.source)
+    return p.back(mixing.mixed_rows(p.docs, choice, p.id, p.text, p.source))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

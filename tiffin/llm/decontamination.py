@@ -78,7 +78,8 @@ def find_items(
     broadcast_seeds: int = 1 << 20,
     masks=MASKS,
 ) -> DataFrame:
-    """``docs`` with one more column, ``_found``: array of (item, matches), the items found in the document in
+    """``docs``, whose columns may not be named like this function's (``_id``, ``_hits``, ``_uid``, ``_doc``,
+    ``_items``), with one more column, ``_found``: array of (item, matches), the items found in the document in
     ascending order, each with the most equal words in a stretch; empty if there are none."""
     known = items.select(
         F.col(item_id_col).cast("bigint").alias("item"), words_of(F.col(item_text_col).cast("string")).alias("words")
@@ -135,7 +136,8 @@ def find_items(
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """One row per row of ``docs``: identifier, contaminated, items (identifiers, ascending), matches (the most equal
     words in a stretch, 0 if nothing was found)."""
-    found = find_items(docs, items, id_col, **options)
+    text_col = options.get("text_col", "text")
+    found = find_items(docs.select(id_col, text_col), items, id_col, **options)
     return found.select(
         F.col(id_col),
         (F.size("_found") > 0).alias("contaminated"),

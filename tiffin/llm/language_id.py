@@ -88,7 +88,7 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 
 def train(
-    windows: np.ndarray, target: np.ndarray, labels: list[str], widths=(2, 3, 4), filters=16, size=8, epochs=4, seed=3
+    windows: np.ndarray, target: np.ndarray, labels: list[str], widths=(2, 3, 4), filters=16, size=8, steps=400, seed=3
 ) -> Network:
     """Fit by Adam on the cross-entropy. The gradient of a maximum goes to the place where it was."""
     rng = np.random.default_rng(seed)
@@ -101,7 +101,7 @@ def train(
     p = {k: v.astype(np.float32) for k, v in p.items()}
     first, second = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
     step = 0
-    for _ in range(epochs):
+    while step < steps:
         order = rng.permutation(len(windows))
         for i in range(0, len(order), 64):
             rows = order[i : i + 64]

@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from tiffin.llm import (
     decontamination,
     language_id,
+    license_scan,
     line_dedup,
     mixing,
     simhash,
     substring_dedup,
     suffix_dedup,
     token_files,
+    topk_search,
 )
 from tiffin.session import tune
 
@@ -33,6 +35,10 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.deduplicate_lines(table(spark, sf_dir, "documents")).drop("kept")
 
@@ -59,6 +65,11 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, folder, manifest, token_files.id_type(path, END_ID))
 
 
+def op8_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item as a query against all documents."""
+    return topk_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeated_bytes(table(spark, sf_dir, "documents")).drop("kept")
 
@@ -72,12 +83,14 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_line_dedup": op2_line_dedup,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_language_id": op4_language_id,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_token_files": op7_token_files,
+    "op8_topk_search": op8_topk_search,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_source_mixing": op10_source_mixing,
 }
