@@ -281,7 +281,7 @@ def test_decontamination(spark, docs, rows, broadcast_seeds):
         (200, "no more"),
     ]
     more = spark.createDataFrame([(i, t, *[None] * 12) for i, t in more], SCHEMA)
-    got = decontamination.contaminated(docs.unionByName(more), items, broadcast_seeds=broadcast_seeds)
+    got = decontamination.contaminated(docs.unionByName(more), items, broadcast_seeds=broadcast_seeds, filter_pairs=broadcast_seeds and 1 << 14)
     all_rows = [(i, t) for i, t, _ in rows] + [(r["doc_id"], r["text"]) for r in more.collect()]
     known = {r["item_id"]: topk_search.words(r["text"]) for r in items.collect()}
     want = Counter()

@@ -13,7 +13,8 @@ has a window that one of them hits, so the search misses nothing that the defini
 Scale. The documents are read once for hits: hashes of windows are made per document, exploded and joined with the
 seeds of the items. Up to ``broadcast_seeds`` seeds (counted; 24 bytes each) are broadcast and no document row is
 moved; more are joined by a shuffle that adaptive execution may split. Seeds are distinct per item and place, so copies
-of items cost no more. Hits become distinct diagonals before anything is compared, and only documents with a hit have
+of items cost no more. Up to ``filter_pairs`` distinct first pairs of words of the items become a constant set, and only
+windows that begin with one of them are hashed; with more, all are. Hits become distinct diagonals before anything is compared, and only documents with a hit have
 their words made again.
 
 Items shorter than ``stretch`` words can't be found. NULL and empty texts have no words. Repeated items and identifiers
@@ -41,21 +42,28 @@ def once(value: Column, then) -> Column:
     return F.transform(F.array(value), then)[0]
 
 
-def seeds_of(hashes: Column, masks=MASKS) -> Column:
-    """Seeds of the windows that begin at each place, one per mask. Windows over the end of the text have fewer words;
-    their hits are compared like all others."""
-    seed = lambda i, k, mask: F.xxhash64(F.lit(k), *[F.get(hashes, i + o) for o in mask])
-    return F.flatten(F.transform(hashes, lambda _, i: F.array(*[seed(i, k, m) for k, m in enumerate(masks)])))
+def _pair(hashes: Column, i: Column) -> Column:
+    return F.xxhash64(F.get(hashes, i), F.get(hashes, i + 1))
 
 
-def _windows(rows: DataFrame, masks) -> DataFrame:
-    """All columns but the text's, and at, seed: a row for each window and mask."""
+def _windows(rows: DataFrame, masks, pairs: list[int] | None = None) -> DataFrame:
+    """All columns but the text's, and at, seed: a row for each window and mask; with ``pairs`` only for windows whose
+    first two words have one of these hashes. Windows over the end of the text have fewer words; their hits are
+    compared like all others."""
     hashes = F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w))
     keep = [c for c in rows.columns if c != "text"]
-    seeded = rows.select(*keep, once(hashes, lambda h: seeds_of(h, masks)).alias("seeds"))
-    return seeded.select(*keep, F.posexplode("seeds").alias("k", "seed")).select(
-        *keep, F.floor(F.col("k") / len(masks)).cast("int").alias("at"), "seed"
-    )
+
+    def places(h: Column) -> Column:
+        if pairs is None:
+            return F.transform(h, lambda _, i: i)
+        return F.array_compact(F.transform(h, lambda _, i: F.when(_pair(h, i).isin(pairs), i)))
+
+    def seeds(h: Column, i: Column) -> Column:
+        seed = lambda k, mask: F.xxhash64(F.lit(k), *[F.get(h, i + o) for o in mask])
+        return F.array(*[F.struct(i.alias("at"), seed(k, mask).alias("seed")) for k, mask in enumerate(masks)])
+
+    windows = once(hashes, lambda h: F.flatten(F.transform(places(h), lambda i: seeds(h, i))))
+    return rows.select(*keep, F.inline(windows))
 
 
 def _stretch_matches(equal: Column, stretch: int) -> Column:
@@ -76,6 +84,7 @@ def find_items(
     stretch: int = 12,
     substitutions: int = 2,
     broadcast_seeds: int = 1 << 20,
+    filter_pairs: int = 1 << 14,
     masks=MASKS,
 ) -> DataFrame:
     """``docs``, whose columns may not be named like this function's (``_id``, ``_hits``, ``_uid``, ``_doc``,
@@ -90,9 +99,14 @@ def find_items(
     seeds = stage(seeds.select("seed", "item", "at", "n").distinct(), "benchmark-seeds")
     if seeds.count() <= broadcast_seeds:
         seeds = F.broadcast(seeds)
+    hashes = F.transform("words", lambda w: F.xxhash64(w))
+    first = known.select(F.explode(once(hashes, lambda h: F.transform(h, lambda _, i: _pair(h, i)))).alias("pair")).distinct()
+    pairs = [r["pair"] for r in first.limit(filter_pairs + 1).collect()]
+    # A set of first pairs small enough for a constant spares most windows the hashing; all masks begin with that pair.
+    pairs = pairs if len(pairs) <= filter_pairs and all(m[:2] == (0, 1) for m in masks) else None
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    windows = _windows(rows, masks).select("id", "seed", F.col("at").alias("place"))
+    windows = _windows(rows, masks, pairs).select("id", "seed", F.col("at").alias("place"))
     hits = windows.join(seeds, "seed").select("id", "item", (F.col("place") - F.col("at")).alias("shift"), "n").distinct()
     per_doc = hits.groupBy(F.col("id").alias("_id")).agg(F.collect_list(F.struct("item", "shift", "n")).alias("_hits"))
 
