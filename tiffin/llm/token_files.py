@@ -38,7 +38,7 @@ from tiffin.llm.words import utf8
 from tiffin.session import shared_folder, stage
 
 NULL_ID = -(1 << 63)
-CACHED_WORDS = 1 << 20
+CACHED_WORDS = 1 << 19
 
 
 class WordwiseEncoder:
@@ -58,10 +58,21 @@ class WordwiseEncoder:
     def _ids(self, ids: list[int]) -> bytes:
         return np.array(ids, dtype=self.dtype).tobytes()
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
+        """Identifiers of each text. Texts are split in groups of about a million characters, so that their words
+        take little memory."""
+        group, size = [], 0
+        for text in texts:
+            group.append(utf8(text).split())
+            size += len(text or "")
+            if size >= 1 << 20:
+                yield from self._group(group)
+                group, size = [], 0
+        yield from self._group(group)
+
+    def _group(self, pieces: list[list[bytes]]) -> list[bytes]:
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
-        pieces = [utf8(t).split() for t in texts]
         new = list({w for own in pieces for w in own if w not in self.known})
         for i in range(0, len(new), 4096):
             part = new[i : i + 4096]
@@ -106,7 +117,7 @@ def _write(uri: str, path: str, end_id: int, dtype: str) -> Callable:
             yield from batches
 
         for batch in every():
-            encoded = _encoder(path, dtype).encode(batch.column(1).to_pylist())
+            encoded = list(_encoder(path, dtype).encode(batch.column(1).to_pylist()))
             sizes = np.fromiter((len(x) // width + 1 for x in encoded), np.int64, len(encoded))
             tok.write(b"".join(x + end for x in encoded))
             off.write((at + np.cumsum(sizes)).astype("<i8").tobytes())
