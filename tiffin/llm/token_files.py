@@ -23,6 +23,7 @@ follow in the order of their texts. An empty table gives an empty manifest. Othe
 from __future__ import annotations
 
 import os
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -54,6 +55,13 @@ class WordwiseEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer, self.dtype = Tokenizer.from_file(path), dtype
         self.known: dict[bytes, bytes] = {}
+        # Which identifiers end a word, if the tokenizer splits letters from all else and marks the ends.
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = None
+        probe = self.tokenizer.encode_batch_fast(["ab, cd. ef", "ab", ",", "cd", ".", "ef"], add_special_tokens=False)
+        if suffix and probe[0].ids == [i for e in probe[1:] for i in e.ids]:
+            self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+            self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
 
     def _ids(self, ids: list[int]) -> bytes:
         return np.array(ids, dtype=self.dtype).tobytes()
@@ -73,13 +81,43 @@ class WordwiseEncoder:
     def _group(self, pieces: list[list[bytes]]) -> list[bytes]:
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
-        new = list({w for own in pieces for w in own if w not in self.known})
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
+        new = {w for own in pieces for w in own if w not in self.known}
+        self._learn_letters(new)
+        rest = [w for w in new if w not in self.known]
+        for i in range(0, len(rest), 4096):
+            part = rest[i : i + 4096]
             found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
             self.known.update(zip(part, (self._ids(e.ids) for e in found), strict=True))
         return [b"".join(map(self.known.__getitem__, own)) for own in pieces]
 
+    def _learn_letters(self, new: set[bytes]) -> None:
+        """Pieces that are letters, or letters and a full stop or comma, many in one call: the tokenizer splits
+        between letters and marks, and a token with the end-of-word suffix ends a piece of letters."""
+        if self.ends is None:
+            return
+        split = {}
+        for piece in new:
+            stem = piece[:-1] if piece[-1:] in (b".", b",") else piece
+            text = stem.decode("utf-8", "replace")
+            if text.isalpha() and text.isascii() or text.isalpha() and unicodedata.is_normalized("NFC", text):
+                split[piece] = (stem, piece[len(stem) :])
+        stems = list({s for s, _ in split.values() if s not in self.known})
+        for i in range(0, len(stems), 1024):
+            part = stems[i : i + 1024]
+            joined = b" ".join(part).decode()
+            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype=np.int64)
+            cut = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(cut) == len(part):
+                raw, width = ids.astype(self.dtype).tobytes(), np.dtype(self.dtype).itemsize
+                self.known.update(
+                    (w, raw[a * width : b * width]) for w, a, b in zip(part, [0, *cut[:-1]], cut, strict=True)
+                )
+        for piece, (stem, mark) in split.items():
+            if mark and stem in self.known:
+                if mark not in self.known:
+                    self.known[mark] = self._ids(self.tokenizer.encode(mark.decode(), add_special_tokens=False).ids)
+                self.known[piece] = self.known[stem] + self.known[mark]
+
 
 _ENCODERS: dict[tuple[str, str], WordwiseEncoder] = {}  # a worker process keeps its tokenizer from task to task
 
