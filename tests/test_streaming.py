@@ -93,3 +93,14 @@ def test_debits_equal_the_batch_job(spark, folders):
     batch = ledger.settle_events(spark, spark.createDataFrame(events, ledger.EVENTS), slice_rows=30)
     assert {tuple(r) for r in streamed.collect()} == {tuple(r) for r in batch.collect()}
     assert not all(r.accepted for r in batch.collect())
+
+
+def test_wallet_debits_do_not_depend_on_files(spark, small, tmp_path):
+    """The registered stream gives the same rows from one file and from 24 files in no order."""
+    import __spark_entry__ as registered
+
+    events = spark.read.parquet(f"{small}/events.parquet")
+    events.orderBy("value", "event_id").repartition(24).write.parquet(str(tmp_path / "events.parquet"))
+    query = registered.queries()["w03_wallet_debit_stream"]
+    one, many = (sorted(map(tuple, query(spark, d).collect())) for d in (small, str(tmp_path)))
+    assert one == many

@@ -76,11 +76,11 @@ def checkout_requests(source: StarSource) -> DataFrame:
     )
 
 
-def event_stream(source: StarSource) -> DataFrame:
-    """The events as an unbounded input: new files become new rows."""
+def event_stream(source: StarSource, files: int | None = 8) -> DataFrame:
+    """The events as an unbounded input: new files become new rows, ``files`` of them at a time (None: all there are)."""
     # A pattern, because a stream source takes a plain path for a folder while the table may be a single file.
-    # The limit bounds a micro-batch, and with it what one busy wallet can bring to a task.
-    reader = source.spark.readStream.schema(STAR["events"]).option("maxFilesPerTrigger", 8)
+    reader = source.spark.readStream.schema(STAR["events"])
+    reader = reader if files is None else reader.option("maxFilesPerTrigger", files)
     return reader.parquet(f"{source.root}/events.parque[t]")
 
 
@@ -107,9 +107,13 @@ def refund_stream(source: StarSource) -> DataFrame:
 
 
 def wallet_stream(source: StarSource) -> DataFrame:
-    """Wallet movements as credit and debit requests; every wallet starts empty."""
+    """Wallet movements as credit and debit requests; every wallet starts empty.
+
+    Whether a debit is covered depends on the order of the events, and a micro-batch is settled in that order. All
+    files that have arrived are therefore one micro-batch: how the events are dealt to files changes nothing.
+    """
     kinds = F.col("event_type").isin("purchase", "click")
-    rows = event_stream(source).where(kinds).select(
+    rows = event_stream(source, files=None).where(kinds).select(
         F.col("user_id").alias("Wallet_ID"),
         F.col("ts").alias("at"),
         F.when(F.col("event_type") == "purchase", 1).otherwise(0).alias("kind"),
