@@ -71,7 +71,7 @@ TABLES = {
         FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
     "g1_cuisine": """
         SELECT DISTINCT p_type AS Cuisine, l_suppkey AS Restaurant_ID
-        FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_quantity >= 49 AND l_linenumber = 1""",
+        FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "g1_menu_category": f"""
         SELECT DISTINCT p_type AS Category_Name,
                CASE p_type WHEN 'PROMO' THEN 'Vegan' WHEN 'LARGE' THEN 'Non-Veg' WHEN 'MEDIUM' THEN 'Non-Veg'
@@ -135,13 +135,13 @@ TABLES = {
         SELECT event_id AS Transaction_ID, {_nth("event_id", ["Success", "Failed", "Pending"])} AS Status,
                {_nth("event_id", ["UPI", "Card", "NetBanking"])} AS Payment_mode,
                900000000 + event_id AS Transaction_Ref, ts AS Date_Time, user_id AS Wallet_ID
-        FROM events WHERE event_type = 'click' AND value >= 10""",
+        FROM events WHERE event_type = 'click'""",
     "g1_discount": f"""
         SELECT o_orderkey AS Discount_ID, CAST(10 AS FLOAT) AS Discount_PR,
                CAST(50 AS DECIMAL(8, 2)) AS Discount_Amount, o_orderkey AS OrderID
         FROM orders WHERE {WEEKEND}""",
     "g1_complaint": f"""
-        SELECT event_id AS Complaint_ID, event_id * 3 % 997 AS OrderID, {_nth("event_id", ISSUES)} AS Issue_Type,
+        SELECT event_id AS Complaint_ID, event_id * 7 % (SELECT greatest(1, count(*)) FROM orders) AS OrderID, {_nth("event_id", ISSUES)} AS Issue_Type,
                props AS Description, ts AS Created_At, {V1_COMPLAINT} AS Status,
                CASE WHEN {V1_COMPLAINT} IN ('Resolved', 'Closed') THEN ts + INTERVAL 3 HOUR END AS Resolved_At
         FROM events WHERE event_type IN ('error', 'signup')""",
@@ -149,7 +149,7 @@ TABLES = {
         SELECT event_id AS Refund_ID, o_orderkey AS OrderID, event_id AS Complaint_ID,
                CAST(event_id % 500 AS DECIMAL(8, 2)) AS Refund_Amount, {REFUND_STATE} AS Refund_Status,
                CASE WHEN event_id % 5 IN (2, 3) THEN ts + INTERVAL 2 HOUR END AS Completed_At, o_custkey AS Wallet_ID
-        FROM events JOIN orders ON o_orderkey = event_id * 3 % 997 WHERE event_type = 'error'""",
+        FROM events JOIN orders ON o_orderkey = event_id * 7 % (SELECT greatest(1, count(*)) FROM orders) WHERE event_type = 'error'""",
     "g1_cancellation": f"""
         SELECT o_orderkey AS Cancellation_ID, {CANCELLED_BY} AS Cancelled_By, o_orderpriority AS Cancellation_Reason,
                o_orderdate + INTERVAL 1 HOUR AS Cancelled_At, o_orderkey % 4 <> 0 AS Refund_Eligible,
@@ -174,7 +174,7 @@ TABLES = {
     "g2_user_address": "SELECT c_custkey AS UserID, c_custkey AS Add_ID FROM customer",
     "g2_cuisine": """
         SELECT DISTINCT p_type AS Cuisine, l_suppkey AS Restaurant_ID
-        FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_quantity >= 49 AND l_linenumber = 1""",
+        FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "g2_menu_category": f"""
         SELECT DISTINCT p_type AS Category_Name, 'Food' AS Cat_Type, p_partkey % {N} AS Restaurant_ID FROM part""",
     "g2_menu_item": f"""
@@ -201,7 +201,7 @@ TABLES = {
                CASE WHEN {WEEKEND} THEN o_orderkey % 100 END AS Discount_ID
         FROM orders""",
     "g2_order_status_log": """
-        SELECT event_id AS Log_ID, event_id % 100 AS OrderID, event_type AS Status, ts AS Changed_At, props AS Note
+        SELECT event_id AS Log_ID, event_id % (SELECT greatest(1, count(*)) FROM orders) AS OrderID, event_type AS Status, ts AS Changed_At, props AS Note
         FROM events""",
     "g2_order_item": f"""
         SELECT l_orderkey AS OrderID, {ITEM} AS Item_ID, CAST(floor(sum(l_quantity)) AS BIGINT) AS Quantity,
@@ -245,18 +245,18 @@ TABLES = {
         SELECT event_id AS Transaction_ID, {_nth("event_id", ["Success", "Failed", "Pending"])} AS Status,
                {_nth("event_id", ["UPI", "Card", "NetBanking"])} AS Payment_Mode,
                900000000 + event_id AS Transaction_Ref, ts AS Date_Time
-        FROM events WHERE event_type = 'click' AND value >= 10""",
+        FROM events WHERE event_type = 'click'""",
     "g2_notification": """
         SELECT event_id AS Notification_ID, user_id AS UserID, event_id % 3 <> 0 AS Is_Read FROM events""",
     "g2_complaint": f"""
-        SELECT event_id AS Complaint_ID, event_id * 3 % 997 AS OrderID, user_id AS UserID,
+        SELECT event_id AS Complaint_ID, event_id * 7 % (SELECT greatest(1, count(*)) FROM orders) AS OrderID, user_id AS UserID,
                {_nth("event_id", ISSUES)} AS Issue_Type, props AS Description, ts AS Created_At,
                {V2_COMPLAINT} AS Status
         FROM events WHERE event_type IN ('error', 'signup')""",
     "g2_refund": f"""
         SELECT event_id AS Refund_ID, o_orderkey AS OrderID, event_id AS Complaint_ID,
                event_id % 500 AS Refund_Amount, {REFUND_STATE} AS Refund_Status, o_custkey AS Wallet_ID
-        FROM events JOIN orders ON o_orderkey = event_id * 3 % 997 WHERE event_type = 'error'""",
+        FROM events JOIN orders ON o_orderkey = event_id * 7 % (SELECT greatest(1, count(*)) FROM orders) WHERE event_type = 'error'""",
 }
 
 

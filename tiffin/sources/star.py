@@ -106,6 +106,11 @@ class StarSource:
         """Number of suppliers; answered from Parquet footers."""
         return self.raw("supplier").count()
 
+    @cached_property
+    def orders(self) -> int:
+        """Number of orders, whose keys count from 0; answered from Parquet footers. 1 if there are none."""
+        return max(1, self.raw("orders").count())
+
     def marketplace(self, generation: str) -> Marketplace:
         prefix = f"_{generation}_"
         makers = {n: self._typed(generation, n, prefix) for n in GENERATIONS[generation] if hasattr(self, prefix + n)}
@@ -151,10 +156,12 @@ class StarSource:
         return events.where(F.col("event_type").isin(*kinds)) if kinds else events
 
     def _cuisine(self) -> DataFrame:
-        signature = self.raw("lineitem").where((F.col("l_quantity") >= 49) & (F.col("l_linenumber") == 1))
         parts = self.raw("part").select("p_partkey", "p_type")
         return (
-            signature.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+            self.raw("lineitem")
+            .select("l_partkey", "l_suppkey")
+            .distinct()
+            .join(parts, F.col("l_partkey") == F.col("p_partkey"))
             .select(F.col("p_type").alias("Cuisine"), F.col("l_suppkey").alias("Restaurant_ID"))
             .distinct()
         )
@@ -183,7 +190,7 @@ class StarSource:
         )
 
     def _complaints(self) -> DataFrame:
-        return self._events("error", "signup").withColumn("OrderID", F.col("event_id") * 3 % 997)
+        return self._events("error", "signup").withColumn("OrderID", F.col("event_id") * 7 % self.orders)
 
     def refunds(self, events: DataFrame | None = None) -> DataFrame:
         """Refunds of error events; also used on the event stream."""
@@ -191,7 +198,7 @@ class StarSource:
         owner = self.raw("orders").select(F.col("o_orderkey").alias("OrderID"), F.col("o_custkey").alias("Wallet_ID"))
         return (
             events.where(F.col("event_type") == "error")
-            .withColumn("OrderID", F.col("event_id") * 3 % 997)
+            .withColumn("OrderID", F.col("event_id") * 7 % self.orders)
             .join(owner, "OrderID")
             .select(
                 F.col("event_id").alias("Refund_ID"),
@@ -390,7 +397,6 @@ class StarSource:
     def _gen1_wallet_topup(self) -> DataFrame:
         return (
             self._events("click")
-            .where(F.col("value") >= 10)
             .select(
                 F.col("event_id").alias("Transaction_ID"),
                 _pick(F.col("event_id"), ["Success", "Failed", "Pending"]).alias("Status"),
@@ -579,7 +585,7 @@ class StarSource:
     def _gen2_order_status_log(self) -> DataFrame:
         return self._events().select(
             F.col("event_id").alias("Log_ID"),
-            (F.col("event_id") % 100).alias("OrderID"),
+            (F.col("event_id") % self.orders).alias("OrderID"),
             F.col("event_type").alias("Status"),
             F.col("ts").alias("Changed_At"),
             F.col("props").alias("Note"),
