@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiffin.llm.words import mix, sliding_min, utf8, word_bounds, word_hashes
+from tiffin.llm.words import TILE, mix, sliding_min, utf8, word_bounds, word_hashes
 from tiffin.session import stage
 
 BLOCK_BYTES = 2 << 20
@@ -92,10 +92,14 @@ class Bytes:
         n = max(0, len(data) - self.gram + 1)
         eight = np.ndarray((max(0, len(data) - 7),), dtype="<u8", buffer=data, strides=(1,)) if len(data) >= 8 else None
         grams = np.zeros(n, dtype=np.uint64)
-        for j in range(0, self.gram, 8) if n else ():
-            grams = (grams ^ eight[j : j + n]) * np.uint64(0x9E3779B97F4A7C15)
-            grams ^= grams >> np.uint64(29)
-        return mix(grams), lambda a, b: data[a:b]
+        for a in range(0, n, TILE):
+            part = grams[a : a + TILE]
+            for j in range(0, self.gram, 8):
+                part ^= eight[a + j : a + j + len(part)]
+                part *= np.uint64(0x9E3779B97F4A7C15)
+                part ^= part >> np.uint64(29)
+            part[:] = mix(part)
+        return grams, lambda a, b: data[a:b]
 
     def tokens_in(self, piece: bytes) -> int:
         return len(piece)

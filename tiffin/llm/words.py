@@ -6,6 +6,7 @@ import numpy as np
 
 SPACES = " \t\n\x0b\x0c\r"  # what separates words, and nothing else does
 _MULT = np.uint64(0x9E3779B97F4A7C15)
+TILE = 1 << 14  # values worked on at a time where several passes go over them
 
 
 def utf8(text: str | None) -> bytes:
@@ -52,11 +53,15 @@ def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
-    """Minimum of each ``width`` consecutive values, by doubling."""
-    span = 1
-    while span * 2 <= width:
-        values = np.minimum(values[:-span], values[span:])
-        span *= 2
-    if span < width:
-        values = np.minimum(values[: len(values) - (width - span)], values[width - span :])
-    return values
+    """Minimum of each ``width`` consecutive values, by doubling, in parts that stay in the processor's cache."""
+    out = np.empty(max(0, len(values) - width + 1), dtype=values.dtype)
+    for a in range(0, len(out), TILE):
+        part = values[a : a + TILE + width - 1]
+        span = 1
+        while span * 2 <= width:
+            part = np.minimum(part[:-span], part[span:])
+            span *= 2
+        if span < width:
+            part = np.minimum(part[: len(part) - (width - span)], part[width - span :])
+        out[a : a + TILE] = part
+    return out
