@@ -8,7 +8,7 @@ from market import at, collected, market, money, order, paid, restaurant, rows,
 from pyspark.sql import functions as F
 
 from tiffin.jobs import checkout, deletion, intake, ledger, quality, rating, refunds
-from tiffin.operators import dense_numbers
+from tiffin.operators import dense_numbers, numbering
 from tiffin.operators.numbering import number_range
 from tiffin.plans import audit
 from tiffin.sources import Marketplace, sinks
@@ -169,9 +169,21 @@ def test_checkout_is_published_as_one_version(spark, tmp_path):
 def test_numbers_are_dense_in_key_order(spark):
     keys = random.Random(3).sample(range(10_000), 500)
     df = spark.createDataFrame([(k,) for k in keys], "k bigint")
-    numbered = dense_numbers(df, "k", "n", start=101, width=64)
+    numbered = dense_numbers(df, "k", "n", start=101)
     assert sorted(collected(numbered)) == [(k, n) for n, k in enumerate(sorted(keys), 101)]
-    assert sorted(collected(number_range(df, "k", 90, 140, width=64))) == [(k,) for k in sorted(keys)[89:140]]
+    assert sorted(collected(number_range(df, "k", 90, 140, rows=64))) == [(k,) for k in sorted(keys)[89:140]]
+    assert number_range(df.limit(0), "k", 1, 10).count() == 0
+
+
+def test_numbers_of_sparse_keys_need_few_ranges(spark):
+    df = spark.range(20_000).select(F.xxhash64("id").alias("k")).unionByName(
+        spark.createDataFrame([(-(2**63),), (2**63 - 1,)], "k bigint")
+    )
+    keys = sorted(r.k for r in df.collect())
+    assert sorted(collected(dense_numbers(df, "k", "n"))) == [(k, n) for n, k in enumerate(keys, 1)]
+    assert sorted(collected(number_range(df, "k", 90, 140, rows=64))) == [(k,) for k in keys[89:140]]
+    ranged = df.repartitionByRange("k").withColumn("_bucket", F.spark_partition_id())
+    assert numbering._sizes(ranged).count() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def test_defaults_fill_what_is_omitted(spark):

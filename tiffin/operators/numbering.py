@@ -5,48 +5,57 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET_WIDTH = 100_000
+from tiffin.session import stage
 
+BUCKET_ROWS = 100_000
 
-def _bucket(key: str, width: int) -> Column:
-    return F.call_function("div", F.col(key), F.lit(width)).alias("_bucket")
 
-
-def _buckets(df: DataFrame, key: str, width: int) -> DataFrame:
-    """Rows before each key range. Identifiers are handed out densely, so there is about one range per ``width``
-    rows and the running total is over a table that many times smaller than the data."""
-    sizes = df.groupBy(_bucket(key, width)).agg(F.count(F.lit(1)).alias("_size"))
+def _before(sizes: DataFrame) -> DataFrame:
+    """Rows in all buckets before each; ``sizes`` has a row per bucket."""
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    return sizes.select("_bucket", "_size", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+    return sizes.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+
+
+def _sizes(df: DataFrame) -> DataFrame:
+    return df.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
 
 
-def dense_numbers(df: DataFrame, key: str, name: str, start: Column | int = 1, width: int = BUCKET_WIDTH) -> DataFrame:
+def dense_numbers(df: DataFrame, key: str, name: str, start: Column | int = 1) -> DataFrame:
     """Number rows ``start, start + 1, ...`` in key order, as an auto-increment column would.
 
-    ``key`` must be unique: then a key range holds at most ``width`` rows, so no window partition can grow with
-    the data. The numbers depend on the keys only; a re-run task cannot hand out different ones. ``df`` is read
-    twice, so a costly one should be staged first.
+    Rows are range-partitioned by ``key``, which must be unique, and written with their partition's number when this
+    is called. The running total is over one row per partition, however the keys are spread, and a re-run task finds
+    the same partitions. The numbers depend on the keys only.
     """
     start = F.lit(start) if isinstance(start, int) else start
+    ranged = stage(df.repartitionByRange(key).withColumn("_bucket", F.spark_partition_id()), "numbered")
     within = Window.partitionBy("_bucket").orderBy(key)
     return (
-        df.withColumn("_bucket", _bucket(key, width))
-        .join(_buckets(df, key, width).drop("_size"), "_bucket")
+        ranged.join(_before(_sizes(ranged)).drop("_size"), "_bucket")
         .withColumn(name, (start + F.col("_before") + F.row_number().over(within) - 1).cast("bigint"))
         .drop("_bucket", "_before")
     )
 
 
-def number_range(df: DataFrame, key: str, first: int, last: int, width: int = BUCKET_WIDTH) -> DataFrame:
-    """Rows whose number in key order lies in ``first .. last``; only the key ranges that hold them are sorted."""
-    touching = _buckets(df, key, width).where(
+def number_range(df: DataFrame, key: str, first: int, last: int, rows: int = BUCKET_ROWS) -> DataFrame:
+    """Rows whose number in key order lies in ``first .. last``; only the key ranges that hold them are sorted.
+
+    The span of the keys is cut evenly into about as many ranges as there are times ``rows`` rows, so sparse keys
+    make no more ranges than dense ones. Where keys crowd together a range holds more rows. The span and the number
+    of rows are read when this is called.
+    """
+    low, high, count = df.agg(F.min(key), F.max(key), F.count(key)).first()
+    width = max(1, -(-(high - low + 1) * rows // count)) if count else 1
+    # Decimal, as the distance of two 64-bit keys may pass 64 bits.
+    offset = F.col(key).cast("decimal(20,0)") - F.lit(low or 0).cast("decimal(20,0)")
+    bucketed = df.withColumn("_bucket", F.call_function("div", offset, F.lit(width).cast("decimal(38,0)")))
+    touching = _before(_sizes(bucketed)).where(
         (F.col("_before") < last) & (F.col("_before") + F.col("_size") >= first)
     )
     within = Window.partitionBy("_bucket").orderBy(key)
     return (
-        df.withColumn("_bucket", _bucket(key, width))
         # At most last - first + 1 ranges can overlap, since no range in the table is empty.
-        .join(F.broadcast(touching), "_bucket")
+        bucketed.join(F.broadcast(touching), "_bucket")
         .withColumn("_number", F.col("_before") + F.row_number().over(within))
         .where(F.col("_number").between(first, last))
         .drop("_bucket", "_size", "_before", "_number")
