@@ -146,7 +146,7 @@ def _write(uri: str, path: str, end_id: int, dtype: str) -> Callable:
         if first is None:
             return
         fs.create_dir(folder, recursive=True)
-        streams = [fs.open_output_stream(f"{folder}/{name}.{kind}") for kind in ("tok", "off", "doc")]
+        streams = [fs.open_output_stream(f"{folder}/{name}.{kind}", buffer_size=1 << 20) for kind in ("tok", "off", "doc")]
         tok, off, doc = streams
         off.write(np.zeros(1, "<i8").tobytes())
 
@@ -155,12 +155,14 @@ def _write(uri: str, path: str, end_id: int, dtype: str) -> Callable:
             yield from batches
 
         for batch in every():
-            encoded = list(_encoder(path, dtype).encode(batch.column(1).to_pylist()))
-            sizes = np.fromiter((len(x) // width + 1 for x in encoded), np.int64, len(encoded))
-            tok.write(b"".join(x + end for x in encoded))
+            sizes = []
+            for ids in _encoder(path, dtype).encode(batch.column(1).to_pylist()):  # written as they come
+                tok.write(ids)
+                tok.write(end)
+                sizes.append(len(ids) // width + 1)
             off.write((at + np.cumsum(sizes)).astype("<i8").tobytes())
             doc.write(np.array([NULL_ID if x is None else x for x in batch.column(0).to_pylist()], "<i8").tobytes())
-            docs, at = docs + len(encoded), at + int(sizes.sum())
+            docs, at = docs + len(sizes), at + sum(sizes)
         for stream in streams:
             stream.close()
         yield pa.RecordBatch.from_arrays(
