@@ -46,7 +46,8 @@ class WordwiseEncoder:
     """The tokenizers library's identifiers of a text, looked up by word.
 
     For a tokenizer that splits at white space, the identifiers of a text are those of its pieces between white space,
-    one after the other. Each piece is encoded once and kept (up to ``CACHED_WORDS`` pieces, then the store is emptied).
+    one after the other. Each piece is encoded once and kept; beyond ``CACHED_WORDS`` pieces only those stay that the
+    texts at hand use, so frequent ones are not encoded again.
     """
 
     def __init__(self, path: str, dtype: str):
@@ -79,9 +80,10 @@ class WordwiseEncoder:
         yield from self._group(group)
 
     def _group(self, pieces: list[list[bytes]]) -> list[bytes]:
+        words = set().union(*pieces)
+        new = words.difference(self.known)
         if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        new = {w for own in pieces for w in own if w not in self.known}
+            self.known = {w: self.known[w] for w in words - new}
         self._learn_letters(new)
         rest = [w for w in new if w not in self.known]
         for i in range(0, len(rest), 4096):
@@ -97,9 +99,8 @@ class WordwiseEncoder:
             return
         split = {}
         for piece in new:
-            stem = piece[:-1] if piece[-1:] in (b".", b",") else piece
-            text = stem.decode("utf-8", "replace")
-            if text.isalpha() and text.isascii() or text.isalpha() and unicodedata.is_normalized("NFC", text):
+            stem = piece[:-1] if piece.endswith((b".", b",")) else piece
+            if stem.isalpha() or not stem.isascii() and _letters(stem):
                 split[piece] = (stem, piece[len(stem) :])
         stems = list({s for s, _ in split.values() if s not in self.known})
         for i in range(0, len(stems), 1024):
@@ -119,6 +120,11 @@ class WordwiseEncoder:
                 self.known[piece] = self.known[stem] + self.known[mark]
 
 
+def _letters(word: bytes) -> bool:
+    text = word.decode("utf-8", "replace")
+    return text.isalpha() and unicodedata.is_normalized("NFC", text)
+
+
 _ENCODERS: dict[tuple[str, str], WordwiseEncoder] = {}  # a worker process keeps its tokenizer from task to task
 
 
