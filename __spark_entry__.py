@@ -138,7 +138,7 @@ def _ratings_streamed(source: StarSource) -> DataFrame:
 
 def _credits_streamed(source: StarSource) -> DataFrame:
     folder = _drained(refund_stream.start, workload.refund_stream(source), source)
-    return source.spark.read.schema(refund_stream.CREDITS).parquet(f"{folder}/credits")
+    return refund_stream.credits(source.spark, folder)
 
 
 def _debits_streamed(source: StarSource) -> DataFrame:

@@ -66,7 +66,7 @@ def test_refund_credits_fall_due_once(spark, folders):
     for rows in files:
         drop(spark, feed, rows, refund_stream.FEED)
         refund_stream.start(follow(spark, feed, refund_stream.FEED), out).awaitTermination()
-    credits = spark.read.schema(refund_stream.CREDITS).parquet(f"{out}/credits").collect()
+    credits = refund_stream.credits(spark, out).collect()
     due = sorted((r.Refund_ID, (r.at - START) // timedelta(hours=1)) for r in credits)
     assert due == [(1, 2), (3, 1), (4, 4), (4, 6)]
 
