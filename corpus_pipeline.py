@@ -1,13 +1,14 @@
 """From raw documents to token files: each stage works on what the one before kept.
 
 1. language: documents whose language can't be told (no letters, or probability under ``LEAST_SCORE``) go;
-2. near_duplicates: of each SimHash component one document stays, the one with the smallest identifier;
+2. near_duplicates: of each SimHash component one row stays, the one with the smallest identifier;
 3. decontamination: documents that hold a passage of a benchmark item go;
 4. mixing: documents are repeated or left out as the balanced sample takes them;
 5. tokens: what is left is encoded and written to token files; the result describes the files' documents.
 
 Every stage but the last returns the columns of its input. NULL and empty texts go in the first stage. Rows that share
-an identifier: of rows in one component that share the smallest identifier one stays.
+an identifier, or have none: of rows in one component that share the smallest identifier one stays, rows in different
+components all stay. A NULL identifier is smallest only where a component has no other.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from tiffin.llm import decontamination, language_id, mixing, simhash, token_files  # noqa: E402
@@ -50,14 +51,17 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the row with the smallest identifier of each component."""
+    """Keep one row of each component: the one with the smallest identifier, NULL last, and of several the one with the
+    smallest hash of the row. Components are told apart by fingerprint, so identifiers may be NULL or shared."""
     p = _Plain(docs)
-    classes = simhash.near_duplicates(p.docs, p.id, p.text, shingle=SHINGLE, max_bits=MAX_BITS)
-    chosen = classes.groupBy(F.col("component_id").alias("_keep")).agg(F.count("*").alias("_size"))
-    kept = p.docs.join(chosen, p.docs[p.id].eqNullSafe(chosen["_keep"]), "left_semi")
-    # Rows may share an identifier: one of them is enough.
-    first = Window.partitionBy(p.id).orderBy(F.xxhash64(*p.docs.columns))
-    return p.back(kept.withColumn("_n", F.row_number().over(first)).where("_n = 1"))
+    # Two hashes of 64 bits stand for a row. Hashes pass over NULLs, so which columns are NULL is hashed too.
+    of = [*p.docs.columns, *[F.col(c).isNull() for c in p.docs.columns]]
+    rows = p.docs.withColumns({"_h": F.xxhash64(*of), "_g": F.xxhash64(F.lit(1), *of)})
+    classes = simhash.near_duplicates(rows, p.id, p.text, SHINGLE, MAX_BITS, carried=("_h", "_g"))
+    order = F.struct(F.col(p.id).isNull(), F.col(p.id), F.col("_h").alias("_h"), F.col("_g").alias("_g"))
+    chosen = classes.groupBy("component").agg(F.min(order).alias("_r")).select("_r._h", "_r._g")
+    # Rows that are equal in all columns have equal hashes: one of them is enough.
+    return p.back(rows.join(chosen, ["_h", "_g"], "left_semi").dropDuplicates(["_h", "_g"]))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

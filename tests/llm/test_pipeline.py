@@ -64,3 +64,20 @@ def test_empty(spark, docs, small):
 def test_unsure_documents_go(spark, docs, small, monkeypatch):
     monkeypatch.setattr(language_id, "learn", lambda *a, **k: None)
     assert pipeline.language(spark, docs, small).count() == 0
+
+
+def test_near_duplicates_keep_a_row_of_each_component(spark, docs):
+    texts = [r["text"] for r in docs.where("doc_id BETWEEN 10 AND 40").orderBy("doc_id").collect()]
+    roots = plain_components(sorted({plain_simhash(t) for t in texts}), 2)
+    texts = list({roots[plain_simhash(t)]: t for t in texts}.values())[:8]  # no two are linked
+    assert len(texts) == 8
+    rows = [(None, t, "en", None, 0) for t in texts[:4]]  # unlinked, without identifiers
+    rows += [(7, texts[4], "en", None, 0), (7, texts[5], "en", None, 0)]  # one identifier, two texts
+    rows += [(8, texts[4], "en", None, 0), (3, texts[5], "en", None, 0)]  # the second text is another's duplicate
+    rows += [(9, texts[6], "en", "a", 0), (9, texts[6], "a", "en", 0), (None, texts[6], "en", None, 0)]
+    rows += [(None, texts[7], None, "a", 0), (None, texts[7], "a", None, 0), (None, texts[7], "a", None, 0)]
+    given = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    got = pipeline.near_duplicates(spark, given, "").collect()
+    want = [(None, t) for t in [*texts[:4], texts[7]]] + [(7, texts[4]), (3, texts[5]), (9, texts[6])]
+    assert Counter((r["doc_id"], r["text"]) for r in got) == Counter(want)
+    assert {tuple(r) for r in got} <= set(rows)

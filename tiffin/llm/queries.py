@@ -56,7 +56,7 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(table(spark, sf_dir, "documents")).drop("linked")
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).drop("linked", "component")
 
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

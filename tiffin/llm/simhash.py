@@ -62,17 +62,21 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """id, fp (the 64 bits as a signed integer): one row per row of ``docs``."""
+def fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, carried: tuple[str, ...] = ()
+) -> DataFrame:
+    """id, fp (the 64 bits as a signed integer) and the ``carried`` 64-bit columns: one row per row of ``docs``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(fp.view(np.int64)), *batch.columns[2:]], ["id", "fp", *carried]
+            )
 
-    return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, "id bigint, fp bigint"
-    )
+    return docs.select(
+        F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"), *carried
+    ).mapInArrow(run, ", ".join(["id bigint", "fp bigint", *[f"`{x}` bigint" for x in carried]]))
 
 
 def distance(points: np.ndarray, vantage: np.uint64) -> np.ndarray:
@@ -255,18 +259,29 @@ def _same(x: DataFrame, y: DataFrame) -> bool:
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = 3,
+    max_bits: int = 2,
+    carried: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per row of ``docs``: identifier, fingerprint (16 hexadecimal digits), component_id (the smallest
-    identifier reached) and whether the row has links to other fingerprints."""
-    prints = stage(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    identifier reached), whether the row has links to other fingerprints, component (a fingerprint that names the
+    component and is never NULL) and the ``carried`` 64-bit columns."""
+    prints = stage(fingerprints(docs, id_col, text_col, shingle, carried), "fingerprints")
     points = stage(prints.groupBy("fp").agg(F.min("id").alias("least")), "points")
     reached = components(links(points, max_bits))
     rooted = points.join(reached, points["fp"] == reached["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"), F.col("root").isNotNull().alias("linked")
     )
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(names, "root").select("fp", "component_id", "linked")
+    named = rooted.join(names, "root").select("fp", "component_id", "linked", F.col("root").alias("component"))
     return prints.join(named, "fp").select(
-        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "linked"
+        F.col("id").alias(id_col),
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        "component_id",
+        "linked",
+        "component",
+        *carried,
     )
