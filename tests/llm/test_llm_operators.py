@@ -117,6 +117,18 @@ def test_license_wording():
     assert license_scan.differences("a b c d".split(), "a x c".split()) == (["b", "d"], ["x"])
 
 
+def test_license_in_long_line(spark):
+    rng = random.Random(3)
+    many = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    rows = []
+    for n in (10, 2500, 20000):
+        prose = " ".join(rng.choice(many) for _ in range(n))
+        rows += [(len(rows), prose + " Released under the MIT License."), (len(rows) + 1, "Released under the MIT License. " + prose)]
+        rows += [(len(rows), prose)]
+    got = license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r["doc_id"]: r["licenses"] for r in got} == {i: ["MIT"] if "MIT" in t else [] for i, t in rows}
+
+
 # 2 ------------------------------------------------------------------------------------------------------------------
 
 

@@ -1,22 +1,25 @@
 """License notices found by conditional compression.
 
-A block is a line of a text. Candidate blocks are those that use a word of ``TRIGGERS``; every template holds at least
-one, so no notice that keeps such a word is lost. A candidate is compressed by zstandard alone and once with each
-template as raw dictionary; the share of bytes that a template saves says how much of the block is in the template.
-Templates are ranked by it. The winner is confirmed by the exact differences in wording: words of the template that
-the block lacks and words that it has besides, by the longest common subsequence of words; it is confirmed if at least
-``least_match`` of the template's words are in the block in order. If it isn't, the next of the best ``ranked``
-templates is compared, because a short template can be a part of a longer one.
-
-Everything happens in the row's task; nothing is shuffled or broadcast but a dozen templates. NULL and empty texts have
-no candidates. Repeated rows give equal rows; an empty table gives none. Other columns are ignored.
+A text is its words in lower case; lines and signs don't count, so a notice may be wrapped or stand anywhere in a line
+of any length. A block is a stretch in which a template can be by the number of words that both use; stretches that no
+block covers can't hold a notice, so bounds and not a ranking decide what is compared. In each block the fewest exact
+differences in wording are found for every place (words of the template that are missing, words that are there besides).
+A notice is confirmed if at least ``least_match`` of the template's words are there in order, and no more words besides
+than may be missing (two at least). Where confirmed notices overlap, the one with most words in common less differences
+is it, and of equal ones that whose template, as raw dictionary of zstandard, saves the greater share of bytes.
+
+Everything happens in the row's task; nothing is shuffled or broadcast but the templates. NULL and empty texts have no
+candidates. Repeated rows give equal rows; an empty table gives none. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -47,9 +50,9 @@ TEMPLATES = {
     ),
     "MPL-2.0": "This work is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
-TRIGGERS = r"(?i)licen[sc]e|permission|redistribut|copyright"
-_TRIGGER = re.compile(TRIGGERS)
 _WORD = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
+# Costs of an alignment: of equally many differences those with the fewest missing words are the least.
+BESIDES, MISSING, NEVER = 1 << 13, (1 << 13) + 1, 1 << 26
 
 
 def words(text: str) -> list[str]:
@@ -79,38 +82,128 @@ def differences(template: list[str], block: list[str]) -> tuple[list[str], list[
     return missing + template[i:], extra + block[j:]
 
 
+class Template:
+    """Words of a template, how many of them a notice has to have and how many words it may have besides."""
+
+    def __init__(self, text: str, least_match: float):
+        self.words = words(text)
+        n = len(self.words)
+        self.number = {w: i for i, w in enumerate(dict.fromkeys(self.words))}
+        self.ids = np.array([self.number[w] for w in self.words], dtype=np.int32)
+        self.times = Counter(self.words)
+        self.need = math.ceil(least_match * n - 1e-9)
+        self.lack = n - self.need
+        self.besides = max(2, self.lack)
+        self.skip = np.full(n, MISSING, dtype=np.int32)
+        self.insert = np.full(n + 1, BESIDES, dtype=np.int32)
+        self.insert[0] = 0  # a notice begins anywhere
+        self.skipped = np.concatenate([[0], np.cumsum(self.skip)]).astype(np.int32)
+
+    def possible(self, known: set[str]) -> bool:
+        """Whether a text of these words can have ``need`` of the template's."""
+        return sum(n for w, n in self.times.items() if w in known) >= self.need
+
+    def blocks(self, own: list[str]) -> list[tuple[int, int]]:
+        """Stretches that hold every place where a notice can be: as many words as a notice has at most must have
+        ``need`` words that the template uses."""
+        span = len(self.words) + self.besides
+        at = np.flatnonzero(np.fromiter((w in self.number for w in own), bool, len(own)))
+        if len(at) < self.need:
+            return []
+        first, last = at[: len(at) - self.need + 1], at[self.need - 1 :]
+        first = first[last - first < span]
+        out: list[tuple[int, int]] = []
+        for a in first.tolist():
+            begin, end = max(0, a - self.besides), min(len(own), a + span)
+            if out and begin <= out[-1][1]:
+                out[-1] = (out[-1][0], end)
+            else:
+                out.append((begin, end))
+        return out
+
+    def _rows(self, ids: list[int]) -> Iterator[np.ndarray]:
+        """After each word of a block, for each i the fewest differences of the template's first i words from words
+        that end here."""
+        row = self.skipped
+        for x in ids:
+            new = row + self.insert
+            if x >= 0:
+                np.minimum(new[1:], np.where(self.ids == x, row[:-1], np.iinfo(np.int32).max), out=new[1:])
+            row = np.minimum.accumulate(new - self.skipped) + self.skipped
+            yield row
+
+    def _back(self, ids: list[int], block: list[str]) -> tuple[int, list[str], list[str]]:
+        """Where the notice that ends with the block begins, words that it lacks and words that it has besides."""
+        table = [self.skipped, *self._rows(ids)]
+        missing, extra, i, j = [], [], len(self.ids), len(ids)
+        while i:
+            if j and self.ids[i - 1] == ids[j - 1] and table[j][i] == table[j - 1][i - 1]:
+                i, j = i - 1, j - 1
+            elif table[j][i] == table[j][i - 1] + self.skip[i - 1]:
+                i -= 1
+                missing.append(self.words[i])
+            else:
+                j -= 1
+                extra.append(block[j])
+        return j, missing[::-1], extra[::-1]
+
+    def notices(self, block: list[str]) -> list[tuple[int, int, list[str], list[str]]]:
+        """Begin, end, missing and extra words of every notice in a block; of overlapping ones that with the fewest
+        differences."""
+        ids = [self.number.get(w, -1) for w in block]
+        costs = np.array([row[-1] for row in self._rows(ids)])
+        ends = np.flatnonzero(costs <= self.lack * MISSING + self.besides * BESIDES)
+        out: list[tuple[int, int, list[str], list[str]]] = []
+        for end in (ends[np.argsort(costs[ends], kind="stable")] + 1).tolist():
+            if any(a < end <= b for a, b, _, _ in out):
+                continue
+            low = max(0, end - len(self.words) - self.besides)
+            begin, missing, extra = self._back(ids[low:end], block[low:end])
+            if len(missing) <= self.lack and len(extra) <= self.besides and not any(a < end and low + begin < b for a, b, _, _ in out):
+                out.append((low + begin, end, missing, extra))
+        return out
+
+
 class Scanner:
-    def __init__(self, templates: dict[str, str], least_match: float, ranked: int):
-        self.words = {k: words(v) for k, v in templates.items()}
+    def __init__(self, templates: dict[str, str], least_match: float, ranked: int | None = None):
+        # ``ranked`` was a limit: now every template is compared wherever it can be.
+        self.templates = {k: t for k, v in templates.items() if (t := Template(v, least_match)).words}
         raw = zstandard.DICT_TYPE_RAWCONTENT
         self.plain = zstandard.ZstdCompressor(level=3)
         self.with_ = {
-            k: zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(v.lower().encode(), dict_type=raw))
-            for k, v in templates.items()
+            k: zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(" ".join(t.words).encode(), dict_type=raw))
+            for k, t in self.templates.items()
         }
-        self.least, self.ranked = least_match, ranked
-
-    def ranking(self, block: str) -> list[tuple[str, float]]:
-        """Templates by the share of the compressed size that they save, the best first."""
-        data = block.lower().encode("utf-8", "surrogatepass")
-        alone = len(self.plain.compress(data))
-        saved = {k: 1 - len(c.compress(data)) / alone for k, c in self.with_.items()}
-        return sorted(saved.items(), key=lambda x: (-x[1], x[0]))
-
-    def scan(self, block: str) -> tuple[str, float, list[str], list[str]] | None:
-        own = words(block)
-        for name, saved in self.ranking(block)[: self.ranked]:
-            if saved <= 0:
-                break
-            # Far from a long block's notice nothing can match: compare where words of the template are.
-            known = set(self.words[name])
-            near = [i for i, w in enumerate(own) if w in known]
-            if len(near) < self.least * len(self.words[name]):
+
+    def saved(self, name: str, block: list[str]) -> float:
+        """Share of the compressed size of a block that a template saves."""
+        data = " ".join(block).encode()
+        return 1 - len(self.with_[name].compress(data)) / len(self.plain.compress(data))
+
+    def notices(self, own: list[str]) -> tuple[int, list[tuple[int, str, float, list[str], list[str]]]]:
+        """Number of blocks compared; place of the first word, template, share saved, missing and extra words of each
+        notice, in order."""
+        known, count, found = set(own), 0, []
+        for name, t in self.templates.items():
+            if not t.possible(known):
                 continue
-            missing, extra = differences(self.words[name], own[near[0] : near[-1] + 1])
-            if 1 - len(missing) / len(self.words[name]) >= self.least:
-                return name, saved, missing, extra
-        return None
+            for a, b in t.blocks(own):
+                count += 1
+                for begin, end, missing, extra in t.notices(own[a:b]):
+                    fit = len(t.words) - 2 * len(missing) - len(extra)
+                    span = a + begin, a + end
+                    found.append((-fit, -self.saved(name, own[slice(*span)]), name, *span, missing, extra))
+        # Where notices overlap, the one that agrees in most words and differs in fewest is it.
+        out: list[tuple] = []
+        for _, saved, name, a, b, missing, extra in sorted(found):
+            if not any(a < y and x < b for x, y, *_ in out):
+                out.append((a, b, name, -saved, missing, extra))
+        return count, [(a, *rest) for a, _, *rest in sorted(out)]
+
+    def scan(self, text: str) -> tuple[str, float, list[str], list[str]] | None:
+        """The first notice of a text."""
+        _, found = self.notices(words(text))
+        return tuple(found[0][1:]) if found else None
 
 
 def scan_licenses(
@@ -119,29 +212,26 @@ def scan_licenses(
     text_col: str = "text",
     templates: dict[str, str] | None = None,
     least_match: float = 0.8,
-    ranked: int = 4,
+    ranked: int | None = None,
 ) -> DataFrame:
-    """One row per row of ``docs``: identifier, n_candidates, licenses (distinct names in order) and notices (line
-    number, license, share of bytes saved, words missing, words besides)."""
+    """One row per row of ``docs``: identifier, n_candidates (blocks compared with a template), licenses (distinct names
+    in order) and notices (line number of the first word, license, share of bytes saved, words missing, words besides)."""
     templates = templates or TEMPLATES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(templates, least_match, ranked)
-        known: dict[str, tuple | None] = {}  # notices repeat word for word
         for batch in batches:
             count, names, found = [], [], []
             for text in batch.column(1).to_pylist():
-                own, n = [], 0
-                for number, line in enumerate((text or "").split("\n")) if text and _TRIGGER.search(text) else ():
-                    if not _TRIGGER.search(line):
-                        continue
-                    n += 1
-                    if line not in known:
-                        if len(known) > 10_000:
-                            known.clear()
-                        known[line] = scanner.scan(line)
-                    if hit := known[line]:
-                        own.append({"line": number, "license": hit[0], "saved": hit[1], "missing": hit[2], "extra": hit[3]})
+                low = (text or "").lower()
+                n, hits = scanner.notices(_WORD.findall(low))
+                own = []
+                if hits:
+                    starts = [m.start() for m in _WORD.finditer(low)]
+                    own = [
+                        {"line": low.count("\n", 0, starts[at]), "license": name, "saved": saved, "missing": missing, "extra": extra}
+                        for at, name, saved, missing, extra in hits
+                    ]
                 count.append(n)
                 found.append(own)
                 names.append(sorted({x["license"] for x in own}))
