@@ -4,6 +4,7 @@ columns that are named like the operators' own."""
 import hashlib
 import math
 import random
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -129,6 +130,21 @@ def test_license_in_long_line(spark):
     assert {r["doc_id"]: r["licenses"] for r in got} == {i: ["MIT"] if "MIT" in t else [] for i, t in rows}
 
 
+def test_license_wrapped(spark):
+    known = {k: license_scan.TEMPLATES[k] for k in ("MIT-grant", "BSD", "Apache-2.0-header", "MIT-text", "BSD-2-Clause-text", "BSD-3-Clause-text", "Apache-2.0-text", "GPL-3.0-text")}
+    rows = []
+    for name, text in known.items():
+        for width, begin in ((72, ""), (40, "# "), (76, " * ")):
+            lines = textwrap.wrap(" ".join(text.split()), width, break_long_words=False, break_on_hyphens=False)
+            rows.append((len(rows), "Some code\n" + "\n".join(begin + x for x in lines) + "\nmore code", name))
+    given = spark.createDataFrame(rows, "doc_id bigint, text string, name string")
+    got = {r["doc_id"]: r for r in license_scan.scan_licenses(given).collect()}
+    for i, _, name in rows:
+        assert (got[i]["licenses"], got[i]["notices"][0]["line"], got[i]["notices"][0]["missing"]) == ([name], 1, [])
+    own = license_scan.scan_licenses(given.limit(1).withColumn("text", F.lit("x\nfree for\nall uses y")), templates={"own": "Free for all uses"})
+    assert own.first()["licenses"] == ["own"]  # no word of the usual notices
+
+
 # 2 ------------------------------------------------------------------------------------------------------------------
 
 

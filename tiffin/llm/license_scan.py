@@ -8,6 +8,8 @@ A notice is confirmed if at least ``least_match`` of the template's words are th
 than may be missing (two at least). Where confirmed notices overlap, the one with most words in common less differences
 is it, and of equal ones that whose template, as raw dictionary of zstandard, saves the greater share of bytes.
 
+Templates are short notices and, as files in ``licenses``, the whole texts of ten licenses.
+
 Everything happens in the row's task; nothing is shuffled or broadcast but the templates. NULL and empty texts have no
 candidates. Repeated rows give equal rows; an empty table gives none. Other columns are ignored.
 """
@@ -18,6 +20,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# The usual short notices of licenses.
+# The usual short notices of licenses. Names that end in -text are added below.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-header": (
@@ -50,6 +53,8 @@ TEMPLATES = {
     ),
     "MPL-2.0": "This work is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
+# Whole licenses, one file each. The driver reads them; tasks get them with the other templates.
+TEMPLATES |= {f"{p.stem}-text": p.read_text(encoding="utf-8") for p in sorted((Path(__file__).parent / "licenses").glob("*.txt"))}
 _WORD = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
 # Costs of an alignment: of equally many differences those with the fewest missing words are the least.
 BESIDES, MISSING, NEVER = 1 << 13, (1 << 13) + 1, 1 << 26
