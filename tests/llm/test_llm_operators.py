@@ -145,6 +145,23 @@ def test_license_wrapped(spark):
     assert own.first()["licenses"] == ["own"]  # no word of the usual notices
 
 
+def test_license_names():
+    scanner = license_scan.Scanner(license_scan.TEMPLATES, 0.8)
+
+    def names(text):
+        return [x[1] for x in scanner.notices(license_scan.words(text))[1]]
+
+    assert names("Released under the BSD License.") == []
+    assert names("Released under the terms that were read of old in the public park by the MIT of the License.") == []
+    assert names("Licensed under CC BY-ND 4.0.") == ["CC-BY-ND-4.0"]
+    assert names("Licensed under CC BY-NC 3.0.") == []
+    assert names("This work is licensed under the GNU Affero General Public License, version 3.") == ["AGPL-3.0"]
+    assert names("This work is licensed under the GNU Lesser General Public License, version 3.") == ["LGPL-3.0"]
+    assert names("This work is licensed under the GNU Lesser General Public License, version 2.") == []
+    two = "Released under the MIT License. Some words between. Licensed under the Apache License, Version 2.0. Released under the MIT License."
+    assert names(two) == ["MIT", "Apache-2.0", "MIT"]
+
+
 # 2 ------------------------------------------------------------------------------------------------------------------
 
 

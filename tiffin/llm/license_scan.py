@@ -5,7 +5,9 @@ of any length. A block is a stretch in which a template can be by the number of
 block covers can't hold a notice, so bounds and not a ranking decide what is compared. In each block the fewest exact
 differences in wording are found for every place (words of the template that are missing, words that are there besides).
 A notice is confirmed if at least ``least_match`` of the template's words are there in order, and no more words besides
-than may be missing (two at least). Where confirmed notices overlap, the one with most words in common less differences
+than may be missing (two at least). Of a short template the words that name the license (all but those of ``GENERIC``)
+must all be there, and those that follow each other must do so in the notice, so a BSD notice is no MIT notice with one
+word changed. A block may hold several notices. Where confirmed notices overlap, the one with most words in common less differences
 is it, and of equal ones that whose template, as raw dictionary of zstandard, saves the greater share of bytes.
 
 Templates are short notices and, as files in ``licenses``, the whole texts of ten licenses.
@@ -30,6 +32,7 @@ from pyspark.sql import functions as F
 
 # The usual short notices of licenses. Names that end in -text are added below.
 TEMPLATES = {
+    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-header": (
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in '
@@ -41,6 +44,9 @@ TEMPLATES = {
     ),
     "CC-BY-4.0": "Licensed under CC BY 4.0.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
+    "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0.",
+    "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0.",
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
     "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related rights to this work.",
     "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
@@ -53,6 +59,12 @@ TEMPLATES = {
     ),
     "MPL-2.0": "This work is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
+# Words of short notices that don't name a license; the others are its naming words.
+GENERIC = frozenset(
+    "a all an are as is it its in of on or the this to under license licence licenses licensed released distributed subject "
+    "terms permitted work software program file code version v".split()
+)
+SHORT = 16  # words of a template of which the naming words must be there
 # Whole licenses, one file each. The driver reads them; tasks get them with the other templates.
 TEMPLATES |= {f"{p.stem}-text": p.read_text(encoding="utf-8") for p in sorted((Path(__file__).parent / "licenses").glob("*.txt"))}
 _WORD = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
@@ -102,11 +114,16 @@ class Template:
         self.skip = np.full(n, MISSING, dtype=np.int32)
         self.insert = np.full(n + 1, BESIDES, dtype=np.int32)
         self.insert[0] = 0  # a notice begins anywhere
+        if n <= SHORT:  # naming words can't be missing, nor can a word be between two that follow each other
+            naming = np.array([w not in GENERIC for w in self.words], dtype=bool)
+            self.skip[naming] = NEVER
+            self.insert[1:-1][naming[:-1] & naming[1:]] = NEVER
+        self.names = frozenset(w for w in self.words if n <= SHORT and w not in GENERIC)
         self.skipped = np.concatenate([[0], np.cumsum(self.skip)]).astype(np.int32)
 
     def possible(self, known: set[str]) -> bool:
         """Whether a text of these words can have ``need`` of the template's."""
-        return sum(n for w, n in self.times.items() if w in known) >= self.need
+        return self.names <= known and sum(n for w, n in self.times.items() if w in known) >= self.need
 
     def blocks(self, own: list[str]) -> list[tuple[int, int]]:
         """Stretches that hold every place where a notice can be: as many words as a notice has at most must have
