@@ -455,6 +455,27 @@ def test_topk_search(spark, docs, rows, shard_docs):
         assert [(-round(s, 9), i != i, 0 if i != i else i) for s, i in zip(mine.score, mine.doc_id, strict=True)] == sorted(scored)[:5]
 
 
+def test_topk_search_asks_documents(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()
+    own = [(r["doc_id"], Counter(topk_search.words(r["text"]))) for r in docs]
+    asked = [(i, c) for i, c in own if i is not None and i % 50 == 0 and c]
+    got = defaultdict(list)
+    for r in queries.op8_topk_search(spark, small).orderBy("query", "rank").collect():
+        got[r["query"]].append((-round(r["score"], 6), r["doc_id"]))
+    assert set(got) == {i for i, _ in asked} and len(asked) > 1
+    mean = sum(sum(c.values()) for _, c in own) / len(own)
+    df = Counter(t for _, c in own for t in c)
+    for q, terms in asked:
+        scored = []
+        for i, c in own:
+            both = [t for t in terms if t in c]
+            norm = 1.2 * (0.25 + 0.75 * sum(c.values()) / mean)
+            score = sum(terms[t] * math.log(1 + (len(own) - df[t] + 0.5) / (df[t] + 0.5)) * c[t] * 2.2 / (c[t] + norm) for t in both)
+            if both:
+                scored.append((-round(score, 6), i))
+        assert got[q] == sorted(scored)[:10]
+
+
 # 10 -----------------------------------------------------------------------------------------------------------------
 
 

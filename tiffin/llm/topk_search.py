@@ -1,17 +1,21 @@
 """Exact top-k search by BM25 with block-max WAND.
 
-Words are runs of letters and digits in lower case. The corpus statistics (documents, mean length, documents per word)
-come from one distributed count. A shard is a part of the documents that a task holds, at most ``shard_docs``: the task
-builds the shard's inverted index for the words that the queries use, with the greatest score of each block of 64
-postings, runs every query through it and hands on the k best. Scores use the corpus statistics, so a document has the
-same score in any shard and the merge, the k best of each query over all shards, is exact however rows are dealt.
+Words are runs of letters and digits in lower case. A shard is a part of the documents that a task holds, at most
+``shard_docs`` and about ``shard_postings``: its inverted index is built once and is a row of a table in the shared
+folder. The corpus statistics (documents, mean length, documents per word) are sums over that table. Scores use the
+corpus statistics, so a document has the same score in any shard and the merge, the k best of each query over all
+shards, is exact however rows are dealt.
+
+Queries stay a table: their words are joined with the documents per word and gathered in blocks of about
+``query_block``; one block at a time is broadcast to all shards. A shard runs every query of a block and hands on
+the k best. Queries of at most ``WAND_WORDS`` words that a shard has go by block-max WAND; for longer ones, such as
+whole documents, nearly every document has some word and all scores of the shard are added at once.
 
 Block-max WAND goes through the documents in order. Terms are sorted by their current document; the pivot is the first
 at which the sum of the terms' greatest scores passes the k-th best score. If the greatest scores of the blocks that
 hold the pivot don't pass it, everything up to the end of the shortest of these blocks is skipped; else the terms are
 moved to the pivot and the document is scored.
 
-Queries are a stated set: they are broadcast in blocks of at most ``query_block``, each a pass over the documents.
 Equal scores are ordered by identifier, NULL last. A word that a query repeats counts as often. NULL and empty texts
 have no words and never match; a query without words that occur has no rows. Rows that share an identifier are
 documents of their own. Other columns are ignored.
@@ -20,20 +24,26 @@ documents of their own. Other columns are ignored.
 from __future__ import annotations
 
 import heapq
-import math
 import re
+import sys
+import uuid
+from array import array
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tiffin.session import stage
+
 WORD = re.compile(r"[^\W_]+")
 POSTINGS = 64
 K1, B = 1.2, 0.75
+WAND_WORDS = 8  # words up to which a query goes by block-max WAND
 
 
 def words(text: str | None) -> list[str]:
@@ -52,7 +62,7 @@ class Postings:
         self.most = max(self.best)
 
 
-def best_documents(lists: list[tuple[int, Postings]], k: int, order: list, doc_count: int) -> list[tuple[float, int]]:
+def best_documents(lists: list[tuple[float, Postings]], k: int, order: list, doc_count: int) -> list[tuple[float, int]]:
     """The k best (score, document) by block-max WAND. ``order`` ranks documents of equal score."""
     heap: list[tuple[float, tuple, int]] = []  # the worst of the best on top
     bar = 0.0
@@ -109,61 +119,139 @@ def best_documents(lists: list[tuple[int, Postings]], k: int, order: list, doc_c
     return [(score, doc) for score, _, doc in sorted(heap, reverse=True)]
 
 
-def _count(asked: frozenset):
+def _index(shard_docs: int, shard_postings: int):
+    """One row per shard: documents with identifiers and lengths, and the postings in the order of words."""
+
+    def pack(ids: list, lengths: list, names: list, word: array, doc: array, times: array) -> pa.RecordBatch:
+        by = sorted(range(len(names)), key=names.__getitem__)
+        place = np.empty(len(names), dtype=np.int64)
+        place[by] = np.arange(len(names))
+        number = place[np.frombuffer(word, np.int32)] if len(word) else np.zeros(0, np.int64)
+        order = np.argsort(number, kind="stable")
+        sizes = np.bincount(number, minlength=len(names))
+        arrays = [
+            [np.array([x or 0 for x in ids], np.int64), np.array([x is not None for x in ids], bool), np.array(lengths, np.int64)],
+            [np.frombuffer(x, np.int32)[order] if len(x) else np.zeros(0, np.int32) for x in (doc, times)],
+        ]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([uuid.uuid4().hex]),
+                pa.array([len(ids)], pa.int64()),
+                pa.array([sum(lengths)], pa.int64()),
+                pa.array([[names[i] for i in by]], pa.list_(pa.string())),
+                pa.array([sizes.tolist()], pa.list_(pa.int64())),
+                *[pa.array([x.tobytes()], pa.binary()) for x in arrays[0] + arrays[1]],
+            ],
+            INDEX_NAMES,
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def new():
+            return [], [], {}, array("i"), array("i"), array("i")
+
+        ids, lengths, names, word, doc, times = new()
         for batch in batches:
-            found: Counter = Counter()
-            total = 0
-            for text in batch.column(1).to_pylist():
+            for id_, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 own = words(text)
-                total += len(own)
-                found.update(asked.intersection(own))
-            terms = ["", *found]  # the empty word carries the totals
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(terms), pa.array([batch.num_rows, *found.values()]), pa.array([total] + [0] * len(found))],
-                ["term", "n", "words"],
-            )
+                found = Counter(own)
+                word.extend(names.setdefault(t, len(names)) for t in found)
+                times.extend(found.values())
+                doc.extend([len(ids)] * len(found))
+                ids.append(id_)
+                lengths.append(len(own))
+                if len(ids) >= shard_docs or len(word) >= shard_postings:
+                    yield pack(ids, lengths, list(names), word, doc, times)
+                    ids, lengths, names, word, doc, times = new()
+        if ids:
+            yield pack(ids, lengths, list(names), word, doc, times)
 
     return run
 
 
-def _search(queries: dict[int, dict[str, int]], df: dict[str, int], n: int, mean: float, k: int, shard_docs: int):
-    idf = {t: math.log(1 + (n - x + 0.5) / (x + 0.5)) for t, x in df.items()}
+INDEX = "shard string, n bigint, words bigint, terms array<string>, sizes array<bigint>, ids binary, known binary, lengths binary, docs binary, times binary"
+INDEX_NAMES = [x.split()[0] for x in INDEX.split(", ")]
 
-    def answer(ids: list, index: dict) -> pa.RecordBatch:
-        lists = {t: Postings(*p) for t, p in index.items()}
-        order = [(x is not None, -(x or 0)) for x in ids]  # of equal scores the smallest identifier is best
-        out = []
-        for number, terms in queries.items():
-            own = [(times, lists[t]) for t, times in sorted(terms.items()) if t in lists]
-            out += [(number, ids[doc], score) for score, doc in best_documents(own, k, order, len(ids))]
-        columns = list(zip(*out, strict=True)) or [[], [], []]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64())],
-            ["query", "id", "score"],
-        )
 
+class Shard:
+    """A shard's index as a task holds it."""
+
+    def __init__(self, row: dict, mean: float):
+        self.place = {t: i for i, t in enumerate(row["terms"])}
+        self.ends = np.cumsum(row["sizes"], dtype=np.int64).tolist()
+        self.ids, self.lengths = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["lengths"], np.int64)
+        self.known = np.frombuffer(row["known"], bool)
+        self.docs, times = np.frombuffer(row["docs"], np.int32), np.frombuffer(row["times"], np.int32)
+        norm = K1 * (1 - B + B * self.lengths / mean) if mean else np.zeros(len(self.ids))
+        self.scores = times * (K1 + 1) / (times + norm[self.docs])
+        # Rank of a document among those of equal score: the smallest identifier is best, NULL is last.
+        self.rank = np.empty(len(self.ids), dtype=np.int64)
+        self.rank[np.lexsort((self.ids, ~self.known))] = np.arange(len(self.ids))
+        self.postings: dict[int, Postings] = {}
+
+    def best(self, asked: list[tuple[str, float]], k: int) -> list[tuple[float, int]]:
+        """The k best (score, document) for words with their weights, in the order of words."""
+        own = [(self.place[t], w) for t, w in asked if t in self.place]
+        if not own:
+            return []
+        spans = [(self.ends[i - 1] if i else 0, self.ends[i]) for i, _ in own]
+        if len(own) <= WAND_WORDS:
+            lists = []
+            for (i, w), (x, y) in zip(own, spans, strict=True):
+                if i not in self.postings:
+                    self.postings[i] = Postings(self.docs[x:y].tolist(), self.scores[x:y].tolist())
+                lists.append((w, self.postings[i]))
+            return best_documents(lists, k, (-self.rank).tolist(), len(self.ids))
+        # Most documents have some word of a long query: all are scored at once, added in the order of words.
+        weights = np.repeat([w for _, w in own], [y - x for x, y in spans])
+        docs = np.concatenate([self.docs[x:y] for x, y in spans])
+        total = np.bincount(docs, weights * np.concatenate([self.scores[x:y] for x, y in spans]), len(self.ids))
+        found = np.flatnonzero(total > 0)
+        if len(found) > k:
+            bar = np.partition(total, len(total) - k)[len(total) - k]
+            found = found[total[found] >= bar]
+        found = found[np.lexsort((self.rank[found], -total[found]))][:k]
+        return list(zip(total[found].tolist(), found.tolist(), strict=True))
+
+
+def _search(mean: float, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids: list = []
-        index: dict[str, tuple[list, list]] = {}
+        blocks: dict[int, list] = {}  # the pass has one
+        name, shard = None, None
         for batch in batches:
-            for id_, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = words(text)
-                norm = K1 * (1 - B + B * len(own) / mean) if mean else 0.0
-                for term, times in Counter(w for w in own if w in idf).items():
-                    docs, scores = index.setdefault(term, ([], []))
-                    docs.append(len(ids))
-                    scores.append(idf[term] * times * (K1 + 1) / (times + norm))
-                ids.append(id_)
-                if len(ids) >= shard_docs:
-                    yield answer(ids, index)
-                    ids, index = [], {}
-        if ids:
-            yield answer(ids, index)
+            for i in range(batch.num_rows):
+                at = {x: batch.column(x) for x in batch.schema.names}
+                if at["shard"][i].as_py() != name:
+                    name = at["shard"][i].as_py()
+                    shard = Shard({x: at[x][i].as_py() for x in INDEX_NAMES}, mean)
+                number = at["block"][i].as_py()
+                if number not in blocks:
+                    blocks[number] = [(x["key"], [(sys.intern(y["t"]), y["w"]) for y in x["asked"]]) for x in at["queries"][i].as_py()]
+                keys, ids, scores = [], [], []
+                for key, asked in blocks[number]:
+                    for score, doc in shard.best(asked, k):
+                        keys.append(key)
+                        ids.append(int(shard.ids[doc]) if shard.known[doc] else None)
+                        scores.append(score)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys, pa.string()), pa.array(ids, pa.int64()), pa.array(scores, pa.float64())], ["key", "id", "score"]
+                )
 
     return run
 
 
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [Counter(words(t)) for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([k for k, f in zip(batch.column(0).to_pylist(), found, strict=True) for _ in f], pa.string()),
+                pa.array([t for f in found for t in f], pa.string()),
+                pa.array([n for f in found for n in f.values()], pa.int64()),
+            ],
+            ["key", "t", "m"],
+        )
+
+
 def search(
     docs: DataFrame,
     queries: DataFrame,
@@ -172,31 +260,42 @@ def search(
     text_col: str = "text",
     query_id_col: str = "item_id",
     query_text_col: str = "text",
-    shard_docs: int = 1 << 15,
+    shard_docs: int = 1 << 12,
     query_block: int = 1 << 10,
+    shard_postings: int = 1 << 19,
 ) -> DataFrame:
     """query, rank (from 1), identifier, score: the k documents with the greatest BM25 score for each query."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    stated = queries.select(F.col(query_id_col).cast("bigint").alias("q"), F.col(query_text_col).cast("string").alias("t"))
-    stated = stated.where(F.col("q").isNotNull()).dropDuplicates(["q"])
-    numbers = sorted(r["q"] for r in stated.select("q").collect())  # the stated set's identifiers
-    parts = []
-    for i in range(0, max(1, len(numbers)), query_block):
-        block = numbers[i : i + query_block]
-        asked = {r["q"]: dict(Counter(words(r["t"]))) for r in stated.where(F.col("q").isin(block)).collect()}
-        vocabulary = frozenset(t for terms in asked.values() for t in terms)
-        counted = rows.mapInArrow(_count(vocabulary), "term string, n bigint, words bigint").groupBy("term").agg(
-            F.sum("n").alias("n"), F.sum("words").alias("words")
+    index = stage(rows.mapInArrow(_index(shard_docs, shard_postings), INDEX), "index")
+    n, total = index.agg(F.sum("n"), F.sum("words")).first()
+    n, mean = n or 0, (total or 0) / n if n else 0.0
+    pairs = F.explode(F.arrays_zip(F.col("terms").alias("t"), F.col("sizes").alias("s"))).alias("p")
+    df = stage(index.select(pairs).groupBy(F.col("p.t").alias("t")).agg(F.sum("p.s").alias("df")), "frequencies")
+
+    given = queries.select(F.col(query_id_col).cast("bigint").alias("q"), F.col(query_text_col).cast("string").alias("text"))
+    # Equal rows are searched once. Identifiers may be NULL or shared: the key is a hash of identifier and text.
+    key = F.sha2(F.concat(F.coalesce(F.col("q").cast("string"), F.lit("")), F.lit(":"), F.coalesce("text", F.lit(""))), 256)
+    keyed = given.withColumn("key", key)
+    named = stage(keyed.groupBy("key").agg(F.min("q").alias("query"), F.count("*").alias("copies")), "queries")
+    asked = keyed.dropDuplicates(["key"]).select("key", "text").mapInArrow(_words, "key string, t string, m bigint")
+    idf = F.log(1 + (F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weighted = asked.join(df, "t").select("key", F.struct("t", (F.col("m") * idf).alias("w")).alias("e"))
+    grouped = weighted.groupBy("key").agg(F.sort_array(F.collect_list("e")).alias("asked"))
+    count = max(1, -(-named.count() // query_block))
+    block = F.pmod(F.xxhash64("key"), F.lit(count)).alias("block")
+    blocks = stage(grouped.groupBy(block).agg(F.collect_list(F.struct("key", "asked")).alias("queries")), "blocks")
+    # A pass brings one block of queries to every shard. Its result is written, so that one block is in memory at a time.
+    parts = [
+        stage(
+            index.crossJoin(F.broadcast(blocks.where(F.col("block") == i))).mapInArrow(_search(mean, k), "key string, id bigint, score double"),
+            "found",
         )
-        df = {r["term"]: (r["n"], r["words"]) for r in counted.collect()}  # words of this block's queries only
-        n, total = df.pop("", (0, 0))
-        mean = total / n if n else 0.0
-        run = _search(asked, {t: x for t, (x, _) in df.items()}, n, mean, k, shard_docs)
-        parts.append(rows.mapInArrow(run, "query bigint, id bigint, score double"))
-    found = reduce(DataFrame.unionByName, parts)
-    best = Window.partitionBy("query").orderBy(F.desc("score"), F.col("id").asc_nulls_last())
+        for i in range(count)
+    ]
+    best = Window.partitionBy("key").orderBy(F.desc("score"), F.col("id").asc_nulls_last())
+    found = reduce(DataFrame.unionByName, parts).withColumn("rank", F.row_number().over(best).cast("bigint")).where(F.col("rank") <= k)
     return (
-        found.withColumn("rank", F.row_number().over(best).cast("bigint"))
-        .where(F.col("rank") <= k)
+        found.join(named, "key")
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
         .select("query", "rank", F.col("id").alias(id_col), "score")
     )
