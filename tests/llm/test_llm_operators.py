@@ -455,6 +455,15 @@ def test_topk_search(spark, docs, rows, shard_docs):
         assert [(-round(s, 9), i != i, 0 if i != i else i) for s, i in zip(mine.score, mine.doc_id, strict=True)] == sorted(scored)[:5]
 
 
+def test_topk_search_query_ids(spark):
+    docs = spark.createDataFrame([(1, "red apple"), (2, "green pear"), (3, "blue plum")], "doc_id bigint, text string")
+    asked = [(None, "apple"), (None, "pear"), (7, "apple"), (7, "plum"), (8, "pear"), (8, "pear")]
+    got = topk_search.search(docs, spark.createDataFrame(asked, "item_id bigint, text string")).collect()
+    want = [(None, 1), (None, 2), (7, 1), (7, 3), (8, 2), (8, 2)]
+    assert Counter((r["query"], r["doc_id"]) for r in got) == Counter(want)
+    assert {r["rank"] for r in got} == {1}
+
+
 def test_topk_search_asks_documents(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()
     own = [(r["doc_id"], Counter(topk_search.words(r["text"]))) for r in docs]

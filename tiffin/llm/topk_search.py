@@ -16,6 +16,9 @@ at which the sum of the terms' greatest scores passes the k-th best score. If th
 hold the pivot don't pass it, everything up to the end of the shortest of these blocks is skipped; else the terms are
 moved to the pivot and the document is scored.
 
+A query's key is a hash of identifier and text: queries with a NULL identifier are asked too, queries that share an
+identifier each have their own ranks from 1, and a query row that is there twice gives its rows twice.
+
 Equal scores are ordered by identifier, NULL last. A word that a query repeats counts as often. NULL and empty texts
 have no words and never match; a query without words that occur has no rows. Rows that share an identifier are
 documents of their own. Other columns are ignored.
