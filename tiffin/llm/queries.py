@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 from tiffin.llm import (
     decontamination,
     language_id,
+    lexical_scan,
     license_scan,
     line_dedup,
+    merkle,
     mixing,
     simhash,
     substring_dedup,
     suffix_dedup,
     token_files,
     topk_search,
+    toxicity,
 )
 from tiffin.session import tune
 
@@ -83,6 +86,19 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return merkle.verify(merkle.manifest(docs, "doc_id", "lang", *merkle.document_digests()), "doc_id")
+
+
+def op12_lexical_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_scan.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_line_dedup": op2_line_dedup,
@@ -94,8 +110,63 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_topk_search": op8_topk_search,
     "op9_suffix_array_dedup": op9_suffix_array_dedup,
     "op10_source_mixing": op10_source_mixing,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_lexical_scan": op12_lexical_scan,
+    "op13_toxicity": op13_toxicity,
 }
 
+
+
+def _merkle_sql(levels: int = 8, above: int = 4) -> str:
+    """Trees of at most 8 ** levels leaves a language and 8 ** above languages, level by level."""
+    coded = lambda c: f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')"
+    fields = " || ".join(coded(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    byte = "xor(c, CASE WHEN i % 8 = 0 THEN ord(substr(doc_id::VARCHAR, (i // 8 + 1)::BIGINT, 1)) ELSE 0 END)"
+    crc = f"list_reduce([4294967295] || range(8 * strlen(doc_id::VARCHAR)), lambda c, i: xor({byte} >> 1, 3988292384 * ({byte} & 1)))"
+    parts = [
+        f"""leaves AS (
+            SELECT row_number() OVER () AS r, doc_id, lang, sha256({fields} || {coded("text")}) AS leaf,
+                CASE WHEN xor({crc}, 4294967295) % 3 = 0 THEN sha256({fields} || {coded(lower)}) END AS altered
+            FROM documents
+        )""",
+        """numbered AS (
+            SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) AS tree,
+                row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaves
+        )""",
+        "a0 AS (SELECT tree, i, leaf AS d FROM numbered)",
+        "p0 AS (SELECT r, tree, i, '' AS proof, coalesce(altered, leaf) AS led FROM numbered)",
+    ]
+
+    def level(name: str, k: int) -> None:
+        parts.append(
+            f"""{name}run{k} AS (SELECT tree, i // 8 AS j, list(d ORDER BY i) AS ds,
+                any_value((SELECT count(*) FROM {name}{k} o WHERE o.tree = n.tree)) AS nodes FROM {name}{k} n GROUP BY ALL)"""
+        )
+        parts.append(
+            f"""{name}{k + 1} AS (SELECT tree, j AS i, CASE WHEN nodes > 1 THEN sha256(list_aggregate(ds, 'string_agg', '')) ELSE ds[1] END AS d
+                FROM {name}run{k})"""
+        )
+        own = "coalesce(list_aggregate(ds[1:i % 8], 'string_agg', ''), '')"
+        rest = "coalesce(list_aggregate(ds[i % 8 + 2:], 'string_agg', ''), '')"
+        proof = {"a": "p", "b": "q"}[name]
+        parts.append(
+            f"""{proof}{k + 1} AS (SELECT r, tree, j AS i, CASE WHEN nodes > 1 THEN proof || {own} || {rest} ELSE proof END AS proof,
+                CASE WHEN nodes > 1 THEN sha256({own} || led || {rest}) ELSE led END AS led
+                FROM {proof}{k} JOIN {name}run{k} USING (tree) WHERE j = i // 8)"""
+        )
+
+    for k in range(levels):
+        level("a", k)
+    parts.append(f"b0 AS (SELECT 0 AS tree, tree - 1 AS i, d FROM a{levels})")
+    parts.append(f"q0 AS (SELECT r, 0 AS tree, tree - 1 AS i, proof, led FROM p{levels})")
+    for k in range(above):
+        level("b", k)
+    return f"""WITH {", ".join(parts)}
+        SELECT doc_id, leaf, a.d AS subroot, b.d AS root, sha256(proof) AS proof_sha256, led AS folded_root, led = b.d AS verified
+        FROM numbered JOIN q{above} q USING (r) JOIN a{levels} a ON a.tree = numbered.tree, b{above} b"""
+
+
 # DuckDB SQL for the same rows, where SQL can express an operator.
 ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": r"""
@@ -178,4 +249,39 @@ ORACLE_SQL: dict[str, str] = {
             sha256(unhex(coalesce(f.kept, ''))) AS kept_sha256
         FROM texts t LEFT JOIN folded f ON t.r = f.r
     """,
+    "op11_merkle_manifest": _merkle_sql(),
+    "op12_lexical_scan": r"""
+        WITH texts AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents
+        ),
+        stats AS (SELECT count(*) FILTER (len(terms) > 0) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM texts),
+        found AS (
+            SELECT r, doc_id, len(terms) AS n, t.term, count(*) AS tf
+            FROM texts, (SELECT unnest(terms)) AS t(term) GROUP BY ALL
+        ),
+        items AS (
+            SELECT row_number() OVER () AS item, item_id, list_distinct(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS terms
+            FROM benchmark
+        ),
+        asked AS (SELECT item, item_id, t.term FROM items, (SELECT unnest(terms)) AS t(term)),
+        weights AS (
+            SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+            FROM found, stats GROUP BY term
+        ),
+        scored AS (
+            SELECT item, any_value(item_id) AS item_id, any_value(doc_id) AS doc_id,
+                sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * n_docs) // n_terms)))))::BIGINT AS score
+            FROM asked JOIN found USING (term) JOIN weights USING (term), stats GROUP BY item, r
+        ),
+        ranked AS (
+            SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank, doc_id, score
+            FROM scored WHERE score > 0
+        )
+        SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 50
+    """,
 }
