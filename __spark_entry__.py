@@ -141,12 +141,29 @@ def _credits_streamed(source: StarSource) -> DataFrame:
     return refund_stream.credits(source.spark, folder)
 
 
+def _wallets_streamed(source: StarSource, feeds) -> str:
+    """Run wallet feeds over everything there is, then once more with the clock put to the end."""
+    folder = f"{shared_folder(source.spark)}/stream-{uuid.uuid4().hex}"
+    hours = workload.event_span_hours(source)
+    for last in (False, True):
+        if last:
+            ledger_stream.tick(source.spark, folder)
+        streams = [feed(source) for feed in feeds]
+        ledger_stream.start(streams, folder, f"{hours} hours", max(1, hours // 4) * 3_600_000).awaitTermination()
+    return folder
+
+
 def _debits_streamed(source: StarSource) -> DataFrame:
-    folder = _drained(ledger_stream.start, workload.wallet_stream(source), source)
-    settled = source.spark.read.schema(ledger.SETTLED).parquet(f"{folder}/settled")
+    settled = ledger_stream.settled(source.spark, _wallets_streamed(source, [workload.wallet_stream]))
     return settled.select("Wallet_ID", "id", "accepted", F.col("balance").cast("double").alias("balance"))
 
 
+def _refunds_into_wallets(source: StarSource) -> DataFrame:
+    folder = _wallets_streamed(source, [workload.purchase_stream, workload.refund_credit_stream])
+    cents = F.col("balance").cast("decimal(18,2)")
+    return ledger_stream.balances(source.spark, folder).select("Wallet_ID", (cents / 100).cast("double").alias("Balance"))
+
+
 def _corpus() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
     """Queries and SQL of the llm subpackage and the pipeline, as far as they are there."""
     found, sql = {}, {}
@@ -234,6 +251,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "w03_wallet_balances": _job(lambda s: _settlement(s).wallets.select("Wallet_ID", "Balance")),
         "w03_wallet_ledger": _job(lambda s: _settlement(s).ledger),
         "w03_wallet_debit_stream": _job(_debits_streamed),
+        "w03_wallet_refund_stream": _job(_refunds_into_wallets),
         "w04_checkout_orders": _job(lambda s: _checkout(s).orders),
         "w04_checkout_lines": _job(lambda s: _checkout(s).order_items),
         "w04_checkout_carts": _job(lambda s: _checkout(s).carts),

@@ -503,6 +503,17 @@ FOLD_STREAM = (
     + _FOLD
 )
 
+FOLD_REFUNDS = (
+    """wallet_events AS (
+        SELECT user_id AS Wallet_ID, ts AS moment, 1 AS kind, event_id AS id, CAST(value AS DECIMAL(18, 2)) AS amount,
+               CAST(0 AS DECIMAL(18, 2)) AS opening
+        FROM events WHERE event_type = 'purchase'
+        UNION ALL
+        SELECT Wallet_ID, Completed_At, 0, Refund_ID, CAST(Refund_Amount AS DECIMAL(18, 2)), CAST(0 AS DECIMAL(18, 2))
+        FROM g1_refund WHERE Refund_Status = 'Completed'),"""
+    + _FOLD
+)
+
 # Checkout requests: every cart once, some of them by somebody else, the urgent ones twice.
 DECIDED = f"""
     requests AS (
@@ -595,6 +606,11 @@ def _jobs() -> dict[str, str]:
             "SELECT Wallet_ID, id, accepted, 100 * balance AS balance FROM folded",
             FOLD_STREAM,
         ),
+        "w03_wallet_refund_stream": _out(
+            "Wallet_ID:l Balance:d",
+            "SELECT Wallet_ID, arg_max(balance, n) AS Balance FROM folded GROUP BY 1",
+            FOLD_REFUNDS,
+        ),
         "w04_checkout_orders": _out(
             "OrderID:l Date_Time:t UserID:l Restaurant_ID:l Status:s Total_Amount:d Updated_At:t",
             f"""SELECT OrderID, {AS_OF} AS Date_Time, UserID, Restaurant_ID, 'pending' AS Status, Total_Amount,

@@ -71,28 +71,74 @@ def test_refund_credits_fall_due_once(spark, folders):
     assert due == [(1, 2), (3, 1), (4, 4), (4, 6)]
 
 
-def test_debits_equal_the_batch_job(spark, folders):
+def wallet_events(seed, n=400, spread=0):
+    """Events in about the order of their times, at most ``spread`` minutes off."""
+    dice = random.Random(seed)
+    events = []
+    for k in range(n):
+        wallet = 3 if dice.random() < 0.4 else dice.randrange(12)
+        kind = ledger.CREDIT if dice.random() < 0.4 else ledger.DEBIT
+        minute = max(0, k - dice.randrange(spread + 1))
+        events.append((wallet, START + timedelta(minutes=minute), kind, k, dice.randrange(1, 400), 500))
+    return events
+
+
+def test_wallets_in_event_time_equal_the_batch_job(spark, folders):
+    """Out of order within the delay, several micro-batches a run, and a restart after each run."""
     feed, out = folders
-    dice = random.Random(2)
-    events = [
-        (
-            3 if dice.random() < 0.4 else dice.randrange(12),
-            START + timedelta(minutes=n),
-            ledger.CREDIT if dice.random() < 0.4 else ledger.DEBIT,
-            n,
-            dice.randrange(1, 400),
-            500,
-        )
-        for n in range(400)
-    ]
+    events = wallet_events(2, spread=50)
     for lo in range(0, 400, 100):
         drop(spark, feed, events[lo : lo + 50], ledger.EVENTS)
         drop(spark, feed, events[lo + 50 : lo + 100], ledger.EVENTS)
-        ledger_stream.start(follow(spark, feed, ledger.EVENTS), out).awaitTermination()
-    streamed = spark.read.schema(ledger.SETTLED).parquet(f"{out}/settled")
+        query = ledger_stream.start([follow(spark, feed, ledger.EVENTS)], out, "60 minutes", 7 * 60_000, stores=3)
+        query.awaitTermination()
+        done = ledger_stream.settled(spark, out).count()
+        assert lo <= done < len(events)  # what lies behind the watermark, no more
+    ledger_stream.tick(spark, out)
+    ledger_stream.start([follow(spark, feed, ledger.EVENTS)], out, "60 minutes", 7 * 60_000).awaitTermination()
+    streamed = ledger_stream.settled(spark, out)
     batch = ledger.settle_events(spark, spark.createDataFrame(events, ledger.EVENTS), slice_rows=30)
     assert {tuple(r) for r in streamed.collect()} == {tuple(r) for r in batch.collect()}
     assert not all(r.accepted for r in batch.collect())
+    assert ledger_stream.late(spark, out).count() == 0
+    last = {(r.Wallet_ID, r.balance) for r in ledger_stream.balances(spark, out).collect()}
+    assert len(last) == len({e[0] for e in events}) and last <= {(r.Wallet_ID, r.balance) for r in batch.collect()}
+
+
+def test_late_wallet_events_go_aside(spark, folders):
+    feed, out = folders
+    at = lambda hour: START + timedelta(hours=hour)
+    run = lambda: ledger_stream.start([follow(spark, feed, ledger.EVENTS)], out, "1 hour", 60_000, stores=2).awaitTermination()
+    drop(spark, feed, [(1, at(1), 0, 10, 50, 0), (1, at(5), 1, 11, 20, 0), (None, at(5), 0, 12, 1, 0)], ledger.EVENTS)
+    run()
+    drop(spark, feed, [(1, at(0), 1, 13, 50, 0), (1, None, 0, 14, 9, 0), (2, at(2), 0, 15, 9, 0), (1, at(4.5), 1, 16, 40, 0)], ledger.EVENTS)
+    run()
+    ledger_stream.tick(spark, out)
+    run()
+    late = {(r.Wallet_ID, r.at, r.id) for r in ledger_stream.late(spark, out).collect()}
+    assert late == {(1, at(0), 13), (1, None, 14), (2, at(2), 15)}
+    done = [(r.id, r.accepted, r.balance) for r in ledger_stream.settled(spark, out).orderBy("at").collect()]
+    assert done == [(10, True, 50), (16, True, 10), (11, False, 10)]
+
+
+def test_two_feeds_share_one_clock(spark, folders):
+    """Credits and debits come by feeds of their own, one far behind the other; nothing is late."""
+    feed, out = folders
+    events = wallet_events(5)
+    kinds = [[e for e in events if e[2] == kind] for kind in (ledger.CREDIT, ledger.DEBIT)]
+    run = lambda: ledger_stream.start(
+        [follow(spark, f"{feed}-{k}", ledger.EVENTS) for k in (0, 1)], out, "1 minute", 60_000, stores=2
+    ).awaitTermination()
+    drop(spark, f"{feed}-0", kinds[0], ledger.EVENTS)  # all credits before the first debit
+    drop(spark, f"{feed}-1", kinds[1][:5], ledger.EVENTS)
+    run()
+    drop(spark, f"{feed}-1", kinds[1][5:], ledger.EVENTS)
+    run()
+    ledger_stream.tick(spark, out)
+    run()
+    batch = ledger.settle_events(spark, spark.createDataFrame(events, ledger.EVENTS))
+    assert {tuple(r) for r in ledger_stream.settled(spark, out).collect()} == {tuple(r) for r in batch.collect()}
+    assert ledger_stream.late(spark, out).count() == 0
 
 
 def test_wallet_debits_do_not_depend_on_files(spark, small, tmp_path):

@@ -6,25 +6,26 @@ decides the next and no running sum can express it.
 
 How it scales. Events are range-partitioned by (wallet, time, number) into slices of about ``SLICE_ROWS`` rows and
 written to the shared folder. A wallet that fits in one slice is settled there, all slices in parallel. A wallet
-that spans slices, however many events it has, is a chain of slices. Two numbers per slice of a chain, computed in
-parallel, tell whether it passes as a whole: an opening balance of at least ``need`` has every debit accepted, one
-below ``least`` has every debit rejected, and either way the closing balance is a sum away. Only slices between the
-two are walked, one after the other within a chain, each by a task that reads that slice alone. Once every opening
-balance is known all slices are settled in parallel. No task ever holds more than a slice. The driver holds seven
-numbers per slice of a chain, of which there are fewer than twice as many as slices: some 100 bytes for millions of
-events.
+that spans slices, however many events it has, is a chain. Its slices are packed in parallel into chunks of
+``CHUNK_ROWS`` events, nine bytes an event, each with two numbers that tell whether it passes as a whole: an opening
+balance of at least ``need`` has every debit accepted, one below ``least`` has every debit rejected, and either way the
+closing balance is a sum away. One job then walks all chains, a chain in one task over an iterator of its chunks with
+the balance as its only state; only chunks between the two numbers are gone through event by event. It hands on the
+opening balance of each slice of a chain, with which all slices are settled in parallel. No task holds more than a
+slice, the walk holds a batch of chunks, and the driver holds nothing.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import datetime
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiffin.operators import dense_numbers, keyed_update
@@ -32,7 +33,7 @@ from tiffin.session import shared_folder
 from tiffin.sources import Marketplace
 
 SLICE_ROWS = 2_000_000
-PRUNED = 1_000  # up to so many slices are named to the scan one by one
+CHUNK_ROWS = 1_024
 CREDIT, DEBIT = 0, 1
 ORDER = ["at", "kind", "id"]
 EVENTS = "Wallet_ID bigint, at timestamp_ntz, kind int, id bigint, cents bigint, opening bigint"
@@ -89,48 +90,51 @@ def _events(m: Marketplace, requests: DataFrame, credits: DataFrame) -> DataFram
     return debits.unionByName(topped)
 
 
-def walker() -> Callable[[Iterable[pd.DataFrame]], pd.DataFrame]:
-    """The function that settles the events of one slice, given in any number of chunks.
-
-    It is made here, not defined at module level, so that it travels to the executors with the task and they need
-    no copy of this package.
-    """
-
-    def walk(chunks: Iterable[pd.DataFrame]) -> pd.DataFrame:
-        chunks = list(chunks)
-        names = ["Wallet_ID", *ORDER, "cents", "opening"]
-        columns = {c: np.concatenate([chunk[c].to_numpy() for chunk in chunks]) for c in names}
-        keys = [columns["Wallet_ID"], columns["at"].view("int64"), columns["kind"], columns["id"]]
-        order = np.lexsort(keys[::-1])  # as Spark sorts: a missing time comes first
-        columns = {c: values[order] for c, values in columns.items()}
-        wallet, debit, cents = columns["Wallet_ID"], columns["kind"] == DEBIT, columns["cents"]
-
-        # Running balances as if every debit were accepted.
-        first = np.flatnonzero(np.r_[True, wallet[1:] != wallet[:-1]])
-        member = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(wallet)]))
-        signed = np.where(debit, -cents, cents)
-        balance = np.cumsum(signed)
-        balance += (columns.pop("opening")[first] - balance[first] + signed[first])[member]
-        accepted = np.ones(len(wallet), dtype=bool)
-
-        # From its first uncovered debit on, a wallet is settled event by event.
-        uncovered = np.flatnonzero(debit & (balance < 0))
-        broken, at = np.unique(member[uncovered], return_index=True)
-        for start, end in zip(uncovered[at].tolist(), np.r_[first, len(wallet)][broken + 1].tolist(), strict=True):
-            now = int(balance[start] - signed[start])
-            for n, is_debit, amount in zip(
-                range(start, end), debit[start:end].tolist(), cents[start:end].tolist(), strict=True
-            ):
-                if not is_debit:
-                    now += amount
-                elif now >= amount:
-                    now -= amount
-                else:
-                    accepted[n] = False
-                balance[n] = now
-        return pd.DataFrame({**columns, "accepted": accepted, "balance": balance})
-
-    return walk
+def advance(debit: np.ndarray, cents: np.ndarray, opening: int) -> tuple[np.ndarray, np.ndarray]:
+    """Acceptance of consecutive events of one wallet and the balance after each."""
+    signed = np.where(debit, -cents, cents)
+    balance = opening + np.cumsum(signed)  # as if every debit were accepted
+    accepted = np.ones(len(cents), dtype=bool)
+    uncovered = np.flatnonzero(debit & (balance < 0))
+    if len(uncovered):
+        # From the first uncovered debit on, event by event.
+        start = int(uncovered[0])
+        now = int(balance[start] - signed[start])
+        for n, (is_debit, amount) in enumerate(zip(debit[start:].tolist(), cents[start:].tolist(), strict=True), start):
+            if not is_debit:
+                now += amount
+            elif now >= amount:
+                now -= amount
+            else:
+                accepted[n] = False
+            balance[n] = now
+    return accepted, balance
+
+
+def _settled_slice(rows: pd.DataFrame) -> pd.DataFrame:
+    """All events of a slice, wallet by wallet."""
+    columns = {c: rows[c].to_numpy() for c in ("Wallet_ID", *ORDER, "cents", "opening")}
+    keys = [columns["Wallet_ID"], columns["at"].view("int64"), columns["kind"], columns["id"]]
+    order = np.lexsort(keys[::-1])  # as Spark sorts: a missing time comes first
+    columns = {c: values[order] for c, values in columns.items()}
+    wallet, debit, cents = columns["Wallet_ID"], columns["kind"] == DEBIT, columns["cents"]
+
+    # Running balances as if every debit were accepted.
+    first = np.flatnonzero(np.r_[True, wallet[1:] != wallet[:-1]])
+    member = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(wallet)]))
+    signed = np.where(debit, -cents, cents)
+    balance = np.cumsum(signed)
+    balance += (columns.pop("opening")[first] - balance[first] + signed[first])[member]
+    accepted = np.ones(len(wallet), dtype=bool)
+
+    # Wallets with an uncovered debit are settled from there on.
+    uncovered = np.flatnonzero(debit & (balance < 0))
+    broken, at = np.unique(member[uncovered], return_index=True)
+    for start, end in zip(uncovered[at].tolist(), np.r_[first, len(wallet)][broken + 1].tolist(), strict=True):
+        accepted[start:end], balance[start:end] = advance(
+            debit[start:end], cents[start:end], int(balance[start] - signed[start])
+        )
+    return pd.DataFrame({**columns, "accepted": accepted, "balance": balance})
 
 
 def _slices(spark: SparkSession, events: DataFrame, folder: str, slice_rows: int) -> DataFrame:
@@ -151,8 +155,62 @@ def _slices(spark: SparkSession, events: DataFrame, folder: str, slice_rows: int
     return spark.read.schema(f"{EVENTS}, slice int").parquet(f"{folder}/slices")
 
 
-def _chains(sliced: DataFrame) -> DataFrame:
-    """One row per slice of every wallet that spans slices, in order, with what decides it as a whole."""
+CHUNKS = (
+    "Wallet_ID bigint, slice int, chunk int, opening bigint, need bigint, least bigint, net bigint, credits bigint, "
+    "debit binary, cents binary"
+)
+OPENINGS = "Wallet_ID bigint, slice int, carried bigint"
+ALWAYS = -(2**63)  # a chunk without debits passes with any balance
+
+
+def _chunks(rows: pa.Table) -> pa.Table:
+    """One wallet's events of one slice, in order, packed and summed up."""
+    at = rows.column("at").to_numpy().view("int64")
+    kind, id_, cents = (rows.column(c).to_numpy() for c in ("kind", "id", "cents"))
+    order = np.lexsort((id_, kind, at))
+    debit, cents = (kind == DEBIT)[order], cents[order]
+    parts = []
+    for number, a in enumerate(range(0, len(cents), CHUNK_ROWS)):
+        d, c = debit[a : a + CHUNK_ROWS], cents[a : a + CHUNK_ROWS]
+        net, credits = np.cumsum(np.where(d, -c, c)), np.cumsum(np.where(d, 0, c))
+        need, least = (int(-net[d].min()), int((c - credits)[d].min())) if d.any() else (ALWAYS, ALWAYS)
+        parts.append((number, need, least, int(net[-1]), int(credits[-1]), d.tobytes(), c.tobytes()))
+    own = {c: [rows.column(c)[0].as_py()] * len(parts) for c in ("Wallet_ID", "slice")}
+    opening = [int(rows.column("opening").to_numpy().min())] * len(parts)
+    columns = dict(zip(("chunk", "need", "least", "net", "credits", "debit", "cents"), zip(*parts, strict=True), strict=True))
+    names = ("Wallet_ID", "slice", "chunk", "opening", "need", "least", "net", "credits", "debit", "cents")
+    kinds = (pa.int64(), pa.int32(), pa.int32(), *[pa.int64()] * 5, pa.binary(), pa.binary())
+    values = {**own, "opening": opening, **columns}
+    return pa.table({n: pa.array(values[n], t) for n, t in zip(names, kinds, strict=True)})
+
+
+def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The chains of a partition, chunk by chunk in order: the opening balance of every slice."""
+    wallet, balance = None, 0
+    for batch in batches:
+        numbers = zip(*(batch.column(c).to_pylist() for c in range(8)), strict=True)
+        found = []
+        for i, (own, part, chunk, opening, need, least, net, credits) in enumerate(numbers):
+            if own != wallet:
+                wallet, balance = own, opening
+            if chunk == 0:
+                found.append((own, part, balance))
+            if balance >= need:
+                balance += net
+            elif balance < least:
+                balance += credits
+            else:
+                debit = np.frombuffer(batch.column(8)[i].as_py(), bool)
+                balance = int(advance(debit, np.frombuffer(batch.column(9)[i].as_py(), np.int64), balance)[1][-1])
+        kinds = (pa.int64(), pa.int32(), pa.int64())
+        columns = list(zip(*found, strict=True)) or [[], [], []]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], ["Wallet_ID", "slice", "carried"]
+        )
+
+
+def openings(sliced: DataFrame) -> DataFrame:
+    """Opening balance of every slice of every wallet that spans slices (``OPENINGS``)."""
     spans = (
         sliced.groupBy("Wallet_ID")
         .agg(F.min("slice").alias("first"), F.max("slice").alias("last"))
@@ -161,80 +219,19 @@ def _chains(sliced: DataFrame) -> DataFrame:
     )
     # A slice boundary can cut one wallet only: there are fewer such wallets than slices.
     events = sliced.join(F.broadcast(spans), "Wallet_ID", "left_semi")
-    before = Window.partitionBy("slice", "Wallet_ID").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
-    is_debit = F.col("kind") == DEBIT
-    credit = F.when(is_debit, 0).otherwise(F.col("cents"))
-    signed = F.when(is_debit, -F.col("cents")).otherwise(F.col("cents"))
-    always = F.lit(-(2**63))  # a slice without debits passes with any balance
-    return (
-        events.withColumn("net", F.sum(signed).over(before))
-        .withColumn("credits", F.sum(credit).over(before))
-        .groupBy("Wallet_ID", "slice")
-        .agg(
-            F.coalesce(F.max(F.when(is_debit, -F.col("net"))), always).alias("need"),
-            F.coalesce(F.min(F.when(is_debit, F.col("cents") - F.col("credits"))), always).alias("least"),
-            F.sum(signed).alias("net"),
-            F.sum(credit).alias("credits"),
-            F.min("opening").alias("opening"),
-        )
-        .orderBy("Wallet_ID", "slice")
-    )
-
-
-def _with_openings(sliced: DataFrame, known: pd.DataFrame, how: str) -> DataFrame:
-    known = sliced.sparkSession.createDataFrame(known, "Wallet_ID bigint, slice int, carried bigint")
-    return (
-        sliced.join(F.broadcast(known), ["Wallet_ID", "slice"], how)  # fewer than two rows per slice
-        .withColumn("opening", F.coalesce("carried", "opening"))
-        .drop("carried")
-    )
-
-
-def _closing(sliced: DataFrame, known: pd.DataFrame) -> dict[int, int]:
-    """Walk one slice each of some wallets and return their balances after it."""
-    walk = walker()
-    if len(known) <= PRUNED:
-        sliced = sliced.where(F.col("slice").isin(known["slice"].tolist()))
-    last = _with_openings(sliced, known, "inner").groupBy("Wallet_ID", "slice")
-    rows = last.applyInPandas(lambda rows: walk([rows]).tail(1), SETTLED).select("Wallet_ID", "balance").collect()
-    return {row["Wallet_ID"]: row["balance"] for row in rows}
-
-
-def _openings(sliced: DataFrame) -> pd.DataFrame:
-    """Opening balance of every slice of every chain."""
-    chain = _chains(sliced).toPandas()
-    wallet, need, least, net, credits = (chain[c].to_numpy() for c in ("Wallet_ID", "need", "least", "net", "credits"))
-    opened = chain[["Wallet_ID", "slice"]].assign(carried=chain["opening"])
-    carried = opened["carried"].to_numpy().copy()
-
-    def advance(start: int, end: int, balance: int) -> int | None:
-        """Pass whole slices while the balance decides them; the place of the first that has to be walked."""
-        for n in range(start, end):
-            carried[n] = balance
-            if balance >= need[n]:
-                balance += net[n]
-            elif balance < least[n]:
-                balance += credits[n]
-            else:
-                return n
-        return None
-
-    starts = np.flatnonzero(np.r_[len(chain) > 0, wallet[1:] != wallet[:-1]]).tolist()
-    cursors = [(n, end, carried[n]) for n, end in zip(starts, [*starts[1:], len(chain)], strict=False)]
-    while walks := [(n, end) for start, end, balance in cursors if (n := advance(start, end, balance)) is not None]:
-        places = [n for n, _ in walks]
-        closing = _closing(sliced, opened.iloc[places].assign(carried=carried[places]))
-        cursors = [(n + 1, end, closing[wallet[n]]) for n, end in walks]
-    return opened.assign(carried=carried)
+    packed = events.groupBy("Wallet_ID", "slice").applyInArrow(_chunks, CHUNKS)
+    ordered = packed.repartition("Wallet_ID").sortWithinPartitions("Wallet_ID", "slice", "chunk")
+    return ordered.mapInArrow(_walk, OPENINGS)
 
 
 def settle_events(spark: SparkSession, events: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """All events with ``accepted`` and the wallet's ``balance`` after them (both in the EVENTS order)."""
     folder = f"{shared_folder(spark)}/ledger-{uuid.uuid4().hex}"
     sliced = _slices(spark, events, folder, slice_rows)
-    walk = walker()
-    known = _with_openings(sliced, _openings(sliced), "left")
-    settled = known.groupBy("slice").applyInPandas(lambda rows: walk([rows]), SETTLED)
+    # Fewer than two rows per slice are joined to the slices.
+    known = sliced.join(F.broadcast(openings(sliced)), ["Wallet_ID", "slice"], "left")
+    known = known.withColumn("opening", F.coalesce("carried", "opening")).drop("carried")
+    settled = known.groupBy("slice").applyInPandas(_settled_slice, SETTLED)
     settled.write.parquet(f"{folder}/settled")
     return spark.read.schema(SETTLED).parquet(f"{folder}/settled")
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tiffin.jobs.ledger import EVENTS
+from tiffin.jobs.ledger import CREDIT, DEBIT
 from tiffin.sources.star import STAR, StarSource
+from tiffin.streaming.refunds import due
 
 REFUND = "struct<Refund_ID:bigint,Wallet_ID:bigint,Refund_Amount:decimal(18,2),Refund_Status:string>"
 
@@ -76,11 +77,10 @@ def checkout_requests(source: StarSource) -> DataFrame:
     )
 
 
-def event_stream(source: StarSource, files: int | None = 8) -> DataFrame:
-    """The events as an unbounded input: new files become new rows, ``files`` of them at a time (None: all there are)."""
+def event_stream(source: StarSource, files: int = 8) -> DataFrame:
+    """The events as an unbounded input: new files become new rows, ``files`` of them at a time."""
     # A pattern, because a stream source takes a plain path for a folder while the table may be a single file.
-    reader = source.spark.readStream.schema(STAR["events"])
-    reader = reader if files is None else reader.option("maxFilesPerTrigger", files)
+    reader = source.spark.readStream.schema(STAR["events"]).option("maxFilesPerTrigger", files)
     return reader.parquet(f"{source.root}/events.parque[t]")
 
 
@@ -106,19 +106,38 @@ def refund_stream(source: StarSource) -> DataFrame:
     return source.refunds(event_stream(source)).select(F.inline(F.array(raised, closed)))
 
 
-def wallet_stream(source: StarSource) -> DataFrame:
-    """Wallet movements as credit and debit requests; every wallet starts empty.
-
-    Whether a debit is covered depends on the order of the events, and a micro-batch is settled in that order. All
-    files that have arrived are therefore one micro-batch: how the events are dealt to files changes nothing.
-    """
-    kinds = F.col("event_type").isin("purchase", "click")
-    rows = event_stream(source, files=None).where(kinds).select(
-        F.col("user_id").alias("Wallet_ID"),
-        F.col("ts").alias("at"),
-        F.when(F.col("event_type") == "purchase", 1).otherwise(0).alias("kind"),
-        F.col("event_id").alias("id"),
-        (F.col("value").cast("decimal(18,2)") * 100).cast("bigint").alias("cents"),
+def _wallet_events(rows: DataFrame, wallet: str, at: str, kind: Column, number: str, amount: str) -> DataFrame:
+    """Rows as wallet events (``EVENTS``); every wallet starts empty."""
+    return rows.select(
+        F.col(wallet).alias("Wallet_ID"),
+        F.col(at).alias("at"),
+        kind.cast("int").alias("kind"),
+        F.col(number).alias("id"),
+        (F.col(amount).cast("decimal(18,2)") * 100).cast("bigint").alias("cents"),
         F.lit(0).cast("bigint").alias("opening"),
     )
-    return rows.select(*[part.split()[0] for part in EVENTS.split(", ")])
+
+
+def wallet_stream(source: StarSource) -> DataFrame:
+    """Wallet movements as credit and debit requests."""
+    rows = event_stream(source).where(F.col("event_type").isin("purchase", "click"))
+    kind = F.when(F.col("event_type") == "purchase", DEBIT).otherwise(CREDIT)
+    return _wallet_events(rows, "user_id", "ts", kind, "event_id", "value")
+
+
+def purchase_stream(source: StarSource) -> DataFrame:
+    """Purchases as debit requests."""
+    rows = event_stream(source).where(F.col("event_type") == "purchase")
+    return _wallet_events(rows, "user_id", "ts", F.lit(DEBIT), "event_id", "value")
+
+
+def refund_credit_stream(source: StarSource) -> DataFrame:
+    """Credits that refunds earn when they are completed."""
+    return _wallet_events(due(refund_stream(source)), "Wallet_ID", "at", F.lit(CREDIT), "Refund_ID", "Amount")
+
+
+def event_span_hours(source: StarSource) -> int:
+    """How late a file may bring an event: files are in no order, so by as much as the table spans. Refunds end two
+    hours after their event."""
+    first, last = source.raw("events").agg(F.min("ts"), F.max("ts")).first()
+    return 3 + int((last - first).total_seconds() // 3600) if first else 3

@@ -1,46 +1,172 @@
-"""Wallet debits from a stream of credits and debit requests: the rules of ``tiffin.jobs.ledger``, kept going.
+"""Wallet movements by stream in the order of their times: the rules of ``tiffin.jobs.ledger``, kept going.
 
-The balance of every wallet is kept in the state store; a wallet starts with the opening balance of its first
-event. Events of a wallet are put in order within a micro-batch; across micro-batches they count as they arrive.
-A task holds the events of one wallet in one micro-batch, so bound the micro-batch at the source
-(``maxFilesPerTrigger`` or the like): that bound, not the wallet's history, is what a hot wallet can cost.
+Whether a debit is covered depends on what came before it, and files bring events in any order. So events wait in the
+state of their wallet until the watermark has passed them: the wallet's time is cut into slots, a slot that an event
+falls into gets an event-time timer for its end, and when the timer fires the slot's events are put in order and
+settled with the wallet's balance. What comes after its slot was closed is written as ``late`` and changes nothing.
+Results depend on the events and not on micro-batches or files, as long as nothing is later than the feed's delay.
+
+Several feeds (payments, refund credits) share one clock: each has a watermark of its own, and the slowest counts. A
+feed may deliver an event again: it has the same time, so it falls into the same slot and counts once, or is late.
+
+State of a wallet: its balance, and the waiting events of each open slot as packed parts, one for each micro-batch that
+brought some, in RocksDB. A task holds the rows of one wallet in one micro-batch or the events of its slots that end in
+one, so a hot wallet costs what the delay and the micro-batch allow, not its history.
+
+``tick`` tells the clock that a feed has nothing more to come before a time; with no time it closes the stream, and
+everything that waits is settled. NULL wallets are left out; an event without a time can't be put in order and is late.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from datetime import datetime
+from functools import reduce
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from tiffin.jobs.ledger import SETTLED, walker
+from tiffin.jobs.ledger import DEBIT, EVENTS, SETTLED, advance
 
+STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+MOVED = "Wallet_ID bigint, at_us bigint, kind int, id bigint, cents bigint, accepted boolean, balance bigint, late boolean"
+END = datetime(9999, 1, 1)
+_EVENT = np.dtype([("at", "<i8"), ("id", "<i8"), ("cents", "<i8"), ("kind", "<i4")])
 
-def settled(events: DataFrame) -> DataFrame:
-    """Stream of events (``tiffin.jobs.ledger.EVENTS``) with acceptance and the balance after each."""
-    walk = walker()
 
-    def carry(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            chunks = [chunk.assign(opening=state.get[0]) for chunk in chunks]
-        done = walk(chunks)
-        state.update((int(done["balance"].iloc[-1]),))
-        yield done
+class Settling(StatefulProcessor):
+    """One wallet's slots. ``slot_us`` is a slot's length, whole milliseconds in microseconds."""
 
-    return events.groupBy("Wallet_ID").applyInPandasWithState(
-        carry, SETTLED, "balance bigint", "append", GroupStateTimeout.NoTimeout
-    )
+    def __init__(self, slot_us: int):
+        self.slot_us = slot_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.balance = handle.getValueState("balance", "cents bigint")
+        self.parts = handle.getMapState("parts", "slot bigint", "n int")
+        self.waiting = handle.getMapState("waiting", "slot bigint, part int", "events binary")
+
+    def _end_ms(self, slot: int) -> int:
+        return (slot + 1) * self.slot_us // 1000
 
+    def _rows(self, key, events: np.ndarray, accepted, balance, late: bool) -> pd.DataFrame:
+        columns = {"at_us": events["at"], "kind": events["kind"], "id": events["id"], "cents": events["cents"]}
+        return pd.DataFrame({"Wallet_ID": np.full(len(events), key[0]), **columns, "accepted": accepted, "balance": balance, "late": late})
 
-def start(events: DataFrame, folder: str, **trigger) -> StreamingQuery:
-    return (
-        settled(events)
-        .writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", f"{folder}/settled")
-        .option("checkpointLocation", f"{folder}/checkpoint")
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        if key[0] is None:
+            return
+        mark = timerValues.getCurrentWatermarkInMs()
+        frames = list(rows)
+        frame = pd.concat(frames) if len(frames) > 1 else frames[0]
+        known = frame["at_us"].notna().to_numpy()
+        events = np.empty(len(frame), _EVENT)
+        events["at"] = frame["at_us"].fillna(0).to_numpy()
+        for name in ("id", "cents", "kind"):
+            events[name] = frame[name].to_numpy()
+        slot = events["at"] // self.slot_us
+        late = ~known | ((slot + 1) * self.slot_us // 1000 <= mark)
+        if not self.balance.exists():
+            self.balance.update((int(frame["opening"].iloc[0]),))
+        for own in np.unique(slot[~late]).tolist():
+            n = self.parts.getValue((own,))[0] if self.parts.containsKey((own,)) else 0
+            self.waiting.updateValue((own, n), (events[~late & (slot == own)].tobytes(),))
+            self.parts.updateValue((own,), (n + 1,))
+            if not n:
+                self.handle.registerTimer(self._end_ms(own))
+        if late.any():
+            times = np.where(known[late], events["at"][late].astype(object), None)
+            out = self._rows(key, events[late], None, None, True)
+            out["at_us"] = pd.array(times, "Int64")
+            yield out
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        # Whichever timer comes first settles all slots that have ended, in order.
+        mark = expiredTimerInfo.getExpiryTimeInMs()
+        ended = sorted((slot, n) for (slot,), (n,) in self.parts.iterator() if self._end_ms(slot) <= mark)
+        for slot, n in ended:
+            raw = [bytes(self.waiting.getValue((slot, i))[0]) for i in range(n)]
+            events = np.frombuffer(b"".join(raw), _EVENT)
+            events = np.unique(events[["at", "kind", "id", "cents"]])  # in order, each once
+            accepted, balance = advance(events["kind"] == DEBIT, events["cents"], self.balance.get()[0])
+            self.balance.update((int(balance[-1]),))
+            for i in range(n):
+                self.waiting.removeKey((slot, i))
+            self.parts.removeKey((slot,))
+            yield self._rows(key, events, accepted, balance, False)
+
+    def close(self) -> None:
+        pass
+
+
+def moved(feeds: Sequence[DataFrame], ticks: DataFrame, delay: str, slot_ms: int) -> DataFrame:
+    """Stream of ``MOVED`` from streams of ``tiffin.jobs.ledger.EVENTS``."""
+    names = [part.split()[0] for part in EVENTS.split(", ")]
+    ticked = ticks.select(*[F.col("at") if c == "at" else F.lit(None).alias(c) for c in names])
+    clock = F.col("at").cast("timestamp").alias("clock")
+    clocked = [feed.select(*names).unionByName(ticked).select("*", clock).withWatermark("clock", delay) for feed in feeds]
+    # The clock has to see ticks, so this must not be pushed below it, and nothing that names the time is.
+    kept = F.col("Wallet_ID").isNotNull() | (F.col("clock") > F.lit(END) + F.expr("interval 1 day"))
+    rows = reduce(DataFrame.unionByName, clocked).where(kept)
+    # As a number the time has no watermark of its own, so late rows come through and are told.
+    rows = rows.select("Wallet_ID", F.unix_micros("clock").alias("at_us"), "kind", "id", "cents", "opening")
+    return rows.groupBy("Wallet_ID").transformWithStateInPandas(
+        Settling(slot_ms * 1000), MOVED, outputMode="Append", timeMode="EventTime"
     )
+
+
+def tick(spark: SparkSession, folder: str, at: datetime = END) -> None:
+    """Tell the clock that nothing before ``at`` less the delay is to come. Takes effect in the next micro-batch."""
+    spark.createDataFrame([(at,)], "at timestamp_ntz").coalesce(1).write.mode("append").parquet(f"{folder}/ticks")
+
+
+def start(
+    feeds: Sequence[DataFrame], folder: str, delay: str, slot_ms: int, stores: int | None = None, **trigger
+) -> StreamingQuery:
+    """Settle ``feeds`` into ``folder``; started again it goes on where it stopped. ``stores`` is the number of state
+    partitions when started for the first time (default: the session's parallelism)."""
+    spark = feeds[0].sparkSession
+    spark.createDataFrame([], "at timestamp_ntz").coalesce(1).write.mode("ignore").parquet(f"{folder}/ticks")
+    ticks = spark.readStream.schema("at timestamp_ntz").parquet(f"{folder}/ticks")
+    settings = {STORE: ROCKSDB, "spark.sql.shuffle.partitions": str(stores or spark.sparkContext.defaultParallelism)}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():  # a query keeps the settings it was started with
+        spark.conf.set(name, value)
+    try:
+        return (
+            moved(feeds, ticks, delay, slot_ms)
+            .writeStream.outputMode("append")
+            .format("parquet")
+            .option("path", f"{folder}/moved")
+            .option("checkpointLocation", f"{folder}/checkpoint")
+            .trigger(**(trigger or {"availableNow": True}))
+            .start()
+        )
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def _moved(spark: SparkSession, folder: str) -> DataFrame:
+    rows = spark.read.schema(MOVED).parquet(f"{folder}/moved")
+    return rows.withColumn("at", F.timestamp_micros("at_us").cast("timestamp_ntz"))
+
+
+def settled(spark: SparkSession, folder: str) -> DataFrame:
+    """What the stream has settled so far, in the shape of the batch job's result (``SETTLED``)."""
+    return _moved(spark, folder).where(~F.col("late")).select(*[part.split()[0] for part in SETTLED.split(", ")])
+
+
+def late(spark: SparkSession, folder: str) -> DataFrame:
+    """Events that came after their time was settled."""
+    return _moved(spark, folder).where("late").select("Wallet_ID", "at", "kind", "id", "cents")
+
+
+def balances(spark: SparkSession, folder: str) -> DataFrame:
+    """Newest settled balance of every wallet that had an event, in cents."""
+    last = F.max_by("balance", F.struct("at", "kind", "id"))
+    return settled(spark, folder).groupBy("Wallet_ID").agg(last.alias("balance"))
