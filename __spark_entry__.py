@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import importlib.util
 import os
 import sys
 import uuid
@@ -17,6 +16,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
 from tiffin.jobs import checkout, deletion, intake, ledger, quality, rating, refunds  # noqa: E402
+from tiffin.operators import snapshot_changes  # noqa: E402
 from tiffin.plans import analytics, audit, dashboard, paging, views  # noqa: E402
 from tiffin.session import shared_folder, tune  # noqa: E402
 from tiffin.sources import StarSource, workload  # noqa: E402
@@ -88,6 +88,16 @@ def _checkout(source: StarSource) -> checkout.Checkout:
     return checkout.checkout(source.marketplace("gen1"), workload.checkout_requests(source), AS_OF)
 
 
+def _checkout_appended(source: StarSource) -> DataFrame:
+    """The batch is run twice and must be there once."""
+    root = f"{shared_folder(source.spark)}/orders-{uuid.uuid4().hex}"
+    m, requests = source.marketplace("gen1"), workload.checkout_requests(source)
+    for _ in range(2):
+        orders, lines = checkout.append_orders(m, requests, root, "first", AS_OF)
+    sizes = lines.groupBy("OrderID").agg(F.count(F.lit(1)).alias("n_lines"), F.sum("Quantity").alias("quantity"))
+    return orders.join(sizes, "OrderID").select("OrderID", "UserID", "Restaurant_ID", "Total_Amount", "n_lines", "quantity")
+
+
 def _purge(source: StarSource, table: str, condition) -> deletion.Deletion:
     m = source.marketplace("gen1")
     return deletion.plan_deletion(m, table, m[table].where(condition))
@@ -136,6 +146,20 @@ def _ratings_streamed(source: StarSource) -> DataFrame:
     return rating.ratings(rating_stream.state(source.spark, folder))
 
 
+def _ratings_from_snapshots(source: StarSource) -> DataFrame:
+    """Two snapshots of the reviews become a change feed: the first against nothing, the second against the first.
+    The stream stops after the first feed and goes on with the second."""
+    root = f"{shared_folder(source.spark)}/stream-{uuid.uuid4().hex}"
+    columns = ["Restaurant_ID", "Rating"]
+    first = source.marketplace("gen1")["review"].select("Review_ID", *columns)
+    for old, new in [(first.limit(0), first), (first, workload.reviews_after(source))]:
+        feed = snapshot_changes(old, new, ["Review_ID"], columns).select("before", "after")
+        feed.write.mode("append").parquet(f"{root}/feed")
+        changes = source.spark.readStream.schema(feed.schema).parquet(f"{root}/feed")
+        rating_stream.start(changes, f"{root}/ratings").awaitTermination()
+    return rating.ratings(rating_stream.state(source.spark, f"{root}/ratings"))
+
+
 def _credits_streamed(source: StarSource) -> DataFrame:
     folder = _drained(refund_stream.start, workload.refund_stream(source), source)
     return refund_stream.credits(source.spark, folder)
@@ -166,17 +190,12 @@ def _refunds_into_wallets(source: StarSource) -> DataFrame:
 
 def _corpus() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
     """Queries and SQL of the llm subpackage and the pipeline, as far as they are there."""
-    found, sql = {}, {}
-    if importlib.util.find_spec("tiffin.llm"):
-        from tiffin.llm import queries as corpus
-
-        found |= corpus.QUERIES
-        sql |= corpus.ORACLE_SQL
-    if found and importlib.util.find_spec("corpus_pipeline"):
+    try:
         import corpus_pipeline
-
-        found["pipeline"] = corpus_pipeline.run
-    return found, sql
+        from tiffin.llm import queries as corpus
+    except ImportError:
+        return {}, {}
+    return corpus.QUERIES | {"pipeline": corpus_pipeline.run}, corpus.ORACLE_SQL
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -240,10 +259,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "v02_restaurant_leaderboard": _plan(g1, views.restaurant_leaderboard),
         "v02_restaurant_leaderboard_corrected": _plan(g1, views.restaurant_leaderboard, corrected=True),
         "v03_menu_with_category": _plan(g1, views.menu_with_category),
+        "s03_orders_by_view": _plan(g1, views.orders_by_view),
         "c01_orders_page": _plan(g1, paging.orders_page, page=3, size=25),
         "c02_orders_after": _plan(g1, paging.orders_after, last_order=74, size=25),
         "w01_rating_rollup": _job(_rating_rollup),
         "w01_rating_stream": _job(_ratings_streamed),
+        "w01_rating_snapshot_stream": _job(_ratings_from_snapshots),
         "w02_refund_credit_ledger": _job(_refund_ledger),
         "w02_refund_credit_wallets": _job(_refund_wallets),
         "w02_refund_credit_stream": _job(_credits_streamed),
@@ -256,6 +277,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "w04_checkout_lines": _job(lambda s: _checkout(s).order_items),
         "w04_checkout_carts": _job(lambda s: _checkout(s).carts),
         "w04_checkout_rejected": _job(lambda s: _checkout(s).rejected),
+        "w04_checkout_published": _job(_checkout_appended),
         "dq1_missing_values": _plan(g1, quality.missing_values),
         "dq1_missing_values_gen2": _plan(g2, quality.missing_values),
         "dq2_duplicate_keys": _plan(g1, quality.duplicate_keys),

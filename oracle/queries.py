@@ -439,6 +439,16 @@ def _views() -> dict[str, str]:
                       Type AS category_type, Restaurant_ID
                FROM g1_menu_category JOIN g1_menu_item USING (Category_Name, Restaurant_ID)""",
         ),
+        "s03_orders_by_view": _out(
+            "order_status:s payment_status:s delivery_status:s orders:l paid:d discounts:d restaurants:l",
+            """SELECT o.Status AS order_status, p.Status AS payment_status, d.Status AS delivery_status,
+                      count(*) AS orders, sum(Amount) AS paid, sum(coalesce(Discount_Amount, 0)) AS discounts,
+                      count(DISTINCT o.Restaurant_ID) AS restaurants
+               FROM g1_orders o JOIN g1_restaurant r USING (Restaurant_ID) JOIN g1_users USING (UserID)
+               LEFT JOIN g1_discount x ON x.OrderID = o.OrderID LEFT JOIN g1_payment p ON p.Order_ID = o.OrderID
+               LEFT JOIN g1_delivery d ON d.OrderID = o.OrderID
+               GROUP BY ALL""",
+        ),
         "c01_orders_page": _out(
             "OrderID:l User_Name:s Date_Time:t Status:s Total_Amount:d",
             """SELECT OrderID, User_Name, Date_Time, Status, Total_Amount
@@ -560,6 +570,13 @@ def _jobs() -> dict[str, str]:
             "Restaurant_ID:l new_rating:d",
             f"""SELECT Restaurant_ID, CAST({average} AS FLOAT) AS new_rating FROM g1_review GROUP BY 1""",
         ),
+        "w01_rating_snapshot_stream": _out(
+            "Restaurant_ID:l new_rating:d",
+            f"""SELECT Restaurant_ID, CAST(coalesce(fresh, 0) AS FLOAT) AS new_rating
+                FROM (SELECT Restaurant_ID FROM g1_review UNION SELECT Restaurant_ID FROM {REVIEWS_AFTER})
+                LEFT JOIN (SELECT Restaurant_ID, {average} AS fresh FROM {REVIEWS_AFTER} GROUP BY 1)
+                    USING (Restaurant_ID)""",
+        ),
         "w02_refund_credit_ledger": _out(
             "Wallet_ID:l Transaction_ID:l Type:s Amount:d Date_Time:t",
             f"""SELECT Wallet_ID, (SELECT max(Transaction_ID) FROM g1_wallet_transaction)
@@ -623,6 +640,13 @@ def _jobs() -> dict[str, str]:
             f"SELECT Item_ID, OrderID, Quantity, Price AS Unit_Price FROM {LINES} JOIN placed USING (Cart_ID)",
             DECIDED,
         ),
+        "w04_checkout_published": _out(
+            "OrderID:l UserID:l Restaurant_ID:l Total_Amount:d n_lines:l quantity:l",
+            f"""SELECT OrderID, any_value(placed.UserID) AS UserID, any_value(placed.Restaurant_ID) AS Restaurant_ID,
+                       any_value(placed.Total_Amount) AS Total_Amount, count(*) AS n_lines, sum(Quantity) AS quantity
+                FROM {LINES} JOIN placed USING (Cart_ID) GROUP BY OrderID""",
+            DECIDED,
+        ),
         "w04_checkout_carts": _out(
             "Cart_ID:l Created_At:t Status:s UserID:l",
             """SELECT Cart_ID, Created_At, CASE WHEN Cart_ID IN (SELECT Cart_ID FROM placed) THEN 'Checked Out'

@@ -35,7 +35,11 @@ def _order_state(cancelled, delivered, preparing, moving):
 
 
 CANCELLED = _order_state("cancelled", "", "", "") + " = 'cancelled'"
-PAY_STATE = _nth("o_orderkey", ["Failed", "Pending", "Refunded", "Paid", "Paid", "Paid", "Paid"])
+PAY_STATE = (
+    "(CASE WHEN o_orderstatus = 'P' THEN 'Pending' ELSE "
+    + _nth("o_orderkey", ["Failed", "Pending", "Refunded", "Paid", "Paid", "Paid", "Paid"])
+    + " END)"
+)
 BILLED = (
     f"CAST(o_totalprice AS DECIMAL(10, 2)) - CASE WHEN {WEEKEND} THEN 50 ELSE 0 END "
     "+ CASE WHEN o_orderkey % 13 = 0 THEN 5 ELSE 0 END"
@@ -109,7 +113,7 @@ TABLES = {
         SELECT o_orderkey + 1 AS Transaction_ID, {MODE} AS Mode, {PAY_STATE} AS Status,
                CAST({BILLED} AS DECIMAL(10, 2)) AS Amount, CAST(NULL AS VARCHAR) AS Gateway_Ref,
                CASE WHEN {PAY_STATE} = 'Paid' THEN o_orderdate END AS Paid_At, o_orderkey AS Order_ID
-        FROM orders WHERE o_orderstatus <> 'P'""",
+        FROM orders""",
     "g1_delivery_partner": f"""
         SELECT s_suppkey AS Partner_ID, s_name AS Name, 8000000000 + s_suppkey AS Phone_No,
                'V' || s_suppkey AS Vehicle_No, CAST(3 + (s_suppkey % 9) * 0.25 AS FLOAT) AS Rating,
@@ -198,7 +202,7 @@ TABLES = {
         SELECT o_orderkey AS OrderID, o_orderdate AS Date_Time,
                {_order_state("Cancelled", "Delivered", "Preparing", "OutForDelivery")} AS Order_Status,
                CAST(floor(o_totalprice) AS BIGINT) AS Total_Amount, o_custkey AS UserID, o_custkey AS Add_ID,
-               CASE WHEN {WEEKEND} THEN o_orderkey % 100 END AS Discount_ID
+               CASE WHEN {WEEKEND} THEN o_orderkey % (SELECT greatest(1, count(*)) FROM part) END AS Discount_ID
         FROM orders""",
     "g2_order_status_log": """
         SELECT event_id AS Log_ID, event_id % (SELECT greatest(1, count(*)) FROM orders) AS OrderID, event_type AS Status, ts AS Changed_At, props AS Note
@@ -222,7 +226,7 @@ TABLES = {
         SELECT o_orderkey + 1 AS Transaction_ID, {MODE} AS Mode, CAST(floor({BILLED}) AS BIGINT) AS Amount,
                CASE {PAY_STATE} WHEN 'Paid' THEN 'Success' WHEN 'Failed' THEN 'Failed' ELSE 'Pending' END AS Status,
                o_orderkey AS Order_ID
-        FROM orders WHERE o_orderstatus <> 'P'""",
+        FROM orders""",
     "g2_review": f"""
         SELECT event_id AS Review_ID, props AS Review, CAST(1 + user_id % 5 AS DECIMAL(3, 1)) AS Rating,
                ts AS Review_Date, CASE WHEN event_type = 'view' THEN event_id % {N} END AS Restaurant_ID,

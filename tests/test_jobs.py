@@ -8,7 +8,7 @@ from market import at, collected, market, money, order, paid, restaurant, rows,
 from pyspark.sql import functions as F
 
 from tiffin.jobs import checkout, deletion, intake, ledger, quality, rating, refunds
-from tiffin.operators import dense_numbers, numbering
+from tiffin.operators import dense_numbers, numbering, snapshot_changes
 from tiffin.operators.numbering import number_range
 from tiffin.plans import audit
 from tiffin.sources import Marketplace, sinks
@@ -288,3 +288,60 @@ def test_period_report_reads_its_months_only(spark, tmp_path):
     report = audit.mode_share_in_period(Marketplace.from_parquet(spark, root), at(1, month=2), at(1, month=3), ("UPI",))
     assert "PartitionFilters: [isnotnull(month" in report._jdf.queryExecution().executedPlan().toString()
     assert collected(report) == [("UPI", 1, money("100.00"), money("100.00"))]
+
+
+def test_pages_do_not_depend_on_the_spread_of_keys(spark):
+    """One key far away from all others: a deep page is found by counting, and only a short range is sorted."""
+    df = spark.range(1, 20_001).toDF("k").unionByName(spark.createDataFrame([(2**62,), (-(2**62),)], "k bigint"))
+    for first in (1, 2, 64, 65, 9_990, 19_990, 20_002):
+        page = number_range(df, "k", first, first + 24, rows=64)
+        keys = sorted([*range(1, 20_001), 2**62, -(2**62)])
+        assert [r.k for r in page.collect()] == keys[first - 1 : first + 24]
+        assert first <= 64 or "Filter" in page._jdf.queryExecution().optimizedPlan().toString()
+    assert number_range(df, "k", 30_000, 30_010, rows=64).count() == 0
+    same = spark.createDataFrame([(5,)] * 300, "k bigint")
+    assert number_range(same, "k", 100, 110, rows=16).count() == 11  # keys that can't be cut
+
+
+def test_snapshot_changes(spark):
+    schema = "id bigint, part int, a string, b double, other int"
+    old = [(1, 1, "x", 1.0, 0), (2, 1, None, 2.0, 0), (3, 1, "z", None, 0), (4, 1, "same", 4.0, 0), (4, 2, "gone", 0.0, 0), (6, 1, None, None, 0)]
+    new = [(1, 1, "y", 1.0, 0), (2, 1, "", 2.0, 0), (3, 1, None, None, 0), (4, 1, "same", 4.0, 9), (5, 1, "new", 5.0, 0), (6, 1, None, None, 1)]
+    a, b = spark.createDataFrame(old, schema), spark.createDataFrame(new, schema)
+    rows = snapshot_changes(a, b, ["id", "part"], ["a", "b"]).collect()
+    plain = lambda x: None if x is None else tuple(x)
+    assert sorted((r.id, r.part, plain(r.before), plain(r.after)) for r in rows) == [
+        (1, 1, ("x", 1.0), ("y", 1.0)), (2, 1, (None, 2.0), ("", 2.0)), (3, 1, ("z", None), (None, None)),
+        (4, 2, ("gone", 0.0), None), (5, 1, None, ("new", 5.0)),
+    ]
+    assert snapshot_changes(a, a, ["id", "part"], ["a", "b"]).count() == 0
+    assert snapshot_changes(a.limit(0), a, ["id", "part"], ["a"]).count() == len(old)
+
+
+def test_appending_once(spark, tmp_path):
+    root = str(tmp_path / "log")
+    rows = lambda *v: {"t": spark.createDataFrame([(x,) for x in v], "v bigint"), "u": spark.createDataFrame([(-x,) for x in v], "v bigint")}
+    read = lambda name: sorted((r.batch, r.v) for r in sinks.read_appended(spark, root, name, "v bigint").collect())
+    assert not sinks.appended(spark, root)
+    assert sinks.append_once(spark, root, "one", rows(1, 2))
+    assert not sinks.append_once(spark, root, "one", rows(1, 2))
+    # An attempt that died before its commit, and one that committed at the same time as the first.
+    rows(7)["t"].write.parquet(f"{root}/t/batch=two/attempt=dead")
+    rows(1, 2)["t"].write.parquet(f"{root}/t/batch=one/attempt=zzz")
+    spark.createDataFrame([("one", "zzz")], sinks.COMMITS).write.mode("append").parquet(f"{root}/commits")
+    assert read("t") == [("one", 1), ("one", 2)] and read("u") == [("one", -2), ("one", -1)]
+    assert sinks.append_once(spark, root, "two", rows(3))
+    assert read("t") == [("one", 1), ("one", 2), ("two", 3)]
+    assert sinks.appended(spark, root, "two") and not sinks.appended(spark, root, "three")
+
+
+def test_appended_checkout_runs_once_and_numbers_on(spark, tmp_path):
+    requests = spark.createDataFrame(REQUESTS, "Request_ID bigint, UserID bigint, Cart_ID bigint")
+    root, shop = str(tmp_path / "orders"), carts(spark)
+    seen = []
+    for batch in ("a", "a", "b", "a"):
+        orders, lines = checkout.append_orders(shop, requests, root, batch, at(2))
+        seen.append((sorted((r.batch, r.OrderID) for r in orders.collect()), lines.count()))
+    assert seen[0] == seen[1] and seen[2] == seen[3]
+    numbers = [n for _, n in seen[2][0]]
+    assert len(set(numbers)) == len(numbers) == 2 * len(seen[0][0]) and seen[2][1] == 2 * seen[0][1]

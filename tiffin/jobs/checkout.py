@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tiffin.operators import attach, dense_numbers, keyed_update
 from tiffin.session import stage
 from tiffin.sources import Marketplace
-from tiffin.sources.sinks import publish, read_published
+from tiffin.sources.sinks import append_once, appended, publish, read_appended, read_published
 
 NO_CART, UNAVAILABLE, EMPTY = "no_active_cart", "unavailable_item", "empty_cart"
 
@@ -74,6 +74,29 @@ def place_orders(
     return Checkout(*[read_published(m.spark, root, name, version) for name in tables])
 
 
+ORDER_ROWS = (
+    "OrderID bigint, Date_Time timestamp_ntz, UserID bigint, Restaurant_ID bigint, Status string, "
+    "Total_Amount decimal(18,2), Updated_At timestamp_ntz"
+)
+LINE_ROWS = "Item_ID bigint, OrderID bigint, Quantity bigint, Unit_Price decimal(18,2)"
+
+
+def append_orders(
+    m: Marketplace, requests: DataFrame, root: str, batch: str, as_of: datetime | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Run a checkout batch and append its orders and lines to the tables under ``root``, once: a batch that is run
+    again finds itself there and adds nothing. Orders are numbered on from those stored and appended before. Returns
+    all appended orders and lines."""
+    spark = m.spark
+    if not appended(spark, root, batch):
+        earlier = read_appended(spark, root, "orders", ORDER_ROWS) if appended(spark, root) else None
+        done = checkout(m if earlier is None else m.replace(orders=m["orders"].unionByName(earlier, True)), requests, as_of)
+        cast = lambda df, rows: df.select(*[F.col(c.split()[0]).cast(c.split()[1]) for c in rows.split(", ")])
+        tables = {"orders": cast(done.orders, ORDER_ROWS), "order_item": cast(done.order_items, LINE_ROWS)}
+        append_once(spark, root, batch, tables)
+    return read_appended(spark, root, "orders", ORDER_ROWS), read_appended(spark, root, "order_item", LINE_ROWS)
+
+
 def checkout(m: Marketplace, requests: DataFrame, as_of: datetime | None = None) -> Checkout:
     """New orders and their lines, the carts after checkout, and the rejected requests with reasons."""
     return _outcome(m, stage(decide(m, requests), "checkout"), as_of)

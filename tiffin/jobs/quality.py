@@ -1,7 +1,8 @@
 """Data-quality checks driven by the declared model: one report row per rule, violated or not.
 
-All rules of a table that look at one row at a time share a single scan. Keys and references are counted by value
-first, so a value that fills a third of a table is folded map-side before it is moved.
+All rules of a table that look at one row at a time share a single scan. Key and reference checks share one scan of
+each table and one exchange in all: a row gives its value for every check that it takes part in, and values are counted
+by check and value. A value that fills a third of a table is folded map-side before it is moved.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tiffin.sources import Marketplace
 from tiffin.sources.schema import Table
@@ -79,25 +81,52 @@ def _complete(columns: tuple[str, ...]) -> Column:
     return reduce(Column.__and__, [F.col(c).isNotNull() for c in columns])
 
 
-def _repeats(m: Marketplace, name: str, columns: tuple[str, ...]) -> DataFrame:
-    groups = m[name].where(_complete(columns)).groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
-    return groups.where(F.col("n") > 1)
+def _value(table: Table, columns: tuple[str, ...]) -> list[Column]:
+    """A check's value as a number and a text, so that values of all checks fit into one exchange: one whole number
+    as it is, all else as text, several parts with their lengths."""
+    if len(columns) == 1 and isinstance(table.by_name[columns[0]].dtype, T.IntegralType):
+        return [F.col(columns[0]).cast("bigint").alias("num"), F.lit(None).cast("string").alias("text")]
+    parts = [F.col(c).cast("string") for c in columns]
+    whole = parts[0] if len(parts) == 1 else F.concat(*[F.concat(F.length(p).cast("string"), F.lit(":"), p) for p in parts])
+    return [F.lit(None).cast("bigint").alias("num"), whole.alias("text")]
+
+
+def _values(m: Marketplace, roles: dict[str, list[tuple[int, bool, tuple[str, ...]]]]) -> DataFrame:
+    """Rows of (check, num, text, own) of all tables that have a role; ``own`` is 1 in the checked table and 0 in the
+    one referred to. Values with a NULL part are left out."""
+    frames = []
+    for name, checks in roles.items():
+        table = m.model[name]
+        each = [
+            F.when(
+                _complete(columns),
+                F.struct(F.lit(n).alias("check"), *_value(table, columns), F.lit(int(own)).alias("own")),
+            )
+            for n, own, columns in checks
+        ]
+        frames.append(m[name].select(F.inline(F.array_compact(F.array(*each)))))
+    return _union(frames)
+
+
+def _named(m: Marketplace, checks: list[tuple[str, ...]], names: str, found: DataFrame, counts: list[str]) -> DataFrame:
+    """``found`` (check and counts) with the names of the checks; those without a finding count 0."""
+    titles = m.spark.createDataFrame([(n, *c) for n, c in enumerate(checks)], f"check int, {names}")
+    joined = titles.join(F.broadcast(found), "check", "left")  # at most a row per check
+    return joined.select(*titles.columns[1:], *[F.coalesce(c, F.lit(0)).alias(c) for c in counts])
 
 
 def duplicate_keys(m: Marketplace) -> DataFrame:
     """Values that occur more than once in a primary or unique key. NULLs never collide."""
-    return _union(
-        _repeats(m, name, columns)
-        .agg(F.count(F.lit(1)).alias("repeated_values"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("extra_rows"))
-        .select(
-            F.lit(name).alias("table_name"),
-            F.lit(",".join(columns)).alias("key_columns"),
-            "repeated_values",
-            "extra_rows",
-        )
-        for name in m.names
-        for columns in (m.model[name].key, *((u,) for u in m.model[name].unique))
+    checks, roles = [], {}
+    for name in m.names:
+        for columns in (m.model[name].key, *((u,) for u in m.model[name].unique)):
+            roles.setdefault(name, []).append((len(checks), True, tuple(columns)))
+            checks.append((name, ",".join(columns)))
+    counted = _values(m, roles).groupBy("check", "num", "text").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    found = counted.groupBy("check").agg(
+        F.count(F.lit(1)).alias("repeated_values"), F.sum(F.col("n") - 1).alias("extra_rows")
     )
+    return _named(m, checks, "table_name string, key_columns string", found, ["repeated_values", "extra_rows"])
 
 
 def orphan_values(m: Marketplace, name: str, reference) -> DataFrame:
@@ -114,16 +143,18 @@ def orphan_values(m: Marketplace, name: str, reference) -> DataFrame:
 
 
 def orphan_references(m: Marketplace) -> DataFrame:
-    return _union(
-        orphan_values(m, name, reference)
-        .agg(F.count(F.lit(1)).alias("orphan_values"), F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_rows"))
-        .select(
-            F.lit(name).alias("table_name"),
-            F.lit(",".join(reference.columns)).alias("reference_columns"),
-            F.lit(reference.parent).alias("parent"),
-            "orphan_values",
-            "orphan_rows",
-        )
-        for name in m.names
-        for reference in m.model[name].refs
+    """Per reference, the values without a parent and the rows that carry them."""
+    checks, roles = [], {}
+    for name in m.names:
+        for reference in m.model[name].refs:
+            roles.setdefault(name, []).append((len(checks), True, tuple(reference.columns)))
+            roles.setdefault(reference.parent, []).append((len(checks), False, tuple(reference.parent_columns)))
+            checks.append((name, ",".join(reference.columns), reference.parent))
+    sides = _values(m, roles).groupBy("check", "num", "text").agg(
+        F.sum("own").alias("n"), F.min("own").alias("own")
+    )
+    found = sides.where(F.col("own") == 1).groupBy("check").agg(
+        F.count(F.lit(1)).alias("orphan_values"), F.sum("n").alias("orphan_rows")
     )
+    names = "table_name string, reference_columns string, parent string"
+    return _named(m, checks, names, found, ["orphan_values", "orphan_rows"])

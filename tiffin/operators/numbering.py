@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tiffin.session import stage
 
 BUCKET_ROWS = 100_000
+CUTS = 32
 
 
 def _before(sizes: DataFrame) -> DataFrame:
@@ -38,25 +39,26 @@ def dense_numbers(df: DataFrame, key: str, name: str, start: Column | int = 1) -
 
 
 def number_range(df: DataFrame, key: str, first: int, last: int, rows: int = BUCKET_ROWS) -> DataFrame:
-    """Rows whose number in key order lies in ``first .. last``; only the key ranges that hold them are sorted.
+    """Rows whose number in key order lies in ``first .. last``, in that order. ``key`` is unique.
 
-    The span of the keys is cut evenly into about as many ranges as there are times ``rows`` rows, so sparse keys
-    make no more ranges than dense ones. Where keys crowd together a range holds more rows. The span and the number
-    of rows are read when this is called.
+    A page within the first ``rows`` is read off directly. For a deeper one the keys are cut into ``CUTS`` ranges of
+    about equally many rows, however the keys are spread, the rows before each cut are counted exactly, and only the
+    ranges that hold the page are cut again, until they are short. Each round is a scan of the ranges left, with the
+    bounds as a filter that reaches the file; the driver holds ``CUTS`` keys and counts.
     """
-    low, high, count = df.agg(F.min(key), F.max(key), F.count(key)).first()
-    width = max(1, -(-(high - low + 1) * rows // count)) if count else 1
-    # Decimal, as the distance of two 64-bit keys may pass 64 bits.
-    offset = F.col(key).cast("decimal(20,0)") - F.lit(low or 0).cast("decimal(20,0)")
-    bucketed = df.withColumn("_bucket", F.call_function("div", offset, F.lit(width).cast("decimal(38,0)")))
-    touching = _before(_sizes(bucketed)).where(
-        (F.col("_before") < last) & (F.col("_before") + F.col("_size") >= first)
-    )
-    within = Window.partitionBy("_bucket").orderBy(key)
-    return (
-        # At most last - first + 1 ranges can overlap, since no range in the table is empty.
-        bucketed.join(F.broadcast(touching), "_bucket")
-        .withColumn("_number", F.col("_before") + F.row_number().over(within))
-        .where(F.col("_number").between(first, last))
-        .drop("_bucket", "_size", "_before", "_number")
-    )
+    before, part = 0, df
+    left = None if last <= rows else df.count()
+    while left is not None and left > rows and first <= last:
+        shares = F.array(*[F.lit(i / CUTS) for i in range(1, CUTS)])
+        cuts = sorted(set(part.agg(F.percentile_approx(key, shares, 100 * CUTS)).first()[0]))
+        counts = [before, *[before + n for n in part.agg(*[F.count_if(F.col(key) < c) for c in cuts]).first()], before + left]
+        low = max(i for i, n in enumerate(counts[:-1]) if n < first or i == 0)
+        high = min((i for i, n in enumerate(counts) if i > low and n >= last), default=len(counts) - 1)
+        if counts[high] - counts[low] == left:
+            break  # not to be cut any more
+        if low:
+            part = part.where(F.col(key) >= cuts[low - 1])
+        if high <= len(cuts):
+            part = part.where(F.col(key) < cuts[high - 1])
+        before, left = counts[low], counts[high] - counts[low]
+    return part.orderBy(key).offset(first - before - 1).limit(max(0, last - first + 1))

@@ -11,7 +11,7 @@ from tiffin.operators.numbering import number_range
 def page_of(df: DataFrame, key: str, page: int, size: int) -> DataFrame:
     """The ``page``-th page (from 0). A deep page does not gather the pages before it in one place."""
     first = page * size + 1
-    return number_range(df, key, first, first + size - 1).orderBy(key)
+    return number_range(df, key, first, first + size - 1)
 
 
 def page_after(df: DataFrame, key: str, last_key: int | None, size: int) -> DataFrame:

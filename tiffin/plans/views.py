@@ -136,3 +136,13 @@ def register_views(m: Marketplace) -> None:
     m.register_views()
     for name, plan in VIEWS.items():
         plan(m).createOrReplaceTempView(name)
+
+
+def orders_by_view(m: Marketplace) -> DataFrame:
+    """Orders, discounts and what was paid by state of order and payment, asked of the derived table by its name."""
+    register_views(m)
+    return m.spark.sql(
+        """SELECT order_status, payment_status, delivery_status, count(*) AS orders, sum(amount_paid) AS paid,
+                  sum(discount_amount) AS discounts, count(DISTINCT Restaurant_ID) AS restaurants
+           FROM v_order_summary GROUP BY order_status, payment_status, delivery_status"""
+    )

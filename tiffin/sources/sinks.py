@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
@@ -11,10 +12,54 @@ from pyspark.sql import functions as F
 from tiffin.functions import label_month
 
 
+COMMITS = "batch string, attempt string"
+
+
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def _commits(spark: SparkSession, root: str) -> DataFrame | None:
+    try:
+        return spark.read.schema(COMMITS).parquet(f"{root}/commits")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def appended(spark: SparkSession, root: str, batch: str | None = None) -> bool:
+    """Whether this batch (any batch) stands in the commit log."""
+    log = _commits(spark, root)
+    return log is not None and not (log if batch is None else log.where(F.col("batch") == batch)).isEmpty()
+
+
+def append_once(spark: SparkSession, root: str, batch: str, tables: Mapping[str, DataFrame]) -> bool:
+    """Append rows to several tables under ``root`` as the batch of this name, once.
+
+    An attempt writes its rows under a name of its own; they count from the moment the attempt stands in the commit
+    log, all tables at once. A batch that stands there is not run again (False). A job that dies half-way leaves rows
+    nobody reads, and of two attempts that overlap and both commit, readers go by the one with the smaller name.
+    """
+    if appended(spark, root, batch):
+        return False
+    attempt = uuid.uuid4().hex
+    for name, df in tables.items():
+        df.write.parquet(f"{root}/{name}/batch={batch}/attempt={attempt}")
+    spark.createDataFrame([(batch, attempt)], COMMITS).coalesce(1).write.mode("append").parquet(f"{root}/commits")
+    return True
+
+
+def read_appended(spark: SparkSession, root: str, name: str, schema: str) -> DataFrame:
+    """All committed rows of a table, with the batch they came in."""
+    rows = spark.read.schema(f"{schema}, {COMMITS}").parquet(f"{root}/{name}")
+    log = _commits(spark, root)
+    if log is None:
+        return rows.drop("attempt").limit(0)
+    counted = log.groupBy("batch").agg(F.min("attempt").alias("attempt"))  # a row per batch
+    return rows.join(F.broadcast(counted), ["batch", "attempt"], "left_semi").drop("attempt")
+
+
 def write_by_month(df: DataFrame, path: str, time_column: str, name: str = "month") -> None:
     """Facts laid out by month, so a half-open time range reads only the months it touches.
 

@@ -111,6 +111,11 @@ class StarSource:
         """Number of orders, whose keys count from 0; answered from Parquet footers. 1 if there are none."""
         return max(1, self.raw("orders").count())
 
+    @cached_property
+    def items(self) -> int:
+        """Number of parts, whose keys count from 0; answered from Parquet footers. 1 if there are none."""
+        return max(1, self.raw("part").count())
+
     def marketplace(self, generation: str) -> Marketplace:
         prefix = f"_{generation}_"
         makers = {n: self._typed(generation, n, prefix) for n in GENERATIONS[generation] if hasattr(self, prefix + n)}
@@ -345,20 +350,17 @@ class StarSource:
             - F.when(_weekend(F.col("o_orderdate")), 50).otherwise(0)
             + F.when(key % 13 == 0, 5).otherwise(0)
         )
-        status = _pick(key, ["Failed", "Pending", "Refunded", "Paid", "Paid", "Paid", "Paid"])
+        decided = _pick(key, ["Failed", "Pending", "Refunded", "Paid", "Paid", "Paid", "Paid"])
         # An order still in preparation has not been billed yet.
-        return (
-            self.raw("orders")
-            .where(F.col("o_orderstatus") != "P")
-            .select(
-                (key + 1).alias("Transaction_ID"),
-                _map(F.col("o_orderpriority"), MODES).alias("Mode"),
-                status.alias("Status"),
-                billed.alias("Amount"),
-                F.lit(None).alias("Gateway_Ref"),
-                F.when(status == "Paid", F.col("o_orderdate")).alias("Paid_At"),
-                key.alias("Order_ID"),
-            )
+        status = F.when(F.col("o_orderstatus") == "P", "Pending").otherwise(decided)
+        return self.raw("orders").select(
+            (key + 1).alias("Transaction_ID"),
+            _map(F.col("o_orderpriority"), MODES).alias("Mode"),
+            status.alias("Status"),
+            billed.alias("Amount"),
+            F.lit(None).alias("Gateway_Ref"),
+            F.when(status == "Paid", F.col("o_orderdate")).alias("Paid_At"),
+            key.alias("Order_ID"),
         )
 
     def _gen1_delivery_partner(self) -> DataFrame:
@@ -579,7 +581,7 @@ class StarSource:
             F.col("o_orderpriority").alias("Special_Instructions"),
             F.col("o_custkey").alias("UserID"),
             F.col("o_custkey").alias("Add_ID"),
-            F.when(_weekend(F.col("o_orderdate")), F.col("o_orderkey") % 100).alias("Discount_ID"),
+            F.when(_weekend(F.col("o_orderdate")), F.col("o_orderkey") % self.items).alias("Discount_ID"),
         )
 
     def _gen2_order_status_log(self) -> DataFrame:

@@ -16,8 +16,9 @@ def _review(restaurant, rating):
     return F.struct(restaurant.cast("bigint").alias("Restaurant_ID"), rating.cast("float").alias("Rating"))
 
 
-def review_changes(source: StarSource) -> DataFrame:
-    """Edits of the stored reviews: clicks change their mind, some also the restaurant; cheap views are withdrawn."""
+def review_changes(source: StarSource, key: bool = False) -> DataFrame:
+    """Edits of the stored reviews: clicks change their mind, some also the restaurant; cheap views are withdrawn.
+    With ``key`` each change names its review."""
     events = source.raw("events")
     reviews = source.review_fields(events).select("Review_ID", "Restaurant_ID", "Rating")
     click = F.col("event_type") == "click"
@@ -26,6 +27,7 @@ def review_changes(source: StarSource) -> DataFrame:
         events.where(click | ((F.col("event_type") == "view") & (F.col("value") < 5)))
         .join(reviews, F.col("event_id") == F.col("Review_ID"))
         .select(
+            *(["Review_ID"] if key else []),
             _review(F.col("Restaurant_ID"), F.col("Rating")).alias("before"),
             F.when(
                 click, _review(F.coalesce(moved, F.col("Restaurant_ID")), 1 + F.col("user_id") % 3)
@@ -34,6 +36,15 @@ def review_changes(source: StarSource) -> DataFrame:
     )
 
 
+def reviews_after(source: StarSource) -> DataFrame:
+    """The reviews after the edits of ``review_changes``, as a snapshot."""
+    changes = review_changes(source, key=True)
+    kept = source.marketplace("gen1")["review"].join(changes.select("Review_ID"), "Review_ID", "left_anti")
+    edited = changes.where(F.col("after").isNotNull()).select("Review_ID", "after.*")
+    names = ["Review_ID", "Restaurant_ID", "Rating"]
+    return kept.select(*names).unionByName(edited.select(*names))
+
+
 def earlier_refunds(source: StarSource, before: str) -> DataFrame:
     """The refund table as it stood: refunds raised by then, hardly any of them completed."""
     state = F.when(F.col("Refund_ID") % 10 == 2, "Completed").otherwise("Pending")
