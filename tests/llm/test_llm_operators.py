@@ -425,6 +425,35 @@ def test_token_files(spark, docs, rows):
     assert ids == sorted(ids)
 
 
+def test_token_pieces_are_the_librarys_in_any_order():
+    """Random Unicode in several batches, by an encoder that has seen other texts and by a new one."""
+    from tokenizers import Tokenizer
+
+    path, rng = queries.tokenizer_path(), random.Random(1)
+    pool = list("abzABZ .,.,'\n\t-_0129éÉßöİıſKÅΣσςŉǅǆ…|<>!%$#&*日本ﬁ\u00a0\u3000\x00\x1c\x85²½\u0301\u0307\u0327")
+    pool += ["'s", "'T", " ALİ", "ALİ.", "ALİ,", "<|endoftext|>", "<|ENDOFTEXT|>", "é.", "É. ", "İ.", "ß, ", "I\u0307 "]
+    texts = ["".join(rng.choice(pool) for _ in range(rng.randint(1, 30))) for _ in range(6000)]
+    texts += ["ALİ geldi", "ALİ. ALİ,", None, "", "Word, word. WORD; it's. a.b,c x.. y., é, "]
+    library = Tokenizer.from_file(path)
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    used = token_files.WordwiseEncoder(path, "<u2")
+    assert used.wordwise and used.lower and used.marks and used.ends is not None
+    got = [ids for i in range(0, len(texts), 700) for ids in used.encode(texts[i : i + 700])]
+    assert [np.frombuffer(x, "<u2").tolist() for x in got] == want
+    again = list(used.encode(texts[::-1]))[::-1]
+    assert again == got == list(token_files.WordwiseEncoder(path, "<u2").encode(texts))
+
+
+def test_a_tokenizer_that_does_not_split_at_white_space_gets_whole_texts(tmp_path):
+    from tokenizers import Tokenizer, models
+
+    path = str(tmp_path / "whole.json")
+    Tokenizer(models.BPE(vocab={x: i for i, x in enumerate(["a", "b", " ", "a b", "a "])}, merges=[("a", " "), ("a ", "b")])).save(path)
+    encoder = token_files.WordwiseEncoder(path, "<u2")
+    assert not encoder.wordwise
+    assert [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(["a b", "ab", None])] == [[3], [0, 1], []]
+
+
 def test_wide_identifiers(tmp_path):
     assert token_files.id_type(queries.tokenizer_path(), 70_000) == "<u4"
 

@@ -87,7 +87,7 @@ def find_items(
     filter_pairs: int = 1 << 14,
     masks=MASKS,
 ) -> DataFrame:
-    """``docs``, whose columns may not be named like this function's (``_id``, ``_hits``, ``_uid``, ``_doc``,
+    """``docs``, whose columns may not be named like this function's (``_id``, ``_hits``, ``_uid``, ``_key``, ``_doc``,
     ``_items``), with one more column, ``_found``: array of (item, matches), the items found in the document in
     ascending order, each with the most equal words in a stretch; empty if there are none."""
     known = items.select(
@@ -105,16 +105,20 @@ def find_items(
     # A set of first pairs small enough for a constant spares most windows the hashing; all masks begin with that pair.
     pairs = pairs if len(pairs) <= filter_pairs and all(m[:2] == (0, 1) for m in masks) else None
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    windows = _windows(rows, masks, pairs).select("id", "seed", F.col("at").alias("place"))
-    hits = windows.join(seeds, "seed").select("id", "item", (F.col("place") - F.col("at")).alias("shift"), "n").distinct()
-    per_doc = hits.groupBy(F.col("id").alias("_id")).agg(F.collect_list(F.struct("item", "shift", "n")).alias("_hits"))
+    # Hits are gathered by identifier and text, so that rows of one identifier (NULL, say) are no group: at most a
+    # text's own hits come together.
+    uid = F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
+    rows = docs.select(F.col(id_col).alias("id"), uid.alias("uid"), F.col(text_col).cast("string").alias("text"))
+    windows = _windows(rows, masks, pairs).select("id", "uid", "seed", F.col("at").alias("place"))
+    hits = windows.join(seeds, "seed").select("id", "uid", "item", (F.col("place") - F.col("at")).alias("shift"), "n").distinct()
+    per_doc = hits.groupBy(F.col("id").alias("_id"), F.col("uid").alias("_uid")).agg(
+        F.collect_list(F.struct("item", "shift", "n")).alias("_hits")
+    )
 
     # Words of the aligned part: places of the item that lie in the document.
-    joined = docs.join(per_doc, docs[id_col].eqNullSafe(per_doc["_id"]), "left")
+    keyed = docs.withColumn("_key", uid)
+    joined = keyed.join(per_doc, (F.col("_key") == F.col("_uid")) & docs[id_col].eqNullSafe(per_doc["_id"]))
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    uid = F.xxhash64(F.col("_id"), F.col(f"`{text_col}`"))
-    candidates = joined.where(F.col("_hits").isNotNull())
 
     def part(own: Column, h: Column) -> Column:
         skip = F.greatest(F.lit(0), -h["shift"])
@@ -123,7 +127,7 @@ def find_items(
 
     own_words = words_of(F.col(f"`{text_col}`").cast("string"))
     parts = once(own_words, lambda own: F.transform(F.col("_hits"), lambda h: part(own, h)))
-    aligned = candidates.select("_id", uid.alias("_uid"), F.explode(parts).alias("h")).select(
+    aligned = joined.select("_id", "_uid", F.explode(parts).alias("h")).select(
         "_id", "_uid", "h.item", "h.skip", "h.part"
     ).distinct()
     compared = aligned.join(known, "item").withColumn(
@@ -141,8 +145,7 @@ def find_items(
         .agg(F.sort_array(F.collect_list(F.struct("item", "matches"))).alias("_items"))
     )
     found = stage(found, "benchmark-found")
-    keyed = docs.withColumn("_uid", F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")))
-    out = keyed.join(found, (keyed["_uid"] == found["_uid"]) & keyed[id_col].eqNullSafe(found["_doc"]), "left")
+    out = keyed.join(found, (F.col("_key") == found["_uid"]) & keyed[id_col].eqNullSafe(found["_doc"]), "left")
     nothing = F.array().cast("array<struct<item:bigint,matches:int>>")
     return out.select(*columns, F.coalesce("_items", nothing).alias("_found"))
 

@@ -157,14 +157,20 @@ def learn(
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).alias("lang"))
     labelled = rows.where(F.col("lang").isNotNull() & (fold_of(F.col("id"), folds) != held_fold))
     frequent = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages)
-    labels = sorted(r["lang"] for r in frequent.collect())
+    counts = {r["lang"]: r["count"] for r in frequent.collect()}
+    labels = sorted(counts)
+    # Of each language only identifiers whose hash lies under a bound are ordered, about four times as many as are
+    # taken, and each once: no language and no identifier is more than that to a task.
+    drawn = F.xxhash64(F.col("id").cast("string"))
+    bounds = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, (4 * per_language + 100) / n))])
+    bound = bounds[F.col("lang")] if counts else F.lit(0.0)
+    under = F.shiftrightunsigned(drawn, 1) / F.lit(float(1 << 63)) < bound
+    candidates = labelled.where(F.col("lang").isin(labels) & under).select("id", "lang").distinct()
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("id").cast("string")), "id")
     chosen = (
-        labelled.where(F.col("lang").isin(labels))
-        .select("id", "lang", F.row_number().over(by_hash).alias("n"))
+        candidates.select("id", "lang", F.row_number().over(by_hash).alias("n"))
         .where(F.col("n") <= per_language)
         .select(F.col("id").alias("_id"), F.col("lang").alias("_lang"))
-        .distinct()
     )
     texts = labelled.where(F.col("text").isNotNull()).join(
         F.broadcast(chosen), (F.col("id") == F.col("_id")) & (F.col("lang") == F.col("_lang"))

@@ -226,19 +226,25 @@ def deduplicate_lines(
 
     cold_shards = -(-n_cold // SHARD_KEYS)
     shards = _shards(keys.where(F.col("n") < bar), cold_shards)
+    # Questions carry a hash of the text: what comes back is gathered by identifier and text, and not for all rows of
+    # one identifier (NULL, say) together.
+    docs = docs.withColumn("uid", F.xxhash64("text"))
     asked = docs.mapInArrow(
-        _ask(arrays, hot_shards, cold_shards, min_chars), "shard bigint, id bigint, hashes binary"
+        _ask(arrays, hot_shards, cold_shards, min_chars), "shard bigint, id bigint, uid bigint, hashes binary"
     )
     no_arrays = [F.lit(None).cast(t).alias(c) for c, t in zip(ARRAYS, ("array<binary>", *["binary"] * 3), strict=True)]
-    none = [F.lit(None).cast("bigint").alias("id"), F.lit(None).cast("binary").alias("hashes")]
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("id", "bigint"), ("uid", "bigint"), ("hashes", "binary"))]
     both = shards.select("shard", *ARRAYS, *none, F.lit(0).alias("kind")).unionByName(
-        asked.select("shard", *no_arrays, "id", "hashes", F.lit(1).alias("kind"))
+        asked.select("shard", *no_arrays, "id", "uid", "hashes", F.lit(1).alias("kind"))
     )
     answers = both.repartition("shard").sortWithinPartitions("shard", "kind").mapInArrow(
-        _answer, "id bigint, hashes binary"
+        _answer, "id bigint, uid bigint, hashes binary"
     )
-    cold = answers.groupBy(F.col("id").alias("cold_id")).agg(F.array_join(F.collect_list(F.hex("hashes")), "").alias("h"))
-    joined = docs.join(cold, docs["id"].eqNullSafe(cold["cold_id"]), "left")
+    cold = answers.groupBy(F.col("id").alias("cold_id"), F.col("uid").alias("cold_uid")).agg(
+        F.array_join(F.array_distinct(F.collect_list(F.hex("hashes"))), "").alias("h")
+    )
+    same = docs["id"].eqNullSafe(cold["cold_id"]) & docs["uid"].eqNullSafe(cold["cold_uid"])
+    joined = docs.join(cold, same, "left")
     return joined.select("id", "text", F.unhex("h").alias("cold")).mapInArrow(
         _apply(arrays, hot_shards, min_chars), schema
     ).withColumnRenamed("id", id_col)
@@ -268,9 +274,10 @@ def _ask(arrays, hot_shards: int, cold_shards: int, min_chars: int):
                 [
                     pa.array(shard[first]),
                     pa.array([docs[i] for i in row[first]], pa.int64()),
+                    batch.column(2).take(pa.array(row[first])),
                     pa.array([pairs[a:b].tobytes() for a, b in zip(first, ends, strict=True)], pa.binary()),
                 ],
-                ["shard", "id", "hashes"],
+                ["shard", "id", "uid", "hashes"],
             )
 
     return run
@@ -290,11 +297,11 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 found, last = shard.probe(pairs[:, 0].copy(), pairs[:, 1].copy())
                 own = NOBODY if table["id"][i] is None else table["id"][i]
                 if (gone := found & (last != own)).any():
-                    out.append((table["id"][i], pairs[gone].tobytes()))
+                    out.append((table["id"][i], table["uid"][i], pairs[gone].tobytes()))
         if out:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())], ["id", "hashes"]
-            )
+            kinds = (pa.int64(), pa.int64(), pa.binary())
+            columns = [pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "uid", "hashes"])
 
 
 def _apply(arrays, hot_shards: int, min_chars: int):

@@ -13,7 +13,7 @@ documents.
 
 It runs in blocks. Documents are dealt by hash to blocks of about ``block_rows`` rows of one source, so that a source
 with a third of all rows is many blocks; a block is one call and hands on its two undecided documents. These make the
-next, a thousand times smaller round, until every source fits into one block. There twelve documents stay out of the
+next, a thousand times smaller round, until the source fits into one block. There twelve documents stay out of the
 flight, and the landing decides these and the last two together: of the at most 2^14 roundings the one whose words are
 nearest to what is expected, then the one whose number of documents is. The words taken from a source thus differ from
 its target by a small part of one document, whatever its size.
@@ -107,8 +107,9 @@ def land(chance: np.ndarray, size: np.ndarray) -> np.ndarray:
     return p
 
 
-def _flight(last: bool):
+def _flight():
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        last = int(pdf["blocks"].iloc[0]) <= 1  # a source that is one block lands, whatever the others are
         pdf = pdf.sort_values(["draw", "id", "number"], kind="stable")
         size = pdf["size"].to_numpy(float)
         draw = (pdf["draw"].to_numpy(np.int64).view(np.uint64) >> np.uint64(11)).astype(float) / 2.0**53
@@ -165,9 +166,9 @@ def mix(
         blocks = stage(blocks, "mix-blocks")
         last = (blocks.agg(F.max("blocks")).first()[0] or 0) <= 1
         dealt = flying.join(blocks, flying["source"].eqNullSafe(blocks["source"])).select(
-            flying["*"], F.pmod(F.xxhash64("draw", F.lit(len(decided))), F.col("blocks")).alias("block")
+            flying["*"], "blocks", F.pmod(F.xxhash64("draw", F.lit(len(decided))), F.col("blocks")).alias("block")
         )
-        flown = stage(dealt.groupBy("source", "block").applyInPandas(_flight(last), _FLOWN), "mix-flight")
+        flown = stage(dealt.groupBy("source", "block").applyInPandas(_flight(), _FLOWN), "mix-flight")
         if last:
             decided.append(flown)
             break

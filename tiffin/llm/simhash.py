@@ -6,7 +6,7 @@ hashes. Fingerprints that differ in at most ``max_bits`` bits are linked, and a
 
 1. Documents with equal fingerprints are one point: points are the distinct fingerprints with their smallest
    identifier, so thousands of copies are one row.
-2. A vantage-point tree over a bounded sample of points cuts the space into shards: at each node points within the
+2. A vantage-point tree over a small sample of points cuts the space into shards: at each node points within the
    median Hamming distance of the vantage point go left, the others right. The sample shapes the tree and nothing else.
 3. A point is a member of one shard and a question to every shard that its ball of radius ``max_bits`` touches: by the
    triangle inequality a neighbour at distance at most r of a point at distance d from the vantage point is at a
@@ -35,8 +35,11 @@ from pyspark.sql import functions as F
 from tiffin.llm.words import utf8
 from tiffin.session import stage
 
-SAMPLE = 1 << 14  # points that shape the upper tree
-SHARD_POINTS = 1 << 12
+SHARD_POINTS = 1 << 18  # beyond SPREAD shards; the tree within a shard prunes as well as more shards would
+SPREAD = 4  # binary logarithm of the shards that fewer points are spread over, for the sake of the executors' cores
+SPREAD_POINTS = 1 << 12
+SAMPLE = 1 << 12  # points that shape the upper tree, and SHARE times the shards if those are more
+SHARE = 64
 LEAF = 64
 ONE = np.uint64(1)
 
@@ -212,9 +215,13 @@ def _shard_links(reach: int):
 def links(points: DataFrame, reach: int) -> DataFrame:
     """a, b: fingerprints such that chains of such links join exactly what links of at most ``reach`` bits join."""
     n = points.count()
-    depth = max(0, int(np.ceil(np.log2(max(1, n / SHARD_POINTS)))))
-    # A bounded sample by hash: the smallest hashes of fingerprints, found without a full sort.
-    sample = points.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()
+    levels = lambda size: max(0, int(np.ceil(np.log2(max(1, n / size)))))
+    depth = max(levels(SHARD_POINTS), min(SPREAD, levels(SPREAD_POINTS)))
+    # A sample by hash, at most one point in SHARD_POINTS / SHARE once there are many shards: the smallest hashes of
+    # fingerprints, found among those under a bound that twice as many pass as are wanted.
+    size, drawn = max(SAMPLE, SHARE << depth), F.xxhash64("fp")
+    under = F.shiftrightunsigned(drawn, 1) / F.lit(float(1 << 63)) < min(1.0, (2 * size + 100) / max(1, n))
+    sample = points.where(under).select("fp").orderBy(drawn, "fp").limit(size).collect()
     root, _ = upper_tree(np.array([r["fp"] for r in sample], dtype=np.int64).view(np.uint64), depth)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

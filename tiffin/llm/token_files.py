@@ -17,13 +17,13 @@ a second attempt leaves unnamed files at worst. The folder must be one that all
 pyarrow's file systems, and mapped into memory where it is a mounted path.
 
 NULL and empty texts have no identifiers but the end mark. A NULL identifier sorts first, rows with equal identifiers
-follow in the order of their texts. An empty table gives an empty manifest. Other columns are ignored.
+follow in the order of a hash of their texts. An empty table gives an empty manifest. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import os
-import unicodedata
+import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -42,12 +42,20 @@ NULL_ID = -(1 << 63)
 CACHED_WORDS = 1 << 19
 
 
+# A full stop or comma after a letter of a-z or Latin-1 and before white space: a piece of its own for a tokenizer that
+# splits letters from marks, whatever else the word has.
+_MARK = re.compile(rb"(?:(?<=[A-Za-z])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([.,])(?=[ \t-\r]|\Z)")
+_PROBES = ("ab cd", "a  b\n\nc", "x\ty", "don't 12 3a", "\u00e9. \u0130 \u0301a", ". .", "## a-b\r\n(c) ")
+
+
 class WordwiseEncoder:
     """The tokenizers library's identifiers of a text, looked up by word.
 
     For a tokenizer that splits at white space, the identifiers of a text are those of its pieces between white space,
-    one after the other. Each piece is encoded once and kept; beyond ``CACHED_WORDS`` pieces only those stay that the
-    texts at hand use, so frequent ones are not encoded again.
+    one after the other. Each piece is encoded once and kept, by what the library gives for this piece; beyond
+    ``CACHED_WORDS`` pieces only those stay that the texts at hand use, so frequent ones are not encoded again. What
+    the tokenizer does is found out by trial: one that doesn't split at white space gets whole texts; A-Z are made
+    lower case first and marks are cut off words only for one to which that is the same.
     """
 
     def __init__(self, path: str, dtype: str):
@@ -56,73 +64,84 @@ class WordwiseEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer, self.dtype = Tokenizer.from_file(path), dtype
         self.known: dict[bytes, bytes] = {}
-        # Which identifiers end a word, if the tokenizer splits letters from all else and marks the ends.
+        self.wordwise = all(self._plain(p) == [i for w in p.encode().split() for i in self._plain(w.decode())] for p in _PROBES)
+        self.lower = self._plain("AB Cd's \u00c9B") == self._plain("ab cd's \u00c9b")
+        self.marks = all(self._plain(f"{w}{m} x") == self._plain(f"{w} {m} x") for w in ("ab", "'s", "3a", "\u00e9") for m in ".,")
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content.lower().encode() for t in added if t.content]
+        # Which identifiers end a word, if the tokenizer marks the ends of words.
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.ends = None
-        probe = self.tokenizer.encode_batch_fast(["ab, cd. ef", "ab", ",", "cd", ".", "ef"], add_special_tokens=False)
-        if suffix and probe[0].ids == [i for e in probe[1:] for i in e.ids]:
-            self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        if suffix and self._plain("ab cd\u00e9") == self._plain("ab") + self._plain("cd\u00e9"):
+            self.ends = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, dtype=bool)
             self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
 
+    def _plain(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
     def _ids(self, ids: list[int]) -> bytes:
         return np.array(ids, dtype=self.dtype).tobytes()
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """Identifiers of each text. Texts are split in groups of about a million characters, so that their words
         take little memory."""
+        if not self.wordwise:
+            yield from (self._ids(self._plain(utf8(t).decode("utf-8", "replace"))) for t in texts)
+            return
         group, size = [], 0
         for text in texts:
-            group.append(utf8(text).split())
+            group.append(self._pieces(utf8(text)))
             size += len(text or "")
             if size >= 1 << 20:
                 yield from self._group(group)
                 group, size = [], 0
         yield from self._group(group)
 
+    def _pieces(self, data: bytes) -> list[bytes]:
+        if self.lower:
+            low = data.lower()
+            if not any(t in low for t in self.added):  # tokens that the library finds as they are written
+                data = low
+        return (_MARK.sub(rb" \1", data) if self.marks else data).split()
+
     def _group(self, pieces: list[list[bytes]]) -> list[bytes]:
         words = set().union(*pieces)
         new = words.difference(self.known)
         if len(self.known) > CACHED_WORDS:
             self.known = {w: self.known[w] for w in words - new}
-        self._learn_letters(new)
-        rest = [w for w in new if w not in self.known]
+        rest = self._learn_letters(new)
         for i in range(0, len(rest), 4096):
             part = rest[i : i + 4096]
             found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
             self.known.update(zip(part, (self._ids(e.ids) for e in found), strict=True))
-        return [b"".join(map(self.known.__getitem__, own)) for own in pieces]
+        get = self.known.__getitem__
+        return [b"".join(map(get, own)) for own in pieces]
 
-    def _learn_letters(self, new: set[bytes]) -> None:
-        """Pieces that are letters, or letters and a full stop or comma, many in one call: the tokenizer splits
-        between letters and marks, and a token with the end-of-word suffix ends a piece of letters."""
+    def _learn_letters(self, new: set[bytes]) -> list[bytes]:
+        """Pieces that are letters only, many in one call: a token with the end-of-word suffix ends a piece. Returns
+        what is left to be encoded."""
         if self.ends is None:
-            return
-        split = {}
-        for piece in new:
-            stem = piece[:-1] if piece.endswith((b".", b",")) else piece
-            if stem.isalpha() or not stem.isascii() and _letters(stem):
-                split[piece] = (stem, piece[len(stem) :])
-        stems = list({s for s, _ in split.values() if s not in self.known})
-        for i in range(0, len(stems), 1024):
-            part = stems[i : i + 1024]
-            joined = b" ".join(part).decode()
-            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype=np.int64)
+            return list(new)
+        letters = [w for w in new if w.isalpha() or not w.isascii() and _letters(w)]
+        rest = list(new.difference(letters))
+        for i in range(0, len(letters), 1024):
+            part = letters[i : i + 1024]
+            ids = np.array(self._plain(b" ".join(part).decode()), dtype=np.int64)
             cut = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-            if len(cut) == len(part):
-                raw, width = ids.astype(self.dtype).tobytes(), np.dtype(self.dtype).itemsize
-                self.known.update(
-                    (w, raw[a * width : b * width]) for w, a, b in zip(part, [0, *cut[:-1]], cut, strict=True)
-                )
-        for piece, (stem, mark) in split.items():
-            if mark and stem in self.known:
-                if mark not in self.known:
-                    self.known[mark] = self._ids(self.tokenizer.encode(mark.decode(), add_special_tokens=False).ids)
-                self.known[piece] = self.known[stem] + self.known[mark]
+            if len(cut) != len(part):
+                rest += part
+                continue
+            raw, width = ids.astype(self.dtype).tobytes(), np.dtype(self.dtype).itemsize
+            at = [0, *[c * width for c in cut]]
+            self.known.update(zip(part, map(raw.__getitem__, map(slice, at[:-1], at[1:])), strict=True))
+        return rest
 
 
 def _letters(word: bytes) -> bool:
+    """Whether a word stays letters when it is normalised and put in lower case: letters before U+0250, each a single
+    letter in either case, but for the capital I with a dot."""
     text = word.decode("utf-8", "replace")
-    return text.isalpha() and unicodedata.is_normalized("NFC", text)
+    return text.isalpha() and max(text) < "\u0250" and "\u0130" not in text
 
 
 _ENCODERS: dict[tuple[str, str], WordwiseEncoder] = {}  # a worker process keeps its tokenizer from task to task
