@@ -44,7 +44,7 @@ CACHED_WORDS = 1 << 19
 
 # A full stop or comma after a letter of a-z or Latin-1 and before white space: a piece of its own for a tokenizer that
 # splits letters from marks, whatever else the word has.
-_MARK = re.compile(rb"(?:(?<=[A-Za-z])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([.,])(?=[ \t-\r]|\Z)")
+_MARK = re.compile(rb"[.,](?=[ \t-\r]|\Z)(?:(?<=[A-Za-z].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))")
 _PROBES = ("ab cd", "a  b\n\nc", "x\ty", "don't 12 3a", "\u00e9. \u0130 \u0301a", ". .", "## a-b\r\n(c) ")
 
 
@@ -52,9 +52,9 @@ class WordwiseEncoder:
     """The tokenizers library's identifiers of a text, looked up by word.
 
     For a tokenizer that splits at white space, the identifiers of a text are those of its pieces between white space,
-    one after the other. Each piece is encoded once and kept, by what the library gives for this piece; beyond
-    ``CACHED_WORDS`` pieces only those stay that the texts at hand use, so frequent ones are not encoded again. What
-    the tokenizer does is found out by trial: one that doesn't split at white space gets whole texts; A-Z are made
+    one after the other. Each piece is encoded once and kept, by what the library gives for this piece. Pieces are kept
+    in two generations of about ``CACHED_WORDS`` / 2: when the young one is full the old one goes, but for what has been
+    used since, so frequent pieces are not encoded again. What the tokenizer does is found out by trial: one that doesn't split at white space gets whole texts; A-Z are made
     lower case first and marks are cut off words only for one to which that is the same.
     """
 
@@ -64,6 +64,7 @@ class WordwiseEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer, self.dtype = Tokenizer.from_file(path), dtype
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.wordwise = all(self._plain(p) == [i for w in p.encode().split() for i in self._plain(w.decode())] for p in _PROBES)
         self.lower = self._plain("AB Cd's \u00c9B") == self._plain("ab cd's \u00c9b")
         self.marks = all(self._plain(f"{w}{m} x") == self._plain(f"{w} {m} x") for w in ("ab", "'s", "3a", "\u00e9") for m in ".,")
@@ -102,14 +103,15 @@ class WordwiseEncoder:
             low = data.lower()
             if not any(t in low for t in self.added):  # tokens that the library finds as they are written
                 data = low
-        return (_MARK.sub(rb" \1", data) if self.marks else data).split()
+        return (_MARK.sub(rb" \g<0>", data) if self.marks else data).split()
 
     def _group(self, pieces: list[list[bytes]]) -> list[bytes]:
-        words = set().union(*pieces)
-        new = words.difference(self.known)
-        if len(self.known) > CACHED_WORDS:
-            self.known = {w: self.known[w] for w in words - new}
-        rest = self._learn_letters(new)
+        if len(self.known) > CACHED_WORDS // 2:
+            self.known, self.older = {}, self.known
+        new = set().union(*pieces).difference(self.known)
+        used = [w for w in new if w in self.older]
+        self.known.update(zip(used, map(self.older.__getitem__, used), strict=True))
+        rest = self._learn_letters(new.difference(used))
         for i in range(0, len(rest), 4096):
             part = rest[i : i + 4096]
             found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
