@@ -80,19 +80,25 @@ class WordwiseEncoder:
     def _plain(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def _fast(self, texts: list[bytes]) -> list[list[int]]:
+        """Identifiers as ``_plain`` gives them, without the places in the text."""
+        strings = [t.decode("utf-8", "replace") for t in texts]
+        return [e.ids for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
+
     def _ids(self, ids: list[int]) -> bytes:
         return np.array(ids, dtype=self.dtype).tobytes()
 
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        """Identifiers of each text. Texts are split in groups of about a million characters, so that their words
-        take little memory."""
+    def encode(self, texts: list[str | bytes | None]) -> Iterator[bytes]:
+        """Identifiers of each text (UTF-8 if it is bytes). Texts are split in groups of about a million bytes, so
+        that their words take little memory."""
+        coded = (t if isinstance(t, bytes) else utf8(t) for t in texts)
         if not self.wordwise:
-            yield from (self._ids(self._plain(utf8(t).decode("utf-8", "replace"))) for t in texts)
+            yield from (self._ids(self._plain(t.decode("utf-8", "replace"))) for t in coded)
             return
         group, size = [], 0
-        for text in texts:
-            group.append(self._pieces(utf8(text)))
-            size += len(text or "")
+        for text in coded:
+            group.append(self._pieces(text))
+            size += len(text)
             if size >= 1 << 20:
                 yield from self._group(group)
                 group, size = [], 0
@@ -114,8 +120,10 @@ class WordwiseEncoder:
         rest = self._learn_letters(new.difference(used))
         for i in range(0, len(rest), 4096):
             part = rest[i : i + 4096]
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            self.known.update(zip(part, (self._ids(e.ids) for e in found), strict=True))
+            found = self._fast(part)
+            every = self._ids([x for ids in found for x in ids])
+            at = np.concatenate([[0], np.cumsum([len(ids) for ids in found])]) * np.dtype(self.dtype).itemsize
+            self.known.update(zip(part, map(every.__getitem__, map(slice, at[:-1].tolist(), at[1:].tolist())), strict=True))
         get = self.known.__getitem__
         return [b"".join(map(get, own)) for own in pieces]
 
@@ -128,7 +136,7 @@ class WordwiseEncoder:
         rest = list(new.difference(letters))
         for i in range(0, len(letters), 1024):
             part = letters[i : i + 1024]
-            ids = np.array(self._plain(b" ".join(part).decode()), dtype=np.int64)
+            ids = np.array(self._fast([b" ".join(part)])[0], dtype=np.int64)
             cut = (np.flatnonzero(self.ends[ids]) + 1).tolist()
             if len(cut) != len(part):
                 rest += part
@@ -213,7 +221,8 @@ def write_tokens(
     folder = folder or f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}"
     uri = folder if "://" in folder or folder.startswith("file:") else f"file://{os.path.abspath(folder)}"
     uri = uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri
-    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string").cast("binary").alias("text")  # as bytes, they needn't be decoded
+    rows = docs.select(F.col(id_col).cast("bigint").alias("id"), text)
     # The hash keeps many rows of one identifier from being one range; rows with equal identifiers stay adjacent.
     ordered = rows.withColumn("h", F.xxhash64("text")).repartitionByRange("id", "h").sortWithinPartitions("id", "h", "text")
     written = ordered.select("id", "text").mapInArrow(
