@@ -109,7 +109,7 @@ def test_license_scan(docs, rows):
 
 
 def test_license_wording():
-    scanner = license_scan.Scanner(license_scan.TEMPLATES, 0.8, 4)
+    scanner = license_scan.Scanner(license_scan.TEMPLATES, 0.8)
     for name, text in license_scan.TEMPLATES.items():
         assert scanner.scan(text)[0] == name
     name, _, missing, extra = scanner.scan("This fine work is licensed under the GNU General Public License version 3.")
@@ -184,6 +184,81 @@ def plain_lines(rows, least=5):
 
 
 @pytest.mark.parametrize("broadcast_keys", [1 << 18, 3])
+class _Constant:
+    """A compressor that tells nothing."""
+
+    def compress(self, data):
+        return b"x" * 100
+
+
+def test_license_compression_ranks():
+    """The whole notice saves more than its first sentence; without that ranking the sentence takes its place."""
+    scanner = license_scan.Scanner(license_scan.TEMPLATES, 0.8)
+    header = license_scan.words(license_scan.TEMPLATES["Apache-2.0-header"])
+    assert [x[1] for x in scanner.notices(header)[1]] == ["Apache-2.0-header"]
+    scanner.plain, scanner.with_ = _Constant(), {k: _Constant() for k in scanner.with_}
+    assert [x[1] for x in scanner.notices(header)[1]] == ["Apache-2.0"]
+
+
+def test_licenses_that_share_their_text():
+    scanner = license_scan.Scanner(license_scan.TEMPLATES, 0.8)
+    for name in ("BSD-2-Clause-text", "BSD-3-Clause-text", "MIT-text", "LGPL-3.0-text", "GPL-2.0-text"):
+        own = license_scan.words("Some words before. " + license_scan.TEMPLATES[name] + " and after.")
+        assert [(x[1], x[3], x[4]) for x in scanner.notices(own)[1]] == [(name, [], [])]
+        own[20:20] = ["other"]
+        del own[60]
+        assert [x[1] for x in scanner.notices(own)[1]] == [name]
+
+
+def test_license_scan_against_every_place():
+    """Every template against every stretch of words: what can be confirmed is found or overlaps what saves more."""
+    short = {k: v for k, v in license_scan.TEMPLATES.items() if len(license_scan.words(v)) <= 30}
+    scanner, rng = license_scan.Scanner(short, 0.8), random.Random(4)
+    vocabulary = sorted({w for v in short.values() for w in license_scan.words(v)}) + ["other", "word"]
+    for _ in range(60):
+        own = []
+        for _ in range(rng.randint(1, 3)):
+            notice = license_scan.words(rng.choice(list(short.values())))
+            for _ in range(rng.randint(0, 3)):
+                at = rng.randrange(len(notice))
+                notice[at : at + rng.randint(0, 1)] = [rng.choice(vocabulary)] * rng.randint(0, 1)
+            own += [rng.choice(vocabulary) for _ in range(rng.randint(0, 12))] + notice
+        found = []
+        for at, name, _, missing, extra in scanner.notices(own)[1]:
+            template = scanner.templates[name].words
+            end = at + len(template) - len(missing) + len(extra)
+            assert license_scan.differences(template, own[at:end]) is not None
+            assert len(missing) <= scanner.templates[name].lack and len(extra) <= scanner.templates[name].besides
+            assert sorted(Counter(own[at:end]).elements()) == sorted(
+                (Counter(template) - Counter(missing) + Counter(extra)).elements()
+            )
+            found.append((at, end))
+        assert all(b <= c for (_, b), (c, _) in zip(found, found[1:]))
+        for t in scanner.templates.values():
+            for a in range(len(own)):
+                for b in range(a + t.need, min(len(own), a + len(t.words) + t.besides) + 1):
+                    missing, extra = license_scan.differences(t.words, own[a:b])
+                    if len(missing) > t.lack or len(extra) > t.besides or own[a] not in t.number or own[b - 1] not in t.number:
+                        continue
+                    if any(w in t.names for w in missing) or t.names and extra:
+                        continue  # naming words that follow each other: told by the table of the operator
+                    assert any(x < b and a < y for x, y in found), (t.words, own[a:b], found)
+
+
+def test_license_work_is_in_proportion():
+    import time
+
+    scanner = license_scan.Scanner(license_scan.TEMPLATES, 0.8)
+    for notice in ("Released under the MIT License. ", "Released under some MIT License. Words. "):
+        took = []
+        for n in (1000, 4000):
+            own = license_scan.words(notice * n)
+            start = time.perf_counter()
+            assert len(scanner.notices(own)[1]) == n
+            took.append(time.perf_counter() - start)
+        assert took[1] < 10 * took[0] and took[1] < 8
+
+
 def test_line_dedup(docs, rows, broadcast_keys):
     got = line_dedup.deduplicate_lines(docs, broadcast_keys=broadcast_keys)
     want = plain_lines(rows)

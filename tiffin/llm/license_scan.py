@@ -1,14 +1,23 @@
 """License notices found by conditional compression.
 
 A text is its words in lower case; lines and signs don't count, so a notice may be wrapped or stand anywhere in a line
-of any length. A block is a stretch in which a template can be by the number of words that both use; stretches that no
-block covers can't hold a notice, so bounds and not a ranking decide what is compared. In each block the fewest exact
-differences in wording are found for every place (words of the template that are missing, words that are there besides).
-A notice is confirmed if at least ``least_match`` of the template's words are there in order, and no more words besides
-than may be missing (two at least). Of a short template the words that name the license (all but those of ``GENERIC``)
-must all be there, and those that follow each other must do so in the notice, so a BSD notice is no MIT notice with one
-word changed. A block may hold several notices. Where confirmed notices overlap, the one with most words in common less differences
-is it, and of equal ones that whose template, as raw dictionary of zstandard, saves the greater share of bytes.
+of any length.
+
+1. Candidate blocks. A template can be only where as many words as a notice has at most hold enough of the words that it
+   uses. Such stretches are cut into overlapping blocks of bounded length, so that every notice lies whole in one.
+2. Ranking. Each block is compressed with each template that can be in it as raw dictionary of zstandard, and without.
+   What a template saves in bytes ranks it: the whole text of a license saves more than its first sentence.
+3. Confirmation, in the order of the ranking. In a block the fewest exact differences in wording are found for every
+   place (words of the template that are missing, words that are there besides). A notice is confirmed if at least
+   ``least_match`` of the template's words are there in order, and no more words besides than may be missing (two at
+   least). Of a short template the words that name the license (all but those of ``GENERIC``) must all be there, and
+   those that follow each other must do so in the notice, so a BSD notice is no MIT notice with one word changed.
+4. A confirmed notice holds its place: a template that saves less has it only where it doesn't overlap. A notice with
+   differences first gives way to a template that saves at least ``RIVAL`` of what it saves and differs in fewer words,
+   as licenses that share most of their text do.
+
+The ranking decides among templates and never ends the search: every block is compared, but for those that lie in a
+confirmed notice as a whole. Work grows in proportion to the text, however many notices it has.
 
 Templates are short notices and, as files in ``licenses``, the whole texts of ten licenses.
 
@@ -20,6 +29,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from pathlib import Path
@@ -64,6 +74,7 @@ GENERIC = frozenset(
     "a all an are as is it its in of on or the this to under license licence licenses licensed released distributed subject "
     "terms permitted work software program file code version v".split()
 )
+RIVAL = 0.8  # of the bytes saved: a template that saves as much may still be the better one
 SHORT = 16  # words of a template of which the naming words must be there
 # Whole licenses, one file each. The driver reads them; tasks get them with the other templates.
 TEMPLATES |= {f"{p.stem}-text": p.read_text(encoding="utf-8") for p in sorted((Path(__file__).parent / "licenses").glob("*.txt"))}
@@ -143,6 +154,13 @@ class Template:
                 out.append((begin, end))
         return out
 
+    def windows(self, own: list[str]) -> Iterator[tuple[int, int]]:
+        """Blocks of bounded length: a notice in a stretch of ``blocks`` lies in one of them."""
+        span = len(self.words) + self.besides
+        for begin, end in self.blocks(own):
+            for a in range(begin, max(begin + 1, end - span), 3 * span):
+                yield a, min(end, a + 4 * span)
+
     def _rows(self, ids: list[int]) -> Iterator[np.ndarray]:
         """After each word of a block, for each i the fewest differences of the template's first i words from words
         that end here."""
@@ -186,41 +204,87 @@ class Template:
         return out
 
 
+class Spans:
+    """Spans that don't overlap, in order."""
+
+    def __init__(self):
+        self.begins: list[int] = []
+        self.ends: list[int] = []
+
+    def meets(self, a: int, b: int) -> bool:
+        i = bisect_left(self.begins, b) - 1
+        return i >= 0 and self.ends[i] > a
+
+    def covers(self, a: int, b: int) -> bool:
+        i = bisect_right(self.begins, a) - 1
+        return i >= 0 and self.ends[i] >= b
+
+    def add(self, a: int, b: int) -> None:
+        i = bisect_left(self.begins, a)
+        self.begins.insert(i, a)
+        self.ends.insert(i, b)
+
+
 class Scanner:
-    def __init__(self, templates: dict[str, str], least_match: float, ranked: int | None = None):
-        # ``ranked`` was a limit: now every template is compared wherever it can be.
+    def __init__(self, templates: dict[str, str], least_match: float):
         self.templates = {k: t for k, v in templates.items() if (t := Template(v, least_match)).words}
-        raw = zstandard.DICT_TYPE_RAWCONTENT
         self.plain = zstandard.ZstdCompressor(level=3)
-        self.with_ = {
-            k: zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(" ".join(t.words).encode(), dict_type=raw))
-            for k, t in self.templates.items()
-        }
+        self.with_ = {}
+        for name, t in self.templates.items():
+            data = zstandard.ZstdCompressionDict(" ".join(t.words).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            data.precompute_compress(level=3)
+            self.with_[name] = zstandard.ZstdCompressor(dict_data=data)
 
-    def saved(self, name: str, block: list[str]) -> float:
-        """Share of the compressed size of a block that a template saves."""
+    def sizes(self, name: str, block: list[str]) -> tuple[int, int]:
+        """Bytes of a block compressed without and with a template."""
         data = " ".join(block).encode()
-        return 1 - len(self.with_[name].compress(data)) / len(self.plain.compress(data))
+        return len(self.plain.compress(data)), len(self.with_[name].compress(data))
 
     def notices(self, own: list[str]) -> tuple[int, list[tuple[int, str, float, list[str], list[str]]]]:
-        """Number of blocks compared; place of the first word, template, share saved, missing and extra words of each
+        """Number of blocks compressed; place of the first word, template, share saved, missing and extra words of each
         notice, in order."""
-        known, count, found = set(own), 0, []
+        known, blocks = set(own), []
         for name, t in self.templates.items():
-            if not t.possible(known):
+            if t.possible(known):
+                for a, b in t.windows(own):
+                    without, size = self.sizes(name, own[a:b])
+                    blocks.append((without - size, name, a, b))
+        if not blocks:
+            return 0, []
+        blocks.sort(key=lambda x: (-x[0], x[1], x[2]))
+        near: dict[int, list[int]] = {}  # blocks by the parts of the text that they touch
+        for i, (_, _, a, b) in enumerate(blocks):
+            for part in range(a >> 8, ((b - 1) >> 8) + 1):
+                near.setdefault(part, []).append(i)
+        confirmed: dict[int, list[tuple[int, int, list[str], list[str]]]] = {}
+
+        def confirm(i: int) -> list[tuple[int, int, list[str], list[str]]]:
+            if i not in confirmed:
+                _, name, a, b = blocks[i]
+                confirmed[i] = [(a + x, a + y, *rest) for x, y, *rest in self.templates[name].notices(own[a:b])]
+            return confirmed[i]
+
+        held, out = Spans(), []
+        for i, (saved, name, a, b) in enumerate(blocks):
+            if held.covers(a, b):
                 continue
-            for a, b in t.blocks(own):
-                count += 1
-                for begin, end, missing, extra in t.notices(own[a:b]):
-                    fit = len(t.words) - 2 * len(missing) - len(extra)
-                    span = a + begin, a + end
-                    found.append((-fit, -self.saved(name, own[slice(*span)]), name, *span, missing, extra))
-        # Where notices overlap, the one that agrees in most words and differs in fewest is it.
-        out: list[tuple] = []
-        for _, saved, name, a, b, missing, extra in sorted(found):
-            if not any(a < y and x < b for x, y, *_ in out):
-                out.append((a, b, name, -saved, missing, extra))
-        return count, [(a, *rest) for a, _, *rest in sorted(out)]
+            for notice in sorted(confirm(i)):
+                if held.meets(*notice[:2]):
+                    continue
+                best = (len(notice[2]) + len(notice[3]), i, notice)
+                if best[0]:
+                    x, y = notice[:2]
+                    rivals = {j for part in range(x >> 8, ((y - 1) >> 8) + 1) for j in near[part]}
+                    for j in sorted(rivals):
+                        if j != i and blocks[j][0] >= RIVAL * saved:
+                            for other in confirm(j):
+                                if other[0] < y and x < other[1] and not held.meets(*other[:2]):
+                                    best = min(best, (len(other[2]) + len(other[3]), j, other), key=lambda z: z[:2])
+                _, j, (x, y, missing, extra) = best
+                held.add(x, y)
+                without, size = self.sizes(blocks[j][1], own[x:y])
+                out.append((x, blocks[j][1], 1 - size / without, missing, extra))
+        return len(blocks), sorted(out, key=lambda x: x[0])
 
     def scan(self, text: str) -> tuple[str, float, list[str], list[str]] | None:
         """The first notice of a text."""
@@ -234,14 +298,13 @@ def scan_licenses(
     text_col: str = "text",
     templates: dict[str, str] | None = None,
     least_match: float = 0.8,
-    ranked: int | None = None,
 ) -> DataFrame:
-    """One row per row of ``docs``: identifier, n_candidates (blocks compared with a template), licenses (distinct names
+    """One row per row of ``docs``: identifier, n_candidates (blocks compressed with a template), licenses (distinct names
     in order) and notices (line number of the first word, license, share of bytes saved, words missing, words besides)."""
     templates = templates or TEMPLATES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(templates, least_match, ranked)
+        scanner = Scanner(templates, least_match)
         for batch in batches:
             count, names, found = [], [], []
             for text in batch.column(1).to_pylist():
@@ -250,8 +313,9 @@ def scan_licenses(
                 own = []
                 if hits:
                     starts = [m.start() for m in _WORD.finditer(low)]
+                    breaks = [m.start() for m in re.finditer("\n", low)]
                     own = [
-                        {"line": low.count("\n", 0, starts[at]), "license": name, "saved": saved, "missing": missing, "extra": extra}
+                        {"line": bisect_left(breaks, starts[at]), "license": name, "saved": saved, "missing": missing, "extra": extra}
                         for at, name, saved, missing, extra in hits
                     ]
                 count.append(n)
