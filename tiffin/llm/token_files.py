@@ -60,6 +60,7 @@ class WordwiseEncoder:
 
     def __init__(self, path: str, dtype: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer, self.dtype = Tokenizer.from_file(path), dtype
@@ -76,14 +77,20 @@ class WordwiseEncoder:
         if suffix and self._plain("ab cd\u00e9") == self._plain("ab") + self._plain("cd\u00e9"):
             self.ends = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, dtype=bool)
             self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
+        # Words of a-z need neither normalising nor splitting, which take longer than the encoding: the same model
+        # without them, if it gives the same.
+        bare = Tokenizer.from_file(path)
+        bare.normalizer, bare.pre_tokenizer = None, WhitespaceSplit()
+        same = all(bare.encode(p, add_special_tokens=False).ids == self._plain(p) for p in ("ab cd", "the quick brown fox zzzqx"))
+        self.bare = bare if same else self.tokenizer
 
     def _plain(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _fast(self, texts: list[bytes]) -> list[list[int]]:
+    def _fast(self, texts: list[bytes], tokenizer=None) -> list[list[int]]:
         """Identifiers as ``_plain`` gives them, without the places in the text."""
         strings = [t.decode("utf-8", "replace") for t in texts]
-        return [e.ids for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
+        return [e.ids for e in (tokenizer or self.tokenizer).encode_batch_fast(strings, add_special_tokens=False)]
 
     def _ids(self, ids: list[int]) -> bytes:
         return np.array(ids, dtype=self.dtype).tobytes()
@@ -132,18 +139,20 @@ class WordwiseEncoder:
         what is left to be encoded."""
         if self.ends is None:
             return list(new)
-        letters = [w for w in new if w.isalpha() or not w.isascii() and _letters(w)]
-        rest = list(new.difference(letters))
-        for i in range(0, len(letters), 1024):
-            part = letters[i : i + 1024]
-            ids = np.array(self._fast([b" ".join(part)])[0], dtype=np.int64)
-            cut = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-            if len(cut) != len(part):
-                rest += part
-                continue
-            raw, width = ids.astype(self.dtype).tobytes(), np.dtype(self.dtype).itemsize
-            at = [0, *[c * width for c in cut]]
-            self.known.update(zip(part, map(raw.__getitem__, map(slice, at[:-1], at[1:])), strict=True))
+        simple = [w for w in new if w.isalpha() and w.islower()]  # of bytes: a-z
+        letters = [w for w in new.difference(simple) if w.isalpha() or not w.isascii() and _letters(w)]
+        rest = list(new.difference(simple, letters))
+        width = np.dtype(self.dtype).itemsize
+        for words, tokenizer in ((simple, self.bare), (letters, self.tokenizer)):
+            for i in range(0, len(words), 1024):
+                part = words[i : i + 1024]
+                ids = np.array(self._fast([b" ".join(part)], tokenizer)[0], dtype=np.int64)
+                cut = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+                if len(cut) != len(part):
+                    rest += part
+                    continue
+                raw, at = ids.astype(self.dtype).tobytes(), [0, *[c * width for c in cut]]
+                self.known.update(zip(part, map(raw.__getitem__, map(slice, at[:-1], at[1:])), strict=True))
         return rest
 
 
