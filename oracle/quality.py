@@ -53,6 +53,8 @@ def _orphans(g: str) -> str:
 
 
 OLD = "SELECT OrderID FROM g1_orders WHERE Date_Time < TIMESTAMP '1997-01-01 00:00:00'"
+# Payments that brought nothing are gone before orders are purged.
+COLLECTED = "(SELECT * FROM g1_payment WHERE Status IN ('Paid', 'Refunded'))"
 ORDER_HOLDERS = {
     "payment": "Order_ID",
     "delivery": "OrderID",
@@ -60,13 +62,19 @@ ORDER_HOLDERS = {
     "refund": "OrderID",
     "cancellation": "OrderID",
 }
-FREE_ORDERS = f"({OLD} " + " ".join(f"EXCEPT SELECT {c} FROM g1_{t}" for t, c in ORDER_HOLDERS.items()) + ")"
+
+
+def _holder(table: str) -> str:
+    return COLLECTED if table == "payment" else f"g1_{table}"
+
+
+FREE_ORDERS = f"({OLD} " + " ".join(f"EXCEPT SELECT {c} FROM {_holder(t)}" for t, c in ORDER_HOLDERS.items()) + ")"
 FREE_WALLETS = "(SELECT Wallet_ID FROM g1_wallet WHERE Balance < 0 EXCEPT SELECT Wallet_ID FROM g1_refund)"
 
 
 def quality_sql() -> dict[str, str]:
     held = " UNION ALL ".join(
-        f"SELECT DISTINCT {c} AS OrderID, '{t}' AS holder FROM g1_{t}" for t, c in ORDER_HOLDERS.items()
+        f"SELECT DISTINCT {c} AS OrderID, '{t}' AS holder FROM {_holder(t)}" for t, c in ORDER_HOLDERS.items()
     )
     return {
         "dq1_missing_values": _counts(
