@@ -17,7 +17,7 @@ from pyspark.sql import types as T  # noqa: E402
 
 from tiffin.jobs import checkout, deletion, intake, ledger, quality, rating, refunds  # noqa: E402
 from tiffin.operators import snapshot_changes  # noqa: E402
-from tiffin.plans import analytics, audit, dashboard, paging, views  # noqa: E402
+from tiffin.plans import analytics, audit, dashboard, paging, upkeep, views  # noqa: E402
 from tiffin.session import shared_folder, tune  # noqa: E402
 from tiffin.sources import StarSource, workload  # noqa: E402
 from tiffin.streaming import ledger as ledger_stream  # noqa: E402
@@ -98,6 +98,16 @@ def _checkout_appended(source: StarSource) -> DataFrame:
     return orders.join(sizes, "OrderID").select("OrderID", "UserID", "Restaurant_ID", "Total_Amount", "n_lines", "quantity")
 
 
+def _leaderboard_kept(source: StarSource) -> DataFrame:
+    old, new = source.marketplace("gen1"), workload.later_marketplace(source)
+    return upkeep.leaderboard(new, upkeep.changed_totals(upkeep.leaderboard_totals(old), old, new))
+
+
+def _summary_kept(source: StarSource) -> DataFrame:
+    old, new = source.marketplace("gen1"), workload.later_marketplace(source)
+    return upkeep.changed_summary(views.order_summary(old), old, new)
+
+
 def _purge(source: StarSource, table: str, condition) -> deletion.Deletion:
     m = source.marketplace("gen1")
     return deletion.plan_deletion(m, table, m[table].where(condition))
@@ -261,6 +271,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "v01_order_summary": _plan(g1, views.order_summary),
         "v02_restaurant_leaderboard": _plan(g1, views.restaurant_leaderboard),
         "v02_restaurant_leaderboard_corrected": _plan(g1, views.restaurant_leaderboard, corrected=True),
+        "v01_order_summary_kept": _job(_summary_kept),
+        "v02_restaurant_leaderboard_kept": _job(_leaderboard_kept),
         "v03_menu_with_category": _plan(g1, views.menu_with_category),
         "s03_orders_by_view": _plan(g1, views.orders_by_view),
         "c01_orders_page": _plan(g1, paging.orders_page, page=3, size=25),

@@ -411,6 +411,32 @@ def _views() -> dict[str, str]:
                LEFT JOIN g1_delivery d ON d.OrderID = o.OrderID
                LEFT JOIN g1_delivery_partner w ON w.Partner_ID = d.Partner_ID""",
         ),
+        "v01_order_summary_kept": _out(
+            "OrderID:l Date_Time:t order_status:s Total_Amount:d UserID:l customer_name:s customer_email:s"
+            " Restaurant_ID:l restaurant_name:s payment_id:l payment_mode:s payment_status:s amount_paid:d Paid_At:t"
+            " Delivery_ID:l delivery_status:s Pickup_Time:t Delivery_Time:t partner_name:s partner_phone:l"
+            " discount_pct:d discount_amount:d",
+            f"""SELECT o.OrderID, Date_Time, o.Status AS order_status, Total_Amount, UserID,
+                      User_Name AS customer_name, Email AS customer_email, Restaurant_ID, r.Name AS restaurant_name,
+                      Transaction_ID AS payment_id, Mode AS payment_mode, p.Status AS payment_status,
+                      Amount AS amount_paid, Paid_At, Delivery_ID, d.Status AS delivery_status, Pickup_Time,
+                      Delivery_Time, w.Name AS partner_name, w.Phone_No AS partner_phone,
+                      coalesce(Discount_PR, 0) AS discount_pct, coalesce(Discount_Amount, 0) AS discount_amount
+               FROM {LATER_ORDERS} o JOIN g1_restaurant r USING (Restaurant_ID) JOIN g1_users USING (UserID)
+               LEFT JOIN g1_discount x ON x.OrderID = o.OrderID LEFT JOIN {LATER_PAYMENTS} p ON p.Order_ID = o.OrderID
+               LEFT JOIN g1_delivery d ON d.OrderID = o.OrderID
+               LEFT JOIN g1_delivery_partner w ON w.Partner_ID = d.Partner_ID""",
+        ),
+        "v02_restaurant_leaderboard_kept": _out(
+            LEADERBOARD,
+            f"""SELECT Restaurant_ID, Name AS restaurant_name, r.Rating AS avg_rating, Restaurant_Status AS is_active,
+                      count(DISTINCT Review_ID) AS total_reviews, count(DISTINCT o.OrderID) AS total_orders,
+                      coalesce(sum(Amount) FILTER (p.Status = 'Paid'), 0) AS total_revenue,
+                      count(DISTINCT o.OrderID) FILTER (o.Status = 'cancelled') AS cancelled_orders
+               FROM g1_restaurant r LEFT JOIN {LATER_ORDERS} o USING (Restaurant_ID)
+               LEFT JOIN {LATER_PAYMENTS} p ON p.Order_ID = o.OrderID LEFT JOIN {LATER_REVIEWS} v USING (Restaurant_ID)
+               GROUP BY 1, 2, 3, 4""",
+        ),
         "v02_restaurant_leaderboard": _out(
             LEADERBOARD,
             """SELECT Restaurant_ID, Name AS restaurant_name, r.Rating AS avg_rating, Restaurant_Status AS is_active,
@@ -471,6 +497,15 @@ REVIEWS_AFTER = f"""(
            CASE WHEN event_type = 'click' THEN 1 + user_id % 3 ELSE Rating END AS Rating
     FROM events JOIN g1_review ON Review_ID = event_id WHERE event_type = 'click' OR value >= 5)"""
 
+LATER_REVIEWS = f"""(
+    SELECT Review_ID, CASE WHEN event_type = 'click' AND user_id % 4 = 0 THEN (event_id + 1) % {N} ELSE event_id % {N} END
+               AS Restaurant_ID
+    FROM events JOIN g1_review ON Review_ID = event_id WHERE event_type = 'click' OR value >= 5)"""
+LATER_PAYMENTS = """(SELECT * REPLACE (CASE WHEN Status = 'Pending' AND Order_ID % 5 = 0 THEN 'Paid' ELSE Status END AS Status)
+    FROM g1_payment)"""
+LATER_ORDERS = """(SELECT * REPLACE (CASE WHEN Status = 'preparing' AND OrderID % 10 = 1 THEN 'cancelled' ELSE Status END AS Status)
+    FROM g1_orders)"""
+
 CREDITED = """(
     SELECT Refund_ID, Wallet_ID, Refund_Amount FROM g1_refund JOIN g1_complaint USING (Complaint_ID)
     WHERE Refund_Status = 'Completed' AND Refund_ID % 10 <> 2 AND Created_At < TIMESTAMP '2024-01-30 00:00:00')"""

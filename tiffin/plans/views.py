@@ -84,11 +84,14 @@ def restaurant_leaderboard(m: Marketplace, corrected: bool = False) -> DataFrame
             F.count_if(F.col("Status") == "cancelled").alias("cancelled_orders"),
         )
     )
+    return leaderboard_view(m["restaurant"], reviews.join(orders, "Restaurant_ID", "full"), corrected)
+
+
+def leaderboard_view(restaurant: DataFrame, totals: DataFrame, corrected: bool = False) -> DataFrame:
+    """The leaderboard from reviews, orders, paid revenue and cancellations by restaurant, as far as there are any."""
     repeat = F.lit(1) if corrected else F.greatest(F.col("total_reviews"), F.lit(1))
     return (
-        m["restaurant"]
-        .join(reviews, "Restaurant_ID", "left")
-        .join(orders, "Restaurant_ID", "left")
+        restaurant.join(totals, "Restaurant_ID", "left")
         .na.fill(0, ["total_reviews", "total_orders", "cancelled_orders"])
         .select(
             "Restaurant_ID",

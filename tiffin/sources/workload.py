@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiffin.jobs.ledger import CREDIT, DEBIT
+from tiffin.sources.catalog import Marketplace
 from tiffin.sources.star import STAR, StarSource
 from tiffin.streaming.refunds import due
 
@@ -45,6 +46,19 @@ def reviews_after(source: StarSource) -> DataFrame:
     return kept.select(*names).unionByName(edited.select(*names))
 
 
+def later_marketplace(source: StarSource) -> Marketplace:
+    """The marketplace some time later: reviews edited, waiting payments made, orders in preparation cancelled."""
+    m = source.marketplace("gen1")
+    reviews = m["review"].drop("Restaurant_ID", "Rating").join(reviews_after(source), "Review_ID")
+    made = (F.col("Status") == "Pending") & (F.col("Order_ID") % 5 == 0)
+    called_off = (F.col("Status") == "preparing") & (F.col("OrderID") % 10 == 1)
+    return m.replace(
+        review=reviews,
+        payment=m["payment"].withColumn("Status", F.when(made, "Paid").otherwise(F.col("Status"))),
+        orders=m["orders"].withColumn("Status", F.when(called_off, "cancelled").otherwise(F.col("Status"))),
+    )
+
+
 def earlier_refunds(source: StarSource, before: str) -> DataFrame:
     """The refund table as it stood: refunds raised by then, hardly any of them completed."""
     state = F.when(F.col("Refund_ID") % 10 == 2, "Completed").otherwise("Pending")
