@@ -677,3 +677,33 @@ def test_empty_benchmark(spark, docs, rows):
 @pytest.mark.parametrize("name", queries.ORACLE_SQL)
 def test_registered_against_sql(name, spark, small):
     assert difference(queries.QUERIES[name](spark, small), connect(small), queries.ORACLE_SQL[name]) is None
+
+
+def test_whole_documents_as_queries_skip_blocks():
+    """Ranges of documents whose bounds don't reach the k-th best score are passed over, and nothing is lost."""
+    import pyarrow as pa
+
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choice(SPOKEN[("en", "de")[i % 2]]) + str(rng.randint(0, 40)) for _ in range(rng.randint(3, 150)))) for i in range(900)]
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), pa.array([t for _, t in rows])], ["id", "text"])
+    shards = [r for b in topk_search._index(300, 1 << 20)(iter([batch])) for r in b.to_pylist()]
+    assert len(shards) == 3
+    mean = sum(s["words"] for s in shards) / 900
+    skipped = 0
+    for q in rows[::60]:
+        asked, bar, found = [(w, 1.0 + len(w)) for w in sorted(set(topk_search.words(q[1])))], 0.0, []
+        plain = Counter()
+        for row in shards:
+            shard = topk_search.Shard(row, mean)
+            best = shard.best(asked, 5, bar)
+            bar = max(bar, best[-1][0]) if len(best) == 5 else bar
+            found += [(-score, int(shard.ids[doc])) for score, doc in best]
+            skipped += shard.skipped
+            for w, weight in asked:
+                if w in shard.place:
+                    i = shard.place[w]
+                    for at in range(shard.ends[i - 1] if i else 0, shard.ends[i]):
+                        plain[int(shard.ids[shard.docs[at]])] += weight * shard.scores[at]
+        want = sorted((-score, i) for i, score in plain.items())[:5]
+        assert [i for _, i in sorted(found)[:5]] == [i for _, i in want]
+    assert skipped > 0

@@ -8,13 +8,15 @@ shards, is exact however rows are dealt.
 
 Queries stay a table: their words are joined with the documents per word and gathered in blocks of about
 ``query_block``; one block at a time is broadcast to all shards. A shard runs every query of a block and hands on
-the k best. Queries of at most ``WAND_WORDS`` words that a shard has go by block-max WAND; for longer ones, such as
-whole documents, nearly every document has some word and all scores of the shard are added at once.
+the k best; the k-th best score that a query has in one shard is where it starts in the task's next.
 
-Block-max WAND goes through the documents in order. Terms are sorted by their current document; the pivot is the first
+All queries are pruned by the greatest scores of blocks of postings. Of at most ``PIVOT_WORDS`` words, block-max WAND goes
+through the documents in order. Terms are sorted by their current document; the pivot is the first
 at which the sum of the terms' greatest scores passes the k-th best score. If the greatest scores of the blocks that
 hold the pivot don't pass it, everything up to the end of the shortest of these blocks is skipped; else the terms are
-moved to the pivot and the document is scored.
+moved to the pivot and the document is scored. Of more words, such as whole documents, the pivot would stand at nearly
+every document: blocks are then about ranges of ``RANGE`` documents, the bounds of all ranges are added up in one go, and
+ranges are scored from the greatest bound down until no bound left passes the k-th best score.
 
 A query's key is a hash of identifier and text: queries with a NULL identifier are asked too, queries that share an
 identifier each have their own ranks from 1, and a query row that is there twice gives its rows twice.
@@ -46,7 +48,8 @@ from tiffin.session import stage
 WORD = re.compile(r"[^\W_]+")
 POSTINGS = 64
 K1, B = 1.2, 0.75
-WAND_WORDS = 8  # words up to which a query goes by block-max WAND
+RANGE = 32  # neighbouring documents that a block is about
+PIVOT_WORDS = 8  # words up to which the pivot is moved document by document
 
 
 def words(text: str | None) -> list[str]:
@@ -123,18 +126,26 @@ def best_documents(lists: list[tuple[float, Postings]], k: int, order: list, doc
 
 
 def _index(shard_docs: int, shard_postings: int):
-    """One row per shard: documents with identifiers and lengths, and the postings in the order of words."""
-
-    def pack(ids: list, lengths: list, names: list, word: array, doc: array, times: array) -> pa.RecordBatch:
+    """One row per shard: documents with identifiers and lengths, and the postings in the order of words. Documents are
+    ordered by their commonest word and their length, so that neighbours are alike (of one language, for one thing) and
+    the bounds of a range of documents are close to their scores."""
+
+    def pack(ids: list, lengths: list, common: list, names: list, word: array, doc: array, times: array) -> pa.RecordBatch:
+        alike = sorted(range(len(ids)), key=lambda i: (common[i], lengths[i]))
+        ids, lengths = [ids[i] for i in alike], [lengths[i] for i in alike]
+        moved = np.empty(len(ids), dtype=np.int32)
+        moved[alike] = np.arange(len(ids))
         by = sorted(range(len(names)), key=names.__getitem__)
         place = np.empty(len(names), dtype=np.int64)
         place[by] = np.arange(len(names))
         number = place[np.frombuffer(word, np.int32)] if len(word) else np.zeros(0, np.int64)
-        order = np.argsort(number, kind="stable")
+        doc_, times_ = (np.frombuffer(x, np.int32) if len(x) else np.zeros(0, np.int32) for x in (doc, times))
+        doc_ = moved[doc_]
+        order = np.lexsort((doc_, number))
         sizes = np.bincount(number, minlength=len(names))
         arrays = [
             [np.array([x or 0 for x in ids], np.int64), np.array([x is not None for x in ids], bool), np.array(lengths, np.int64)],
-            [np.frombuffer(x, np.int32)[order] if len(x) else np.zeros(0, np.int32) for x in (doc, times)],
+            [doc_[order], times_[order]],
         ]
         return pa.RecordBatch.from_arrays(
             [
@@ -150,9 +161,9 @@ def _index(shard_docs: int, shard_postings: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def new():
-            return [], [], {}, array("i"), array("i"), array("i")
+            return [], [], [], {}, array("i"), array("i"), array("i")
 
-        ids, lengths, names, word, doc, times = new()
+        ids, lengths, common, names, word, doc, times = new()
         for batch in batches:
             for id_, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 own = words(text)
@@ -162,11 +173,12 @@ def _index(shard_docs: int, shard_postings: int):
                 doc.extend([len(ids)] * len(found))
                 ids.append(id_)
                 lengths.append(len(own))
+                common.append(max(found, key=found.__getitem__) if found else "")
                 if len(ids) >= shard_docs or len(word) >= shard_postings:
-                    yield pack(ids, lengths, list(names), word, doc, times)
-                    ids, lengths, names, word, doc, times = new()
+                    yield pack(ids, lengths, common, list(names), word, doc, times)
+                    ids, lengths, common, names, word, doc, times = new()
         if ids:
-            yield pack(ids, lengths, list(names), word, doc, times)
+            yield pack(ids, lengths, common, list(names), word, doc, times)
 
     return run
 
@@ -180,7 +192,8 @@ class Shard:
 
     def __init__(self, row: dict, mean: float):
         self.place = {t: i for i, t in enumerate(row["terms"])}
-        self.ends = np.cumsum(row["sizes"], dtype=np.int64).tolist()
+        sizes = np.array(row["sizes"], np.int64)
+        self.ends = np.cumsum(sizes).tolist()
         self.ids, self.lengths = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["lengths"], np.int64)
         self.known = np.frombuffer(row["known"], bool)
         self.docs, times = np.frombuffer(row["docs"], np.int32), np.frombuffer(row["times"], np.int32)
@@ -189,36 +202,78 @@ class Shard:
         # Rank of a document among those of equal score: the smallest identifier is best, NULL is last.
         self.rank = np.empty(len(self.ids), dtype=np.int64)
         self.rank[np.lexsort((self.ids, ~self.known))] = np.arange(len(self.ids))
+        self.order = (-self.rank).tolist()
         self.postings: dict[int, Postings] = {}
-
-    def best(self, asked: list[tuple[str, float]], k: int) -> list[tuple[float, int]]:
-        """The k best (score, document) for words with their weights, in the order of words."""
+        # Blocks of a word's postings: those of RANGE neighbouring documents, with the greatest score of each.
+        block = self.docs // RANGE
+        word = np.repeat(np.arange(len(sizes)), sizes)
+        new = np.flatnonzero(np.diff(word, prepend=-1) | np.diff(block, prepend=-1)) if len(word) else np.zeros(0, np.int64)
+        self.first = np.append(new, len(word))
+        self.block = block[new].astype(np.int64)
+        self.most = np.maximum.reduceat(self.scores, new) if len(new) else np.zeros(0)
+        self.blocks_of = np.searchsorted(word[new], np.arange(len(sizes) + 1))
+        self.n_blocks = -(-len(self.ids) // RANGE)
+        self.skipped = 0
+
+    def best(self, asked: list[tuple[str, float]], k: int, bar: float = 0.0) -> list[tuple[float, int]]:
+        """The k best (score, document) for words with their weights, in the order of words. Documents under ``bar``,
+        the k-th best score that the query has elsewhere, may be left out."""
         own = [(self.place[t], w) for t, w in asked if t in self.place]
         if not own:
             return []
-        spans = [(self.ends[i - 1] if i else 0, self.ends[i]) for i, _ in own]
-        if len(own) <= WAND_WORDS:
+        if len(own) <= PIVOT_WORDS:
             lists = []
-            for (i, w), (x, y) in zip(own, spans, strict=True):
+            for i, w in own:
                 if i not in self.postings:
+                    x, y = self.ends[i - 1] if i else 0, self.ends[i]
                     self.postings[i] = Postings(self.docs[x:y].tolist(), self.scores[x:y].tolist())
                 lists.append((w, self.postings[i]))
-            return best_documents(lists, k, (-self.rank).tolist(), len(self.ids))
-        # Most documents have some word of a long query: all are scored at once, added in the order of words.
-        weights = np.repeat([w for _, w in own], [y - x for x, y in spans])
-        docs = np.concatenate([self.docs[x:y] for x, y in spans])
-        total = np.bincount(docs, weights * np.concatenate([self.scores[x:y] for x, y in spans]), len(self.ids))
-        found = np.flatnonzero(total > 0)
-        if len(found) > k:
-            bar = np.partition(total, len(total) - k)[len(total) - k]
-            found = found[total[found] >= bar]
-        found = found[np.lexsort((self.rank[found], -total[found]))][:k]
-        return list(zip(total[found].tolist(), found.tolist(), strict=True))
+            return best_documents(lists, k, self.order, len(self.ids))
+        return self._by_blocks(own, k, bar)
+
+    def _by_blocks(self, own: list[tuple[int, float]], k: int, bar: float) -> list[tuple[float, int]]:
+        """For many words a pivot would stand at nearly every document. The bounds of all blocks are added up at once;
+        blocks are scored from the greatest bound down, a few and then twice as many at a time, until no bound that is
+        left reaches the k-th best score."""
+        words, weights = np.array([i for i, _ in own]), np.array([w for _, w in own])
+        count = self.blocks_of[words + 1] - self.blocks_of[words]
+        entry = np.repeat(self.blocks_of[words] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        weight = np.repeat(weights, count)
+        bound = np.bincount(self.block[entry], weight * self.most[entry], self.n_blocks)
+        slack = 1 + 1e-9  # bounds and scores are added in different orders
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        at, size = 0, max(2, k // RANGE + 1)
+        while at < len(order) and bound[order[at]] * slack >= bar:
+            part = order[at : at + size]
+            part = part[bound[part] * slack >= bar]
+            wanted = np.zeros(self.n_blocks, bool)
+            wanted[part] = True
+            e = np.flatnonzero(wanted[self.block[entry]])
+            x, y = self.first[entry[e]], self.first[entry[e] + 1]
+            length = y - x
+            posting = np.repeat(x - (np.cumsum(length) - length), length) + np.arange(length.sum())
+            # Entries are in the order of the query's words, and so are the parts of each document's score.
+            total = np.bincount(self.docs[posting], np.repeat(weight[e], length) * self.scores[posting], len(self.ids))
+            docs = np.flatnonzero(total)
+            found.append((total[docs], docs))
+            scores = np.concatenate([s for s, _ in found])
+            if len(scores) >= k:
+                bar = max(bar, float(np.partition(scores, len(scores) - k)[len(scores) - k]))
+            at, size = at + size, 2 * size
+        self.skipped += len(order) - min(at, len(order))
+        if not found:
+            return []
+        scores, docs = (np.concatenate(x) for x in zip(*found, strict=True))
+        chosen = np.lexsort((self.rank[docs], -scores))[:k]
+        return list(zip(scores[chosen].tolist(), docs[chosen].tolist(), strict=True))
 
 
 def _search(mean: float, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks: dict[int, list] = {}  # the pass has one
+        bars: dict[str, float] = {}  # the k-th best score that a query has in a shard before, if it has k there
         name, shard = None, None
         for batch in batches:
             for i in range(batch.num_rows):
@@ -231,7 +286,10 @@ def _search(mean: float, k: int):
                     blocks[number] = [(x["key"], [(sys.intern(y["t"]), y["w"]) for y in x["asked"]]) for x in at["queries"][i].as_py()]
                 keys, ids, scores = [], [], []
                 for key, asked in blocks[number]:
-                    for score, doc in shard.best(asked, k):
+                    best = shard.best(asked, k, bars.get(key, 0.0))
+                    if len(best) == k:
+                        bars[key] = max(bars.get(key, 0.0), best[-1][0])
+                    for score, doc in best:
                         keys.append(key)
                         ids.append(int(shard.ids[doc]) if shard.known[doc] else None)
                         scores.append(score)
