@@ -679,10 +679,11 @@ def test_registered_against_sql(name, spark, small):
     assert difference(queries.QUERIES[name](spark, small), connect(small), queries.ORACLE_SQL[name]) is None
 
 
-def test_whole_documents_as_queries_skip_blocks():
+def test_whole_documents_as_queries_skip_blocks(monkeypatch):
     """Ranges of documents whose bounds don't reach the k-th best score are passed over, and nothing is lost."""
     import pyarrow as pa
 
+    monkeypatch.setattr(topk_search, "RANGE", 8)  # the shards are small
     rng = random.Random(6)
     rows = [(i, " ".join(rng.choice(SPOKEN[("en", "de")[i % 2]]) + str(rng.randint(0, 40)) for _ in range(rng.randint(3, 150)))) for i in range(900)]
     batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), pa.array([t for _, t in rows])], ["id", "text"])

@@ -48,6 +48,7 @@ from tiffin.session import stage
 WORD = re.compile(r"[^\W_]+")
 POSTINGS = 64
 K1, B = 1.2, 0.75
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 RANGE = 32  # neighbouring documents that a block is about
 PIVOT_WORDS = 8  # words up to which the pivot is moved document by document
 
@@ -244,10 +245,11 @@ class Shard:
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
         found: list[tuple[np.ndarray, np.ndarray]] = []
-        at, size = 0, max(2, k // RANGE + 1)
+        at, size, scored = 0, max(2, k // RANGE + 1), 0
         while at < len(order) and bound[order[at]] * slack >= bar:
             part = order[at : at + size]
             part = part[bound[part] * slack >= bar]
+            scored += len(part)
             wanted = np.zeros(self.n_blocks, bool)
             wanted[part] = True
             e = np.flatnonzero(wanted[self.block[entry]])
@@ -262,7 +264,7 @@ class Shard:
             if len(scores) >= k:
                 bar = max(bar, float(np.partition(scores, len(scores) - k)[len(scores) - k]))
             at, size = at + size, 2 * size
-        self.skipped += len(order) - min(at, len(order))
+        self.skipped += len(order) - scored
         if not found:
             return []
         scores, docs = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -346,13 +348,15 @@ def search(
     block = F.pmod(F.xxhash64("key"), F.lit(count)).alias("block")
     blocks = stage(grouped.groupBy(block).agg(F.collect_list(F.struct("key", "asked")).alias("queries")), "blocks")
     # A pass brings one block of queries to every shard. Its result is written, so that one block is in memory at a time.
-    parts = [
-        stage(
-            index.crossJoin(F.broadcast(blocks.where(F.col("block") == i))).mapInArrow(_search(mean, k), "key string, id bigint, score double"),
-            "found",
-        )
-        for i in range(count)
-    ]
+    spark, parts = docs.sparkSession, []
+    rows_at_once = spark.conf.get(BATCH)
+    spark.conf.set(BATCH, "1")  # a row is a whole shard and a block of queries: a task gets them one by one
+    try:
+        for i in range(count):
+            asked_now = index.crossJoin(F.broadcast(blocks.where(F.col("block") == i)))
+            parts.append(stage(asked_now.mapInArrow(_search(mean, k), "key string, id bigint, score double"), "found"))
+    finally:
+        spark.conf.set(BATCH, rows_at_once)
     best = Window.partitionBy("key").orderBy(F.desc("score"), F.col("id").asc_nulls_last())
     found = reduce(DataFrame.unionByName, parts).withColumn("rank", F.row_number().over(best).cast("bigint")).where(F.col("rank") <= k)
     return (
