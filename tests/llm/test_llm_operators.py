@@ -708,3 +708,15 @@ def test_whole_documents_as_queries_skip_blocks(monkeypatch):
         want = sorted((-score, i) for i, score in plain.items())[:5]
         assert [i for _, i in sorted(found)[:5]] == [i for _, i in want]
     assert skipped > 0
+
+
+def test_points_go_to_few_shards():
+    """Copies of a point over the shards that a quarter of a million random points are dealt to."""
+    rng = np.random.default_rng(7)
+    points = rng.integers(0, 1 << 64, 1 << 18, dtype=np.uint64)
+    root, shards = simhash.upper_tree(points[: simhash.SAMPLE], simhash.SPREAD)
+    at, leaf = simhash.route(root, points, 2)
+    assert shards == 1 << simhash.SPREAD and len(at) < 5 * len(points)
+    assert np.bincount(leaf, minlength=shards).max() < 3 * len(at) / shards
+    home_at, _ = simhash.route(root, points, 0)
+    assert sorted(home_at.tolist()) == list(range(len(points)))

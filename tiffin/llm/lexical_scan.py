@@ -249,6 +249,8 @@ def search(
         weights = spark.sparkContext.broadcast((holding, total, weight))
         found = rows.mapInArrow(_score(shared, weights, k), "key string, id bigint, score bigint, part bigint")
         parts.append(stage(_best_of(_best_of(found, k, "key", "part"), k, "key"), "found"))
+        shared.unpersist()  # the block's result is written
+        weights.unpersist()
     out = f"{item_id_col} bigint, rank int, {id_col} bigint, score bigint"
     if not parts:
         return spark.createDataFrame([], out)
