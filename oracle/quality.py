@@ -53,7 +53,7 @@ def _orphans(g: str) -> str:
 
 
 OLD = "SELECT OrderID FROM g1_orders WHERE Date_Time < TIMESTAMP '1997-01-01 00:00:00'"
-# Payments that brought nothing are gone before orders are purged.
+# What is deleted: payments that brought nothing are gone before orders are purged. What is blocked: every payment counts.
 COLLECTED = "(SELECT * FROM g1_payment WHERE Status IN ('Paid', 'Refunded'))"
 ORDER_HOLDERS = {
     "payment": "Order_ID",
@@ -74,7 +74,7 @@ FREE_WALLETS = "(SELECT Wallet_ID FROM g1_wallet WHERE Balance < 0 EXCEPT SELECT
 
 def quality_sql() -> dict[str, str]:
     held = " UNION ALL ".join(
-        f"SELECT DISTINCT {c} AS OrderID, '{t}' AS holder FROM {_holder(t)}" for t, c in ORDER_HOLDERS.items()
+        f"SELECT DISTINCT {c} AS OrderID, '{t}' AS holder FROM g1_{t}" for t, c in ORDER_HOLDERS.items()
     )
     return {
         "dq1_missing_values": _counts(

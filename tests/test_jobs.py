@@ -7,6 +7,7 @@ import pytest
 from market import at, collected, market, money, order, paid, restaurant, rows, users
 from pyspark.sql import functions as F
 
+import __spark_entry__ as registered
 from tiffin.jobs import checkout, deletion, intake, ledger, quality, rating, refunds
 from tiffin.operators import dense_numbers, numbering, snapshot_changes
 from tiffin.operators.numbering import number_range
@@ -270,6 +271,21 @@ def test_deletion_without_references(spark):
     assert [r.Cuisine for r in plan.apply(m)["cuisine"].collect()] == ["Cafe"]
 
 
+def test_every_payment_blocks_a_purge(spark, monkeypatch):
+    """A payment that failed holds its order like any other; only the query on what is deleted is asked without them."""
+    old = at(1).replace(year=1996)
+    m = market(
+        spark,
+        "gen1",
+        orders=[order(1, Date_Time=old), order(2, Date_Time=old), order(3, Date_Time=old), order(4)],
+        payment=[paid(1, 1, status="Failed"), paid(2, 2), paid(3, 4, status="Failed")],
+    )
+    monkeypatch.setattr(registered.StarSource, "marketplace", lambda self, generation: m)
+    run = lambda name: sorted(collected(registered.queries()[name](spark, "")))
+    assert run("dq6_order_purge_blocked") == [(1, "payment"), (2, "payment")]
+    assert run("dq6_order_purge_deleted") == [("orders", "1"), ("orders", "3")]
+
+
 def test_facts_by_month_are_pruned(spark, tmp_path):
     path = str(tmp_path / "orders")
     m = market(spark, "gen1", orders=[order(i, Date_Time=at(1, month=i)) for i in (1, 2, 3)])
