@@ -141,6 +141,35 @@ def test_two_feeds_share_one_clock(spark, folders):
     assert ledger_stream.late(spark, out).count() == 0
 
 
+def test_wallets_of_a_bucket_settle_in_one_call(spark, folders, monkeypatch):
+    """However many wallets share a bucket, one call settles them and none touches another, whatever its numbers."""
+    feed, out = folders
+    monkeypatch.setattr(ledger_stream, "BUCKETS", 1)
+    dice = random.Random(7)
+    events = [
+        (dice.randrange(300), START + timedelta(minutes=k), dice.randrange(2), 2**60 + k, dice.randrange(1, 400), k % 7)
+        for k in range(1500)
+    ]
+    opening = {}
+    for e in events:
+        opening.setdefault(e[0], e[5])
+    events = [(*e[:5], opening[e[0]]) for e in events]
+    odd = [(1000, START, 0, None, 5, 0), (1001, None, 0, 1, 5, 0)]
+    drop(spark, feed, events[:700] + odd, ledger.EVENTS)
+    drop(spark, feed, events[700:] + events[690:710], ledger.EVENTS)  # some are sent again
+    run = lambda: ledger_stream.start([follow(spark, feed, ledger.EVENTS)], out, "2 days", 3_600_000, stores=2)
+    run().awaitTermination()
+    ledger_stream.tick(spark, out)
+    query = run()
+    query.awaitTermination()
+    assert sum(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]) <= 60  # 25 slots, one balance
+    batch = {tuple(r) for r in ledger.settle_events(spark, spark.createDataFrame(events, ledger.EVENTS)).collect()}
+    streamed = ledger_stream.settled(spark, out)
+    assert {tuple(r) for r in streamed.where("Wallet_ID < 1000").collect()} == batch
+    assert streamed.count() == len(batch) + 1
+    assert [r.Wallet_ID for r in ledger_stream.late(spark, out).collect()] == [1001]
+
+
 def test_wallet_debits_do_not_depend_on_files(spark, small, tmp_path):
     """The registered stream gives the same rows from one file and from 24 files in no order."""
     import __spark_entry__ as registered

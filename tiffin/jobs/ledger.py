@@ -111,20 +111,17 @@ def advance(debit: np.ndarray, cents: np.ndarray, opening: int) -> tuple[np.ndar
     return accepted, balance
 
 
-def _settled_slice(rows: pd.DataFrame) -> pd.DataFrame:
-    """All events of a slice, wallet by wallet."""
-    columns = {c: rows[c].to_numpy() for c in ("Wallet_ID", *ORDER, "cents", "opening")}
-    keys = [columns["Wallet_ID"], columns["at"].view("int64"), columns["kind"], columns["id"]]
-    order = np.lexsort(keys[::-1])  # as Spark sorts: a missing time comes first
-    columns = {c: values[order] for c, values in columns.items()}
-    wallet, debit, cents = columns["Wallet_ID"], columns["kind"] == DEBIT, columns["cents"]
-
+def advance_all(
+    wallet: np.ndarray, debit: np.ndarray, cents: np.ndarray, opening: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """``advance`` for many wallets: events wallet by wallet, each wallet's in order. ``opening`` is by event; the one
+    at a wallet's first event counts."""
     # Running balances as if every debit were accepted.
     first = np.flatnonzero(np.r_[True, wallet[1:] != wallet[:-1]])
     member = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(wallet)]))
     signed = np.where(debit, -cents, cents)
     balance = np.cumsum(signed)
-    balance += (columns.pop("opening")[first] - balance[first] + signed[first])[member]
+    balance += (opening[first] - balance[first] + signed[first])[member]
     accepted = np.ones(len(wallet), dtype=bool)
 
     # Wallets with an uncovered debit are settled from there on.
@@ -134,6 +131,17 @@ def _settled_slice(rows: pd.DataFrame) -> pd.DataFrame:
         accepted[start:end], balance[start:end] = advance(
             debit[start:end], cents[start:end], int(balance[start] - signed[start])
         )
+    return accepted, balance
+
+
+def _settled_slice(rows: pd.DataFrame) -> pd.DataFrame:
+    """All events of a slice, wallet by wallet."""
+    columns = {c: rows[c].to_numpy() for c in ("Wallet_ID", *ORDER, "cents", "opening")}
+    keys = [columns["Wallet_ID"], columns["at"].view("int64"), columns["kind"], columns["id"]]
+    order = np.lexsort(keys[::-1])  # as Spark sorts: a missing time comes first
+    columns = {c: values[order] for c, values in columns.items()}
+    opening = columns.pop("opening")
+    accepted, balance = advance_all(columns["Wallet_ID"], columns["kind"] == DEBIT, columns["cents"], opening)
     return pd.DataFrame({**columns, "accepted": accepted, "balance": balance})
 
 
