@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tiffin.functions import half_up_ratio, joined_sorted, label_month, sum_where, whole_hours, whole_minutes
+from tiffin.session import tune
 
 
 def exact(n, d, places):
@@ -69,3 +70,25 @@ def test_group_helpers(spark):
         sum_where(F.col("c") == "b", F.col("v")).alias("v")
     ).orderBy("k").collect()
     assert [tuple(r) for r in rows] == [(1, "a,b", 2, 2), (2, None, 0, 0)]
+
+
+def test_a_tuned_session_bounds_what_a_task_gets(spark):
+    """Larger inputs make more tasks: files are split and blocks joined to a few MB whatever the session had."""
+    names = ["spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes"]
+    for name in names:
+        spark.conf.set(name, "128m")
+    tune(spark)
+    assert [spark.conf.get(name) for name in names] == ["8m", "16m"]
+
+
+def test_a_table_is_read_in_bounded_parts(spark, tmp_path):
+    """A file of many row groups goes to as many tasks as its bytes ask for, not to one a core."""
+    folder = str(tmp_path / "t")
+    rows = spark.range(0, 4_000_000, 1, 1).select(F.xxhash64("id").alias("h"), F.xxhash64("id", F.lit(1)).alias("g"))
+    rows.write.option("parquet.block.size", 2**20).option("compression", "none").parquet(folder)
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        parts = tune(spark).read.schema("h bigint, g bigint").parquet(folder).rdd.getNumPartitions()
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert parts >= 4  # 64 MB
