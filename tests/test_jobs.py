@@ -271,6 +271,26 @@ def test_deletion_without_references(spark):
     assert [r.Cuisine for r in plan.apply(m)["cuisine"].collect()] == ["Cafe"]
 
 
+def test_holders_of_a_row_are_met_in_one_join(spark):
+    """Every table that holds a row is named, once, however often and by however many rows it holds it."""
+    m = market(
+        spark,
+        "gen1",
+        orders=[order(i) for i in (1, 2, 3, 4)],
+        payment=[paid(1, 1), paid(2, 2), dict(paid(3, 3), Order_ID=None)],
+        delivery=[dict(Delivery_ID=i, OrderID=o) for i, o in [(1, 1), (2, 4)]],
+        complaint=[dict(Complaint_ID=i, OrderID=o) for i, o in [(1, 1), (2, 1), (3, None)]],
+        refund=[dict(Refund_ID=1, OrderID=1)],
+        order_item=[dict(OrderID=o, Item_ID=1) for o in (1, 3)],
+    )
+    plan = deletion.plan_deletion(m, "orders", m["orders"].where("OrderID <> 4"))
+    blocked = {r.OrderID: r.needed_by for r in plan.blocked.collect()}
+    assert blocked == {1: ["complaint", "delivery", "payment", "refund"], 2: ["payment"]}
+    assert remaining(plan.apply(m))["order_item"] == [1]
+    joins = plan.blocked._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+    assert joins == 2  # the requests and what holds them, not one for each table
+
+
 def test_every_payment_blocks_a_purge(spark, monkeypatch):
     """A payment that failed holds its order like any other; only the query on what is deleted is asked without them."""
     old = at(1).replace(year=1996)

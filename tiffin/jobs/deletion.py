@@ -43,20 +43,33 @@ def _referring(m: Marketplace, reached: DataFrame, child: str, reference) -> Dat
     return attach(m[child], targets, list(reference.columns))
 
 
-def _holders(m: Marketplace, reached: DataFrame, child: str, reference) -> DataFrame:
-    """Requests protected by ``child``. Only its distinct references matter, so hot ones fold before the join."""
-    targets = reached.select(
-        "_request", *[F.col(p).alias(c) for p, c in zip(reference.parent_columns, reference.columns, strict=True)]
-    )
-    used = m[child].select(*reference.columns).distinct()
-    held = targets.join(used, list(reference.columns), "left_semi")
-    return held.select("_request", F.lit(child).alias("_holder"))
+def _holders(m: Marketplace, reached: DataFrame, references: list, bits: dict[str, int]) -> list[DataFrame]:
+    """Requests protected by rows that refer to reached ones, with the tables of those rows as a mask of ``bits``.
+
+    References to the same parent columns are folded together: each value is moved once by every table that has it, and
+    met with the reached rows once, however many tables may hold them.
+    """
+    found = []
+    for parent_columns in dict.fromkeys(r.parent_columns for _, r in references):
+        used = [
+            m[child].select(
+                *[F.col(c).alias(p) for p, c in zip(parent_columns, r.columns, strict=True)],
+                F.lit(1 << bits[child]).cast("bigint").alias("_mask"),
+            )
+            for child, r in references
+            if r.parent_columns == parent_columns
+        ]
+        masks = reduce(DataFrame.unionByName, used).groupBy(*parent_columns).agg(F.bit_or("_mask").alias("_mask"))
+        held = reached.select("_request", *parent_columns).join(masks, list(parent_columns))
+        found.append(held.select("_request", "_mask"))
+    return found
 
 
 def plan_deletion(m: Marketplace, name: str, keys: DataFrame) -> Deletion:
     """What deleting the rows of table ``name`` with the given primary keys does."""
     key = list(m.model[name].key)
     request = F.struct(*key).alias("_request")
+    bits = {table: n for n, table in enumerate(sorted(m.names))}
     rows = m[name].join(keys.select(*key).distinct(), key, "left_semi").select("*", request)
     reached: dict[str, list[DataFrame]] = {}
     holders = []
@@ -64,12 +77,13 @@ def plan_deletion(m: Marketplace, name: str, keys: DataFrame) -> Deletion:
     while frontier:
         table, frame = frontier.pop()
         reached.setdefault(table, []).append(frame.select("_request", *m.model[table].key))
-        holders += [_holders(m, frame, child, r) for child, r in _edges(m, table, "restrict")]
+        holders += _holders(m, frame, _edges(m, table, "restrict"), bits)
         frontier += [(child, _referring(m, frame, child, r)) for child, r in _edges(m, table, "cascade")]
 
     if holders:
-        held = reduce(DataFrame.unionByName, holders).groupBy("_request")
-        held = held.agg(F.array_sort(F.collect_set("_holder")).alias("needed_by"))
+        held = reduce(DataFrame.unionByName, holders).groupBy("_request").agg(F.bit_or("_mask").alias("_mask"))
+        names = [F.when(F.getbit("_mask", F.lit(n)) == 1, table) for table, n in bits.items()]
+        held = held.select("_request", F.array_compact(F.array(*names)).alias("needed_by"))
     else:
         held = rows.select("_request", F.array().cast("array<string>").alias("needed_by")).limit(0)
     deleted = {
