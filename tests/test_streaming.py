@@ -154,7 +154,7 @@ def test_wallets_of_a_bucket_settle_in_one_call(spark, folders, monkeypatch):
     for e in events:
         opening.setdefault(e[0], e[5])
     events = [(*e[:5], opening[e[0]]) for e in events]
-    odd = [(1000, START, 0, None, 5, 0), (1001, None, 0, 1, 5, 0)]
+    odd = [(1000, START, 0, None, 5, 0), (1001, None, 0, 1, 5, 0), (None, START, None, None, None, None)]
     drop(spark, feed, events[:700] + odd, ledger.EVENTS)
     drop(spark, feed, events[700:] + events[690:710], ledger.EVENTS)  # some are sent again
     run = lambda: ledger_stream.start([follow(spark, feed, ledger.EVENTS)], out, "2 days", 3_600_000, stores=2)
@@ -170,6 +170,13 @@ def test_wallets_of_a_bucket_settle_in_one_call(spark, folders, monkeypatch):
     assert [r.Wallet_ID for r in ledger_stream.late(spark, out).collect()] == [1001]
 
 
+def test_a_wallet_event_without_an_amount_stops_the_stream(spark, folders):
+    feed, out = folders
+    drop(spark, feed, [(1, START, 0, 1, 5, 0), (2, START, 0, 2, None, 0)], ledger.EVENTS)
+    with pytest.raises(Exception, match="a wallet event has no cents"):
+        ledger_stream.start([follow(spark, feed, ledger.EVENTS)], out, "1 hour", 60_000, stores=1).awaitTermination()
+
+
 def test_wallet_debits_do_not_depend_on_files(spark, small, tmp_path):
     """The registered stream gives the same rows from one file and from 24 files in no order."""
     import __spark_entry__ as registered
