@@ -519,6 +519,24 @@ def test_token_pieces_are_the_librarys_in_any_order():
     assert again == got == list(token_files.WordwiseEncoder(path, "<u2").encode(texts))
 
 
+def test_marks_at_the_end_and_letters_of_any_case_take_no_call_of_their_own(monkeypatch):
+    """A word with marks behind it is looked up without them; only what is neither is encoded by itself."""
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path()
+    letters = "".join(c for c in map(chr, range(128, 0x250)) if c.isalpha())
+    texts = ["Word%%% word*** WORD!? É&&& é# (a) a) b'. c.' d's!", "<|endoftext|> x<|endoftext|>, y|>", " \x1c ", "", "a\u0301% =\u0338% a=\u0338 x! \u0338"]
+    texts += [letters, " ".join(letters), " ".join(f"{c}{m} x" for c in letters for m in ("%", "..", "'!"))]
+    encoder, library, alone = token_files.WordwiseEncoder(path, "<u2"), Tokenizer.from_file(path), []
+    assert encoder.marks and encoder.bare_letters
+    fast = encoder._fast
+    monkeypatch.setattr(encoder, "_fast", lambda part, *by: (alone.extend(part) if not by else None) or fast(part, *by))
+    assert list(encoder.encode(["caf\u00e9%%% Caf\u00c9&&& plain### x's"])) and sorted(alone) == [b"###", b"%%%", b"&&&", b"x's"]
+    got = [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(texts)]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert list(encoder.encode([None, ""])) == [b"", b""] and list(encoder.encode([])) == []
+
+
 def test_a_tokenizer_that_does_not_split_at_white_space_gets_whole_texts(tmp_path):
     from tokenizers import Tokenizer, models
 

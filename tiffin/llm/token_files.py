@@ -30,6 +30,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -42,9 +43,12 @@ NULL_ID = -(1 << 63)
 CACHED_WORDS = 1 << 19
 
 
-# A full stop or comma after a letter of a-z or Latin-1 and before white space: a piece of its own for a tokenizer that
+# A run of ASCII marks after a letter of a-z or Latin-1 and before white space: a piece of its own for a tokenizer that
 # splits letters from marks, whatever else the word has.
-_MARK = re.compile(rb"[.,](?=[ \t-\r]|\Z)(?:(?<=[A-Za-z].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))")
+_MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
+_MARK = re.compile(
+    rb"[!-/:-@\[-`{-~](?:(?<=[A-Za-z].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))[!-/:-@\[-`{-~]*+(?=[ \t-\r]|\Z)"
+)
 _PROBES = ("ab cd", "a  b\n\nc", "x\ty", "don't 12 3a", "\u00e9. \u0130 \u0301a", ". .", "## a-b\r\n(c) ")
 
 
@@ -60,7 +64,7 @@ class WordwiseEncoder:
 
     def __init__(self, path: str, dtype: str):
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import WhitespaceSplit
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer, self.dtype = Tokenizer.from_file(path), dtype
@@ -68,7 +72,8 @@ class WordwiseEncoder:
         self.older: dict[bytes, bytes] = {}
         self.wordwise = all(self._plain(p) == [i for w in p.encode().split() for i in self._plain(w.decode())] for p in _PROBES)
         self.lower = self._plain("AB Cd's \u00c9B") == self._plain("ab cd's \u00c9b")
-        self.marks = all(self._plain(f"{w}{m} x") == self._plain(f"{w} {m} x") for w in ("ab", "'s", "3a", "\u00e9") for m in ".,")
+        runs = [*_MARKS, *(a + b for a in _MARKS for b in "'.#")]
+        self.marks = all(self._plain(f"{w}{m} x") == self._plain(f"{w} {m} x") for w in ("ab", "'s", "3a", "\u00e9") for m in runs)
         added = self.tokenizer.get_added_tokens_decoder().values()
         self.added = [t.content.lower().encode() for t in added if t.content]
         # Which identifiers end a word, if the tokenizer marks the ends of words.
@@ -83,6 +88,14 @@ class WordwiseEncoder:
         bare.normalizer, bare.pre_tokenizer = None, WhitespaceSplit()
         same = all(bare.encode(p, add_special_tokens=False).ids == self._plain(p) for p in ("ab cd", "the quick brown fox zzzqx"))
         self.bare = bare if same else self.tokenizer
+        # Other letters as well, once they are in lower case: tried with every one of them.
+        every = " ".join(c for c in map(chr, range(128, 0x250)) if _letters(c.encode()))
+        self.bare_letters = Tokenizer.from_file(path)
+        self.bare_letters.normalizer = None
+        self.bare_letters.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
+        probes = (every, "caf\u00e9 \u00dcber", "na\u00efve\u00c9 \u0160koda")
+        if any(self.bare_letters.encode(p.lower(), add_special_tokens=False).ids != self._plain(p) for p in probes):
+            self.bare_letters = None
 
     def _plain(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -96,32 +109,54 @@ class WordwiseEncoder:
         return np.array(ids, dtype=self.dtype).tobytes()
 
     def encode(self, texts: list[str | bytes | None]) -> Iterator[bytes]:
-        """Identifiers of each text (UTF-8 if it is bytes). Texts are split in groups of about a million bytes, so
-        that their words take little memory."""
+        """Identifiers of each text (UTF-8 if it is bytes). Texts are split in groups of about four million bytes, so
+        that their words take little memory and each is looked up once a group."""
         coded = (t if isinstance(t, bytes) else utf8(t) for t in texts)
         if not self.wordwise:
             yield from (self._ids(self._plain(t.decode("utf-8", "replace"))) for t in coded)
             return
         group, size = [], 0
         for text in coded:
-            group.append(self._pieces(text))
+            group.append(self._prepared(text))
             size += len(text)
-            if size >= 1 << 20:
+            if size >= 1 << 22:
                 yield from self._group(group)
                 group, size = [], 0
-        yield from self._group(group)
+        if group:
+            yield from self._group(group)
 
-    def _pieces(self, data: bytes) -> list[bytes]:
-        if self.lower:
-            low = data.lower()
-            if not any(t in low for t in self.added):  # tokens that the library finds as they are written
-                data = low
-        return (_MARK.sub(rb" \g<0>", data) if self.marks else data).split()
+    def _prepared(self, data: bytes) -> bytes:
+        """The text with its pieces between white space."""
+        if any(t in (low := data.lower()) for t in self.added):  # tokens that the library finds as they are written
+            return data
+        data = low if self.lower else data
+        return _MARK.sub(rb" \g<0>", data) if self.marks else data
 
-    def _group(self, pieces: list[list[bytes]]) -> list[bytes]:
+    def _group(self, texts: list[bytes]) -> Iterator[bytes]:
         if len(self.known) > CACHED_WORDS // 2:
             self.known, self.older = {}, self.known
-        new = set().union(*pieces).difference(self.known)
+        # Only ASCII white space counts here, and bytes that aren't UTF-8 are left as they are.
+        lists = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).view(pa.large_string()))
+        coded = lists.flatten().dictionary_encode()
+        _, places, data = coded.dictionary.buffers()
+        at = np.frombuffer(places, np.int64)[: len(coded.dictionary) + 1].tolist() if len(coded.dictionary) else [0]
+        distinct = list(map((data.to_pybytes() if data else b"").__getitem__, map(slice, at[:-1], at[1:])))
+        self._learn(distinct)
+        ids = list(map(self.known.__getitem__, distinct))
+        pool = np.frombuffer(b"".join(ids), self.dtype)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // np.dtype(self.dtype).itemsize
+        codes = coded.indices.to_numpy()
+        count = sizes[codes]
+        ends = np.append(0, np.cumsum(count))
+        found = pool[np.arange(ends[-1]) + np.repeat((np.cumsum(sizes) - sizes)[codes] - ends[:-1], count)]
+        cuts = ends[lists.offsets.to_numpy()].tolist()
+        for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+            yield found[x:y].tobytes()
+
+    def _learn(self, distinct: list[bytes]) -> None:
+        """Look up the pieces that aren't known, or encode them."""
+        self.known[b""] = b""
+        new = set(distinct).difference(self.known)
         used = [w for w in new if w in self.older]
         self.known.update(zip(used, map(self.older.__getitem__, used), strict=True))
         rest = self._learn_letters(new.difference(used))
@@ -131,8 +166,6 @@ class WordwiseEncoder:
             every = self._ids([x for ids in found for x in ids])
             at = np.concatenate([[0], np.cumsum([len(ids) for ids in found])]) * np.dtype(self.dtype).itemsize
             self.known.update(zip(part, map(every.__getitem__, map(slice, at[:-1].tolist(), at[1:].tolist())), strict=True))
-        get = self.known.__getitem__
-        return [b"".join(map(get, own)) for own in pieces]
 
     def _learn_letters(self, new: set[bytes]) -> list[bytes]:
         """Pieces that are letters only, many in one call: a token with the end-of-word suffix ends a piece. Returns
@@ -143,10 +176,13 @@ class WordwiseEncoder:
         letters = [w for w in new.difference(simple) if w.isalpha() or not w.isascii() and _letters(w)]
         rest = list(new.difference(simple, letters))
         width = np.dtype(self.dtype).itemsize
-        for words, tokenizer in ((simple, self.bare), (letters, self.tokenizer)):
+        for words, tokenizer in ((simple, self.bare), (letters, self.bare_letters)):
             for i in range(0, len(words), 1024):
                 part = words[i : i + 1024]
-                ids = np.array(self._fast([b" ".join(part)], tokenizer)[0], dtype=np.int64)
+                joined = b" ".join(part)
+                if tokenizer is not self.bare and tokenizer:
+                    joined = joined.decode("utf-8", "replace").lower().encode()
+                ids = np.array(self._fast([joined], tokenizer)[0], dtype=np.int64)
                 cut = (np.flatnonzero(self.ends[ids]) + 1).tolist()
                 if len(cut) != len(part):
                     rest += part
