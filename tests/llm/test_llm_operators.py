@@ -728,6 +728,33 @@ def test_whole_documents_as_queries_skip_blocks(monkeypatch):
     assert skipped > 0
 
 
+def test_a_block_of_queries_is_packed_and_a_task_hands_on_k_rows_a_query():
+    """Words of a block are there once, words and weights as bytes; shards of a task are merged before they leave it."""
+    import pyarrow as pa
+
+    rows = [(i if i % 7 else None, f"red w{i} w{i % 5} apple" + " pear" * (i % 3)) for i in range(60)]
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), pa.array([t for _, t in rows])], ["id", "text"])
+    shards = [b.to_pylist()[0] for b in topk_search._index(20, 1 << 20)(iter([batch]))]
+    assert len(shards) == 3 and all(isinstance(s[x], bytes) for s in shards for x in ("terms", "sizes", "docs"))
+    asked = {f"k{q}": [{"t": t, "w": 1.0 + len(t)} for t in sorted({"apple", "pear", f"w{q}", "red", "none"})] for q in range(9)}
+    kind = pa.list_(pa.struct([("t", pa.string()), ("w", pa.float64())]))
+    table = pa.table({"block": pa.array([0] * 9, pa.int64()), "key": list(asked), "asked": pa.array(asked.values(), kind)})
+    block = topk_search._pack(table).to_pylist()
+    assert len(block) == 1 and Counter(block[0]["vocabulary"].decode().split()).most_common(1)[0][1] == 1
+    assert len(block[0]["weights"]) == 8 * sum(map(len, asked.values()))
+    mean = sum(s["words"] for s in shards) / 60
+    given = (pa.RecordBatch.from_pylist([s | block[0]]) for s in shards)
+    got = [r for b in topk_search._search(mean, 4)(given) for r in b.to_pylist()]
+    assert Counter(r["key"] for r in got) == {key: 4 for key in asked}
+    for key, pairs in asked.items():
+        scored = []
+        for row in shards:
+            shard = topk_search.Shard(row, mean)
+            scored += [(-s, not shard.known[d], int(shard.ids[d])) for s, d in shard.best([(p["t"], p["w"]) for p in pairs], 60)]
+        mine = [(-r["score"], r["id"] is None, r["id"] or 0) for r in got if r["key"] == key]
+        assert mine == sorted(scored)[:4]
+
+
 def test_points_go_to_few_shards():
     """Copies of a point over the shards that a quarter of a million random points are dealt to."""
     rng = np.random.default_rng(7)
