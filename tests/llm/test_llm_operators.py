@@ -547,6 +547,18 @@ def test_a_tokenizer_that_does_not_split_at_white_space_gets_whole_texts(tmp_pat
     assert [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(["a b", "ab", None])] == [[3], [0, 1], []]
 
 
+def test_a_tokenizer_without_added_tokens(tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    path = str(tmp_path / "bare.json")
+    made = Tokenizer(models.BPE(vocab={x: i for i, x in enumerate(["a", "b", "A", ".", "ab", "é"])}, merges=[("a", "b")]))
+    made.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    made.save(path)
+    encoder, texts = token_files.WordwiseEncoder(path, "<u2"), ["ab Ab. a\n.b é ab.", "", "É a"]
+    assert encoder.wordwise and not encoder.added and not encoder.lower
+    assert [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(texts)] == [made.encode(t).ids for t in texts]
+
+
 def test_wide_identifiers(tmp_path):
     assert token_files.id_type(queries.tokenizer_path(), 70_000) == "<u4"
 

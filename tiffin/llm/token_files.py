@@ -127,7 +127,8 @@ class WordwiseEncoder:
 
     def _prepared(self, data: bytes) -> bytes:
         """The text with its pieces between white space."""
-        if any(t in (low := data.lower()) for t in self.added):  # tokens that the library finds as they are written
+        low = data.lower()
+        if any(t in low for t in self.added):  # tokens that the library finds as they are written
             return data
         data = low if self.lower else data
         return _MARK.sub(rb" \g<0>", data) if self.marks else data
