@@ -777,3 +777,98 @@ def test_points_go_to_few_shards():
     assert np.bincount(leaf, minlength=shards).max() < 3 * len(at) / shards
     home_at, _ = simhash.route(root, points, 0)
     assert sorted(home_at.tolist()) == list(range(len(points)))
+
+
+def _shards(rows, shard_docs, mean):
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), pa.array([t for _, t in rows])], ["id", "text"])
+    found = [r for b in topk_search._index(shard_docs, 1 << 20)(iter([batch])) for r in b.to_pylist()]
+    return [topk_search.Shard(r, mean) for r in found]
+
+
+def test_a_document_has_the_same_score_in_any_shard():
+    """Whether a query's words are few or many in a shard, the parts of a score are added in one way."""
+    weights = [0.1 + 1 / 3**i for i in range(1, 10)]
+    asked = [(f"w{i}", w) for i, w in enumerate(weights)]
+    text = " ".join(t for t, _ in asked[:8])
+    (few,), (many,) = _shards([(1, text)], 9, 8.0), _shards([(2, text), (3, "w8")], 9, 8.0)
+    plain = 0.0
+    for place, (_, w) in enumerate(asked[:8]):
+        plain += w * few.scores[place]
+    assert few.best(asked, 1)[0][0] == many.best(asked, 1)[0][0] == plain
+
+
+def test_blocks_are_scored_for_many_queries_at_once(monkeypatch):
+    """Queries asked together get what each gets alone, with and without a bar, whatever share of words goes by lists;
+    few blocks are left once the k-th best score is known."""
+    monkeypatch.setattr(topk_search, "RANGE", 8)
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice(SPOKEN[("en", "de")[i % 2]]) + str(rng.randint(0, 9) ** 2) for _ in range(rng.randint(9, 120)))) for i in range(300)]
+    rows += [(i + 1000, t) for i, t in rows[:40]]
+    (shard,) = _shards(rows, 1000, 60.0)
+    asked = []
+    for _, text in rows[::11]:
+        own = [(shard.place[w], 1.0 + len(w)) for w in sorted(set(topk_search.words(text)))]
+        asked.append((np.array([i for i, _ in own]), np.array([w for _, w in own])))
+    asked += [(w[:3], x[:3]) for w, x in asked[:4]]
+    assert min(len(w) for w, _ in asked) <= topk_search.PIVOT_WORDS < max(len(w) for w, _ in asked)
+    want = []
+    for places, weights in asked:
+        plain = Counter()
+        for i, w in zip(places, weights, strict=True):
+            for at in range(shard.ends[i] - shard.sizes[i], shard.ends[i]):
+                plain[int(shard.docs[at])] += w * shard.scores[at]
+        want.append(sorted(((-s, -shard.order[d]) for d, s in plain.items()))[:5])
+    for cost, most in ((topk_search.LIST_COST, topk_search.FREQUENT), (0.01, 7), (1e9, 3)):
+        monkeypatch.setattr(topk_search, "LIST_COST", cost)
+        monkeypatch.setattr(topk_search, "FREQUENT", most)
+        for bars in ([0.0] * len(asked), [-x[-1][0] for x in want]):
+            got = shard.best_of(asked, 5, bars)
+            assert [[(-s, -shard.order[d]) for s, d in g][:5] for g in got] == want
+    shard.skipped = 0
+    shard.best_of(asked, 5, [0.0] * len(asked))
+    without, shard.skipped = shard.skipped, 0
+    shard.best_of(asked, 5, [-x[-1][0] for x in want])
+    assert 0 < without < shard.skipped
+
+
+def test_shards_hold_documents_that_are_alike():
+    rows = [(i, " ".join(["the", "der"][i % 2] for _ in range(4)) + f" w{i}") for i in range(60)]
+    for shard in _shards(rows, 30, 5.0):
+        assert len({int(i) % 2 for i in shard.ids}) == 1
+
+
+def test_a_known_score_spares_other_shards(spark, monkeypatch):
+    """Some shards are asked first; the others hand on no document under the k-th best score found there."""
+    asked = []
+    search = topk_search._search
+
+    def spy(*args):
+        asked.append(args)
+        return search(*args)
+
+    monkeypatch.setattr(topk_search, "_search", spy)
+    rows = [(i, f"apple pear w{i % 7} " + "plum " * (i % 5)) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = topk_search.search(docs, docs.where("doc_id % 50 = 0"), k=3, query_id_col="doc_id", shard_docs=5)
+    whole = topk_search.search(docs, docs.where("doc_id % 50 = 0"), k=3, query_id_col="doc_id", shard_docs=1000)
+    assert len(asked) == 3  # two over 40 shards, one over few
+    key = lambda r: (r["query"], r["rank"], r["doc_id"], r["score"])
+    assert sorted(map(key, got.toDF("query", "rank", "doc_id", "score").collect())) == sorted(map(key, whole.toDF("query", "rank", "doc_id", "score").collect()))
+    block = {"led": "a", "bars": [1e9], "keys": b"a b", "vocabulary": b"apple", "ends": np.array([1, 2]).tobytes()}
+    block |= {"numbers": np.zeros(2, np.int32).tobytes(), "weights": np.ones(2).tobytes()}
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows]), pa.array([t for _, t in rows])], ["id", "text"])
+    (shard,) = [r for b in topk_search._index(1000, 1 << 20)(iter([batch])) for r in b.to_pylist()]
+    found = [r["key"] for b in search(5.0, 3)(iter([pa.RecordBatch.from_pylist([shard | block])])) for r in b.to_pylist()]
+    assert found == ["b"] * 3
+
+
+def test_words_are_runs_of_letters_and_digits():
+    rng = random.Random(4)
+    texts = ["It's a_b 3½ İΣ x y z ß² 中文。", "", None, "_", "\x1c\x85 q"]
+    texts += ["".join(chr(rng.choice([rng.randint(1, 127), rng.randint(128, 0x2FFF), rng.randint(0x1F000, 0x1FFFF)])) for _ in range(30)) for _ in range(500)]
+    for text in texts:
+        assert topk_search.words(text) == topk_search.WORD.findall((text or "").lower())
