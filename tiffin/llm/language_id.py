@@ -19,7 +19,7 @@ are never inputs. Repeated rows get equal results.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tiffin.llm.words import utf8
+from tiffin.llm.words import give_back, utf8, values
 
 WINDOW = 256
 UNKNOWN = "und"
@@ -179,7 +179,7 @@ def learn(
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, langs, out = [], [], []
-            for id_, text, lang in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            for id_, text, lang in zip(batch.column(0).to_pylist(), values(batch.column(1)), batch.column(2).to_pylist(), strict=True):
                 if _LETTER.search(text):
                     windows, share = windows_of(utf8(text).lower())
                     windows = windows[share >= min(64, share.max())]
@@ -209,11 +209,11 @@ def predict(docs: DataFrame, network: Network | None, text_col: str = "text") ->
         net = shared.value
         tables = net.fold() if net else None
         for batch in batches:
-            texts = batch.column(names.index(text_col)).to_pylist()
-            pred, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
-            spoken = [i for i, t in enumerate(texts) if net and t and _LETTER.search(t)]
-            for group in _by_bytes(spoken, texts):
-                cut = [windows_of(utf8(texts[i]).lower()) for i in group]
+            pred, score = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
+            texts = enumerate(values(batch.column(names.index(text_col)))) if net else ()
+            spoken = ((i, t) for i, t in texts if t and _LETTER.search(t))
+            for group, own in _by_bytes(spoken):
+                cut = [windows_of(utf8(t).lower()) for t in own]
                 p = net.probabilities(np.concatenate([c[0] for c in cut]), tables)
                 p *= np.concatenate([c[1] for c in cut])[:, None]
                 first = np.cumsum([0] + [len(c[0]) for c in cut])[:-1]
@@ -224,23 +224,27 @@ def predict(docs: DataFrame, network: Network | None, text_col: str = "text") ->
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(pred, pa.string()), pa.array(score)], [*names, "lang_pred", "score"]
             )
+        del tables
+        give_back()
 
     more = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     schema = T.StructType([*docs.schema.fields, *more])
     return docs.mapInArrow(run, schema)
 
 
-def _by_bytes(rows: list[int], texts: list[str], most: int = 1 << 20) -> Iterator[list[int]]:
-    """Rows in groups of about ``most`` characters, so that arrays stay small; a longer text is a group of its own."""
-    group, size = [], 0
-    for i in rows:
-        if group and size + len(texts[i]) > most:
-            yield group
-            group, size = [], 0
+def _by_bytes(rows: Iterable[tuple[int, str]], most: int = 1 << 20) -> Iterator[tuple[list[int], list[str]]]:
+    """Rows and their texts in groups of about ``most`` characters, so that arrays stay small; a longer text is a group
+    of its own."""
+    group, texts, size = [], [], 0
+    for i, text in rows:
+        if group and size + len(text) > most:
+            yield group, texts
+            group, texts, size = [], [], 0
         group.append(i)
-        size += len(texts[i])
+        texts.append(text)
+        size += len(text)
     if group:
-        yield group
+        yield group, texts
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 3, held_fold: int = 1) -> DataFrame:

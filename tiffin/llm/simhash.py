@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tiffin.llm.words import utf8
+from tiffin.llm.words import give_back, utf8, values
 from tiffin.session import stage
 
 SHARD_POINTS = 1 << 18  # beyond SPREAD shards; the tree within a shard prunes as well as more shards would
@@ -72,10 +72,11 @@ def fingerprints(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], dtype=np.uint64)
+            fp = np.array([fingerprint(t, shingle) for t in values(batch.column(1))], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(fp.view(np.int64)), *batch.columns[2:]], ["id", "fp", *carried]
             )
+        give_back()
 
     return docs.select(
         F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"), *carried
@@ -207,6 +208,8 @@ def _shard_links(reach: int):
                 x, y = _forest(np.concatenate(left), np.concatenate(right))
                 left, right, kept = [x], [y], len(x) // 2
         x, y = _forest(np.concatenate(left), np.concatenate(right)) if left else (np.zeros(0, np.uint64),) * 2
+        del left, right
+        give_back()
         return pd.DataFrame({"a": x.view(np.int64), "b": y.view(np.int64)})
 
     return run

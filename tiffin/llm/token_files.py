@@ -26,7 +26,7 @@ import os
 import re
 import uuid
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +36,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tiffin.llm.words import utf8
+from tiffin.llm.words import give_back, utf8, values
 from tiffin.session import shared_folder, stage
 
 NULL_ID = -(1 << 63)
-CACHED_WORDS = 1 << 19
+CACHED_WORDS = 1 << 18
+GROUP = 1 << 21  # bytes of texts whose words are looked up at once
 
 
 # A run of ASCII marks after a letter of a-z or Latin-1 and before white space: a piece of its own for a tokenizer that
@@ -108,8 +109,12 @@ class WordwiseEncoder:
     def _ids(self, ids: list[int]) -> bytes:
         return np.array(ids, dtype=self.dtype).tobytes()
 
-    def encode(self, texts: list[str | bytes | None]) -> Iterator[bytes]:
-        """Identifiers of each text (UTF-8 if it is bytes). Texts are split in groups of about four million bytes, so
+    def forget(self) -> None:
+        """Let go of the pieces that are known: they are most of what an encoder holds."""
+        self.known, self.older = {}, {}
+
+    def encode(self, texts: Iterable[str | bytes | None]) -> Iterator[bytes]:
+        """Identifiers of each text (UTF-8 if it is bytes). Texts are split in groups of about ``GROUP`` bytes, so
         that their words take little memory and each is looked up once a group."""
         coded = (t if isinstance(t, bytes) else utf8(t) for t in texts)
         if not self.wordwise:
@@ -119,7 +124,7 @@ class WordwiseEncoder:
         for text in coded:
             group.append(self._prepared(text))
             size += len(text)
-            if size >= 1 << 22:
+            if size >= GROUP:
                 yield from self._group(group)
                 group, size = [], 0
         if group:
@@ -237,7 +242,7 @@ def _write(uri: str, path: str, end_id: int, dtype: str) -> Callable:
 
         for batch in every():
             sizes = []
-            for ids in _encoder(path, dtype).encode(batch.column(1).to_pylist()):  # written as they come
+            for ids in _encoder(path, dtype).encode(values(batch.column(1))):  # written as they come
                 tok.write(ids)
                 tok.write(end)
                 sizes.append(len(ids) // width + 1)
@@ -246,6 +251,9 @@ def _write(uri: str, path: str, end_id: int, dtype: str) -> Callable:
             docs, at = docs + len(sizes), at + sum(sizes)
         for stream in streams:
             stream.close()
+        # The tokenizer stays for the worker's next task, but idle workers hold no words beside those at work.
+        _encoder(path, dtype).forget()
+        give_back()
         yield pa.RecordBatch.from_arrays(
             [pa.array([x]) for x in (number, name, docs, at)], ["part", "name", "n_docs", "n_ids"]
         )
@@ -312,6 +320,7 @@ def _read(uri: str, dtype: str, ids_per_batch: int) -> Callable:
                         ["id", "start", "n_tokens", "ids_crc32"],
                     )
                     a = b
+        give_back()
 
     return run
 

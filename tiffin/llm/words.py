@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 SPACES = " \t\n\x0b\x0c\r"  # what separates words, and nothing else does
 _MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -14,6 +19,24 @@ def utf8(text: str | None) -> bytes:
     return text.encode("utf-8", "surrogatepass") if text else b""
 
 
+def values(column: pa.Array, most: int = 1 << 22) -> Iterator[str | bytes | None]:
+    """The texts of a column one by one; those of about ``most`` bytes, one at least, are Python objects at a time."""
+    total = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    a = 0
+    while a < len(column):
+        b = max(a + 1, int(np.searchsorted(total, (total[a - 1] if a else 0) + most, "right")))
+        yield from column.slice(a, b - a).to_pylist()
+        a = b
+
+
+def give_back() -> None:
+    """Give memory that is free in this process back to the system. A Python worker stays for later tasks, and what it
+    holds meanwhile is missing to the executor."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc only
+        trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every input bit over all output bits (the splitmix finalizer)."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
