@@ -866,6 +866,63 @@ def test_a_known_score_spares_other_shards(spark, monkeypatch):
     assert found == ["b"] * 3
 
 
+def test_a_task_gets_its_queries_once(monkeypatch):
+    """Pieces of a pass's queries come before a task's first shard, and no other shard brings them again."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(topk_search, "PIECE", 100)
+    rows = [(i, f"red w{i} w{i % 5} apple" + " pear" * (i % 3)) for i in range(60)]
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), pa.array([t for _, t in rows])], ["id", "text"])
+    shards = [r for b in topk_search._index(20, 1 << 20)(iter([batch])) for r in b.to_pylist()]
+    asked = [[{"t": t, "w": 1.0 + len(t)} for t in sorted({"apple", "pear", f"w{q}"})] for q in range(9)]
+    kind = pa.list_(pa.struct([("t", pa.string()), ("w", pa.float64())]))
+    table = pa.table({"block": pa.array([0] * 9, pa.int64()), "key": [f"k{q}" for q in range(9)], "asked": pa.array(asked, kind)})
+    pieces = topk_search._pack(table).to_pylist()
+    assert len(shards) == 3 and len(pieces) > 2 and [p["piece"] for p in pieces] == list(range(len(pieces)))
+    nothing = dict.fromkeys(shards[0]), dict.fromkeys(pieces[0])
+    schema = pa.RecordBatch.from_pylist([shards[0] | pieces[0]]).schema
+    apart = [nothing[0] | p for p in pieces] + [s | nothing[1] for s in shards]
+    (whole,) = topk_search._pack(table).group_by("block").aggregate([]).to_pylist()
+    whole |= {x: b"".join(p[x] for p in pieces) for x in topk_search.BLOCK_NAMES[2:]}
+    found = [
+        sorted((r["key"], r["score"], r["id"]) for b in topk_search._search(5.0, 4)(iter(given)) for r in b.to_pylist())
+        for given in ([pa.RecordBatch.from_pylist([r], schema) for r in apart], [pa.RecordBatch.from_pylist([s | whole]) for s in shards])
+    ]
+    assert found[0] == found[1] and len(found[0]) == 36
+
+
+def test_queries_in_passes_and_pieces(spark, monkeypatch):
+    rows = [(i, f"apple pear w{i % 7} w{i} " + "plum " * (i % 5)) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    asked = docs.where("doc_id % 20 = 0")
+    key = lambda r: (r["query"], r["rank"], r["id"], r["score"])
+
+    def found(**kinds):
+        return sorted(map(key, topk_search.search(docs, asked, k=3, query_id_col="doc_id", **kinds).toDF("query", "rank", "id", "score").collect()))
+
+    whole = found()
+    monkeypatch.setattr(topk_search, "PASS_BLOCKS", 1)
+    monkeypatch.setattr(topk_search, "PIECE", 50)
+    assert found(query_block=3, shard_docs=5) == whole and len(whole) == 18
+
+
+def test_queries_are_asked_with_their_like(monkeypatch):
+    """Queries with many postings in a shard are scored together, whatever order they come in."""
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choice(SPOKEN[("en", "de")[i % 2]]) + str(rng.randint(0, 9)) for _ in range(60))) for i in range(200)]
+    (shard,) = _shards([r for r in rows if r[0] % 2], 1000, 60.0)
+    asked = []
+    for _, text in rows[:40]:
+        own = [(shard.place[w], 1.0 + len(w)) for w in sorted(set(topk_search.words(text))) if w in shard.place]
+        asked.append((np.array([i for i, _ in own], np.int64), np.array([w for _, w in own])))
+    whole, groups, by_blocks = shard.best_of(asked, 3, [0.0] * 40), [], shard._by_blocks
+    monkeypatch.setattr(topk_search, "TOGETHER", 10)
+    monkeypatch.setattr(topk_search, "PIVOT_WORDS", 0)
+    monkeypatch.setattr(shard, "_by_blocks", lambda part, *a: groups.append([shard.sizes[w].sum() for w, _ in part]) or by_blocks(part, *a), raising=False)
+    assert shard.best_of(asked, 3, [0.0] * 40) == whole
+    assert len(groups) == 2 and min(groups[0]) >= max(groups[1])
+
+
 def test_words_are_runs_of_letters_and_digits():
     rng = random.Random(4)
     texts = ["It's a_b 3½ İΣ x y z ß² 中文。", "", None, "_", "\x1c\x85 q"]
